@@ -155,6 +155,17 @@ def flag_days(base: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def finish_silver(base: DataFrame, threshold: float) -> DataFrame:
+    """Flags, reason text and the per-route columns on top of
+    ``silver_base``, in Silver column order."""
+    flagged = flag_days(base, threshold)
+    routes = route_rollup(flagged, threshold)
+    silver = flagged.join(routes, "route_id", "left")
+    lead = [c for c in BRONZE_COLUMNS if c in flagged.columns]
+    tail = [c for c in flagged.columns if c not in lead]
+    return silver.select(*lead, *tail, *ROUTE_COLUMNS)
+
+
 def build_silver(bronze: DataFrame, threshold: float | None = None) -> tuple[DataFrame, float]:
     """The full Silver frame (65 columns for a Bronze input) and the
     threshold it used. The threshold is computed from the data (exact P10,
@@ -168,12 +179,7 @@ def build_silver(bronze: DataFrame, threshold: float | None = None) -> tuple[Dat
     base = silver_base(bronze)
     if threshold is None:
         threshold = compute_underperformance_threshold(base, "gross_margin_pct")
-    flagged = flag_days(base, threshold)
-    routes = route_rollup(flagged, threshold)
-    silver = flagged.join(routes, "route_id", "left")
-    lead = [c for c in BRONZE_COLUMNS if c in flagged.columns]
-    tail = [c for c in flagged.columns if c not in lead]
-    return silver.select(*lead, *tail, *ROUTE_COLUMNS), threshold
+    return finish_silver(base, threshold), threshold
 
 
 # ----------------------------------------------------------------------

@@ -86,7 +86,8 @@ BRONZE_COLUMNS = BRONZE_SCHEMA.fieldNames()
 
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:
-    """Enforced-schema CSV scan.
+    """Enforced-schema CSV scan, plus ``source_file`` (base name of the file
+    each row came from, so a multi-file load keeps per-row provenance).
 
     ``FAILFAST`` makes a bad number, bad date, extra or missing column
     raise on the first action. ``enforceSchema=false`` makes Spark check the
@@ -94,7 +95,7 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     instead of being silently accepted. An empty field still loads as null;
     the null-count quality check is the guard for that.
     """
-    return (
+    df = (
         spark.read
         .option("header", True)
         .option("mode", "FAILFAST")
@@ -103,26 +104,19 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
         .schema(SOURCE_SCHEMA)
         .csv(path)
     )
+    return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
-def with_ingestion_metadata(df: DataFrame, ingestion_ts=None) -> DataFrame:
-    """Add ``ingestion_ts`` and ``source_file`` (base name of the file each
-    row came from, so a multi-file load keeps per-row provenance).
-
-    ``ingestion_ts`` defaults to the load time; tests pass a fixed value.
-    File-backed frames take the file name from ``_metadata``; other frames
-    (already-derived data) get ``source_file`` null unless the caller set it.
-    """
+def with_ingestion_metadata(df: DataFrame, ingestion_ts=None,
+                            source_file: str | None = None) -> DataFrame:
+    """Add ``ingestion_ts`` (load time by default; tests pass a fixed value)
+    and, when the frame has none yet, ``source_file`` (the given name or
+    null), in Bronze column order."""
     ts = (F.current_timestamp() if ingestion_ts is None
           else F.lit(ingestion_ts).cast("timestamp"))
-    try:
-        src = F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1)
-        out = df.withColumn("source_file", src)
-        out.schema  # resolve now: non-file frames have no _metadata
-    except Exception:
-        out = (df if "source_file" in df.columns
-               else df.withColumn("source_file", F.lit(None).cast("string")))
-    return out.withColumn("ingestion_ts", ts).select(*BRONZE_COLUMNS)
+    if "source_file" not in df.columns:
+        df = df.withColumn("source_file", F.lit(source_file).cast("string"))
+    return df.withColumn("ingestion_ts", ts).select(*BRONZE_COLUMNS)
 
 
 def schema_check(df: DataFrame, expected: StructType) -> DataFrame:
