@@ -152,3 +152,32 @@ def star_slice(gold: DataFrame, routes: DataFrame, dates: DataFrame,
         )
         .orderBy(*by)
     )
+
+
+# The live schema of the star tables (name, type), in order.
+GOLD_FIELDS = [
+    ("route_id", "string"), ("year", "int"), ("month", "int"), ("quarter", "string"),
+    ("region", "string"), ("bu", "string"), ("area", "string"),
+    ("n_route_days", "bigint"),
+    ("total_revenue", "double"), ("total_cost", "double"), ("net_revenue", "double"),
+    ("gross_profit", "double"), ("disposal_cost", "double"), ("fuel_cost", "double"),
+    ("labour_cost", "double"), ("maintenance_cost", "double"), ("admin_cost", "double"),
+    ("total_tonnes", "double"), ("total_yards", "double"), ("total_distance_km", "double"),
+    ("total_fuel_used_litres", "double"), ("total_labour_hours", "double"),
+    ("completed_stops", "bigint"), ("total_stops", "bigint"), ("missed_stops", "bigint"),
+    ("incident_days", "bigint"), ("underperforming_days", "bigint"),
+    ("weighted_gross_margin_pct", "double"), ("revenue_per_completed_stop", "double"),
+    ("cost_per_completed_stop", "double"), ("profit_per_completed_stop", "double"),
+    ("revenue_per_tonne", "double"), ("cost_per_tonne", "double"),
+    ("profit_per_tonne", "double"), ("disposal_cost_per_tonne", "double"),
+    ("fuel_litres_per_100km", "double"), ("stops_per_labour_hour", "double"),
+    ("completion_rate", "double"), ("missed_stop_rate", "double"),
+    ("disposal_cost_share", "double"), ("fuel_cost_share", "double"),
+    ("labour_cost_share", "double"), ("maintenance_cost_share", "double"),
+    ("admin_cost_share", "double"), ("pct_underperforming_days", "double"),
+    ("month_underperforming_flag", "boolean"),
+]
+DIM_ROUTE_FIELDS = [("route_id", "string"), ("region", "string"), ("bu", "string"),
+                    ("area", "string")]
+DIM_DATE_FIELDS = [("date_month_key", "int"), ("year", "int"), ("month", "int"),
+                   ("quarter", "string"), ("month_start_date", "date")]

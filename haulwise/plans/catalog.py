@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from haulwise.functions.quantile import compute_underperformance_threshold
 from haulwise.operators import analysis, gold as gold_ops, quality, silver as silver_ops
 from haulwise.operators.dedupe import dedupe_latest
+from haulwise.plans import scenarios
 from haulwise.sources.adapter import route_days
 from haulwise.sources.tables import read_input
 
@@ -153,4 +154,16 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fleet_totals": _q(lambda L: silver_ops.fleet_totals(L.silver)),
         "worst_pockets": _q(lambda L: analysis.worst_pockets(L.silver)),
         "route_drilldown": _q(_drilldown),
+        # A: sources, sinks, table maintenance (real writes in scratch folders)
+        "contract_roundtrip": _q(lambda L: scenarios.contract_roundtrip(L.spark, L.feed)),
+        "contract_schema_check": _q(lambda L: scenarios.contract_schema_check(
+            L.spark, L.silver, L.gold)),
+        "upsert_result": _q(lambda L: scenarios.upsert_result(L.spark, L.feed)),
+        "load_audit": _q(lambda L: scenarios.load_audit(L.spark, L.feed)),
+        "snapshot_as_of": _q(lambda L: scenarios.snapshot_as_of(L.spark, L.feed)),
+        "snapshot_diff": _q(lambda L: scenarios.snapshot_diff(L.spark, L.feed)),
+        "zorder_rows": _q(lambda L: scenarios.zorder_rows(L.silver)),
+        "clustered_rows": _q(lambda L: scenarios.clustered_rows(L.spark, L.silver)),
+        "compacted_rows": _q(lambda L: scenarios.compacted_rows(L.spark, L.silver)),
+        "pruned_slice": _q(lambda L: scenarios.pruned_slice(L.spark, L.gold)),
     }

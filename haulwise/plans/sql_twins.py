@@ -424,4 +424,116 @@ SELECT s.route_date_key, s.date, s.route_id, s.bu, s.area, s.gross_margin_pct,
        s.underperforming_flag, s.underperformance_reason, s.disposal_cost_per_tonne,
        s.revenue_per_completed_stop
 FROM silver s JOIN target t ON s.route_id = t.route_id AND s.bu = t.bu AND s.area = t.area""")
+    q.update(storage_twins())
+    return q
+
+
+def _interleave_sql(cols: list[str], bits: int) -> str:
+    terms = []
+    pos = bits * len(cols) - 1
+    for b in range(bits - 1, -1, -1):
+        for c in cols:
+            terms.append(f"(((({c}) >> {b}) & 1) << {pos})")
+            pos -= 1
+    return "(" + " | ".join(terms) + ")"
+
+
+def storage_twins() -> dict[str, str]:
+    from haulwise.operators.gold import DIM_DATE_FIELDS, DIM_ROUTE_FIELDS, GOLD_FIELDS
+    from haulwise.plans.scenarios import BASE_END, BASE_TS, RERUN_TS, RESTATE_FROM
+    from haulwise.sources.contract import SOURCE_COLUMNS
+
+    q: dict[str, str] = {}
+    end, frm = f"DATE '{BASE_END.isoformat()}'", f"DATE '{RESTATE_FROM.isoformat()}'"
+    restated = f"date < {end}"
+    disp = "disposal_cost * CAST(1.1 AS DOUBLE)"
+    cost = f"(total_cost - disposal_cost + {disp})"
+    scen = ROUTE_DAYS + f""",
+base AS (SELECT * FROM route_days WHERE date < {end}),
+batch AS (
+  SELECT * REPLACE (
+    CASE WHEN {restated} THEN {disp} ELSE disposal_cost END AS disposal_cost,
+    CASE WHEN {restated} THEN {cost} ELSE total_cost END AS total_cost,
+    CASE WHEN {restated} THEN total_revenue - {disp} ELSE net_revenue END AS net_revenue,
+    CASE WHEN {restated} THEN total_revenue - {cost} ELSE gross_profit END AS gross_profit,
+    CASE WHEN {restated} THEN {sdiv(f'total_revenue - {cost}', 'total_revenue')} * 100
+         ELSE gross_margin_pct END AS gross_margin_pct)
+  FROM route_days WHERE date >= {frm}
+)"""
+    cols = ", ".join(SOURCE_COLUMNS)
+    q["upsert_result"] = with_ctes(scen, f"""
+SELECT {cols}, TIMESTAMP '{RERUN_TS}' AS ingestion_ts FROM batch
+UNION ALL
+SELECT {cols}, TIMESTAMP '{BASE_TS}' AS ingestion_ts FROM base
+WHERE route_date_key NOT IN (SELECT route_date_key FROM batch)""")
+    q["load_audit"] = with_ctes(scen, f"""
+SELECT 'base' AS batch_id, count(*) AS rows_in, count(*) AS inserted,
+       CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged,
+       count(DISTINCT (year, month)) AS partitions_touched FROM base
+UNION ALL
+SELECT 'restatement', count(*), count(*) FILTER (WHERE date >= {end}),
+       count(*) FILTER (WHERE date < {end}), 0, count(DISTINCT (year, month)) FROM batch
+UNION ALL
+SELECT 'rerun', count(*), 0, 0, count(*), count(DISTINCT (year, month)) FROM batch""")
+    q["snapshot_as_of"] = with_ctes(scen, f"""
+SELECT {cols}, TIMESTAMP '{BASE_TS}' AS ingestion_ts FROM base""")
+    changed = ", ".join(
+        f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '{c}' END"
+        for c in SOURCE_COLUMNS if c != "route_date_key") + \
+        ", CASE WHEN o.ts IS DISTINCT FROM n.ts THEN 'ingestion_ts' END"
+    q["snapshot_diff"] = with_ctes(scen + f""",
+old_v AS (SELECT *, TIMESTAMP '{BASE_TS}' AS ts FROM base),
+new_v AS (
+  SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS ts FROM batch
+  UNION ALL
+  SELECT *, TIMESTAMP '{BASE_TS}' AS ts FROM base
+  WHERE route_date_key NOT IN (SELECT route_date_key FROM batch)
+)""", f"""
+SELECT n.route_date_key, 'added' AS change, CAST(NULL AS VARCHAR) AS changed_columns
+FROM new_v n WHERE n.route_date_key NOT IN (SELECT route_date_key FROM old_v)
+UNION ALL
+SELECT o.route_date_key, 'removed', CAST(NULL AS VARCHAR)
+FROM old_v o WHERE o.route_date_key NOT IN (SELECT route_date_key FROM new_v)
+UNION ALL
+SELECT * FROM (
+  SELECT o.route_date_key, 'changed' AS change, concat_ws(',', {changed}) AS changed_columns
+  FROM old_v o JOIN new_v n ON o.route_date_key = n.route_date_key
+) WHERE changed_columns <> ''""")
+    q["contract_roundtrip"] = with_ctes(ROUTE_DAYS, f"""
+SELECT *, true AS has_source_file, TIMESTAMP '{BASE_TS}' AS ingestion_ts FROM route_days""")
+    rows = []
+    for table, fields in (("fact_route_month_profitability", GOLD_FIELDS),
+                          ("dim_route", DIM_ROUTE_FIELDS), ("dim_date", DIM_DATE_FIELDS)):
+        for pos, (name, typ) in enumerate(fields):
+            rows.append(f"('{table}', {pos}, '{name}', '{typ}', '{typ}', 'ok')")
+    q["contract_schema_check"] = (
+        "SELECT \"table\", CAST(position AS INTEGER) AS position, \"column\", expected_type, "
+        "actual_type, status FROM (VALUES " + ", ".join(rows) +
+        ") AS t(\"table\", position, \"column\", expected_type, actual_type, status)")
+
+    bits = 63 // 3
+    zcols = ["bu", "area", "route_id"]
+    ords = []
+    for i, c in enumerate(zcols):
+        ords.append(f"""
+o{i} AS (
+  SELECT v, CASE WHEN total > {1 << bits} THEN CAST(trunc(r * {1 << bits} / total) AS BIGINT)
+                 ELSE r END AS ord
+  FROM (SELECT v, dense_rank() OVER (ORDER BY v NULLS FIRST) - 1 AS r, count(*) OVER () AS total
+        FROM (SELECT DISTINCT {c} AS v FROM silver))
+)""")
+    zexpr = _interleave_sql(["o0.ord", "o1.ord", "o2.ord"], bits)
+    q["zorder_rows"] = with_ctes(SILVER + "," + ",".join(ords), f"""
+SELECT s.route_date_key, s.year, s.region, s.bu, s.area, s.route_id, {zexpr} AS zorder_key
+FROM silver s
+JOIN o0 ON s.bu IS NOT DISTINCT FROM o0.v
+JOIN o1 ON s.area IS NOT DISTINCT FROM o1.v
+JOIN o2 ON s.route_id IS NOT DISTINCT FROM o2.v""")
+    q["clustered_rows"] = with_ctes(SILVER, """
+SELECT route_date_key, year, region, bu, area, route_id, gross_margin_pct, underperforming_flag,
+       route_weighted_margin_pct, route_pct_days_under, route_persistent_underperformer
+FROM silver""")
+    q["compacted_rows"] = with_ctes(SILVER, """
+SELECT route_date_key, year, region, gross_margin_pct, underperforming_flag FROM silver""")
+    q["pruned_slice"] = with_ctes(GOLD, "\nSELECT * FROM gold WHERE region = 'EUROPE'")
     return q

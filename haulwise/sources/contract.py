@@ -119,6 +119,11 @@ def with_ingestion_metadata(df: DataFrame, ingestion_ts=None,
     return df.withColumn("ingestion_ts", ts).select(*BRONZE_COLUMNS)
 
 
+def struct_of(fields) -> StructType:
+    """A StructType from ``(name, type)`` pairs (all nullable)."""
+    return StructType([StructField(n, _TYPES[t], True) for n, t in fields])
+
+
 def schema_check(df: DataFrame, expected: StructType) -> DataFrame:
     """Live vs expected columns as rows ``(column, expected_type,
     actual_type, status)`` with status ``ok``/``missing``/``unexpected``/
