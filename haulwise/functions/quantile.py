@@ -35,85 +35,139 @@ DEFAULT_ACCURACY = 20_000
 DEFAULT_MAX_EXACT = 200_000
 
 
-def _final_pick(band: DataFrame, rank: int):
-    counts = band.groupBy("m").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    row = (
+def _ranks(n: int, qs: list[float]) -> list[int]:
+    out = []
+    for q in qs:
+        if q <= 0.0:
+            out.append(1)
+        elif q >= 1.0:
+            out.append(n)
+        else:
+            out.append(min(max(math.ceil(q * n), 1), n))
+    return out
+
+
+def _pick_all(bands: list[tuple[DataFrame, int]]) -> list:
+    """Final step for several bands at once: tag each band, count distinct
+    values per band (partial aggregation), and take the value whose running
+    count reaches the band's rank. Each band holds at most ``max_exact``
+    values, so the per-band window is bounded."""
+    tagged = None
+    for i, (band, rank) in enumerate(bands):
+        t = band.select(F.lit(i).alias("b"), F.lit(rank).alias("rk"), "m")
+        tagged = t if tagged is None else tagged.unionByName(t)
+    counts = tagged.groupBy("b", "rk", "m").agg(F.count(F.lit(1)).alias("c"))
+    w = (Window.partitionBy("b").orderBy("m")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = (
         counts.withColumn("cum", F.sum("c").over(w))
-        .where((F.col("cum") >= rank) & (F.col("cum") - F.col("c") < rank))
-        .select("m")
-        .first()
+        .where((F.col("cum") >= F.col("rk")) & (F.col("cum") - F.col("c") < F.col("rk")))
+        .select("b", "m")
+        .collect()  # one row per requested quantile
     )
-    return None if row is None else row["m"]
+    got = {r["b"]: r["m"] for r in rows}
+    return [got.get(i) for i in range(len(bands))]
 
 
-def kth_smallest(values: DataFrame, col: str, rank: int, *,
+def select_ranks(values: DataFrame, col: str, ranks: list[int], *,
                  count: int | None = None,
                  accuracy: int = DEFAULT_ACCURACY,
-                 max_exact: int = DEFAULT_MAX_EXACT):
-    """Value of 1-based ``rank`` among the non-null values of ``col``."""
-    sub = values.select(F.col(col).alias("m")).where(F.col("m").isNotNull())
-    n = count if count is not None else sub.count()
-    if n == 0 or rank < 1 or rank > n:
-        return None
-    lo = hi = None
-    slack = 2.0
+                 max_exact: int = DEFAULT_MAX_EXACT) -> list:
+    """Values of several 1-based ranks among the non-null values of
+    ``col``, narrowing all bands in shared passes (one ``percentile_approx``
+    pass and one counting pass per round, whatever the number of ranks)."""
+    base = values.select(F.col(col).alias("m")).where(F.col("m").isNotNull())
+    n = count if count is not None else base.count()
+    result: list = [None] * len(ranks)
+    # state per rank: (lo, hi) bounds (None = open), local rank, band size, slack
+    state = {i: [None, None, r, n, 2.0] for i, r in enumerate(ranks) if 1 <= r <= n}
+
+    def band_of(lo, hi):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("m") >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (F.col("m") <= F.lit(hi))
+        return base.where(cond)
+
     for _ in range(64):
-        if n <= max_exact:
-            return _final_pick(sub, rank)
-        p = rank / n
-        p_lo = max(p - slack / accuracy, 0.0)
-        p_hi = min(p + slack / accuracy, 1.0)
-        v_lo, v_hi = sub.agg(
-            F.percentile_approx("m", F.array(F.lit(p_lo), F.lit(p_hi)),
-                                accuracy)).first()[0]
-        if v_lo == v_hi:
-            below_eq = sub.agg(F.count_if(F.col("m") < v_lo).alias("b"),
-                               F.count_if(F.col("m") == v_lo).alias("e")).first()
-            if below_eq["b"] < rank <= below_eq["b"] + below_eq["e"]:
-                return v_lo
-        stats = sub.agg(
-            F.count_if(F.col("m") < v_lo).alias("below"),
-            F.count_if(F.col("m").between(v_lo, v_hi)).alias("inside"),
-        ).first()
-        below, inside = stats["below"], stats["inside"]
-        if below < rank <= below + inside and inside < n:
-            sub = sub.where(F.col("m").between(v_lo, v_hi))
-            lo, hi = v_lo, v_hi
-            rank -= below
-            n = inside
-            slack = 2.0
-        else:
-            slack *= 4.0
-    # Not reached in practice; the band is then small enough to pick from.
-    return _final_pick(sub, rank)
+        open_ = {i: st for i, st in state.items() if st[3] > max_exact}
+        if not open_:
+            break
+        # one pass: approximate bracket values for every open rank
+        exprs = []
+        for i, (lo, hi, r, cnt, slack) in open_.items():
+            p = r / cnt
+            p_lo, p_hi = max(p - slack / accuracy, 0.0), min(p + slack / accuracy, 1.0)
+            m_in = F.when(band_of_cond(lo, hi), F.col("m"))
+            exprs.append(F.percentile_approx(m_in, F.array(F.lit(p_lo), F.lit(p_hi)),
+                                             accuracy).alias(f"q{i}"))
+        brackets = base.agg(*exprs).first()
+        # one pass: rows below and inside each bracket, within its band
+        cexprs = []
+        for i, (lo, hi, r, cnt, slack) in open_.items():
+            v_lo, v_hi = brackets[f"q{i}"]
+            inb = band_of_cond(lo, hi)
+            cexprs += [F.count_if(inb & (F.col("m") < F.lit(v_lo))).alias(f"b{i}"),
+                       F.count_if(inb & F.col("m").between(v_lo, v_hi)).alias(f"n{i}")]
+        counts = base.agg(*cexprs).first()
+        for i, (lo, hi, r, cnt, slack) in open_.items():
+            v_lo, v_hi = brackets[f"q{i}"]
+            below, inside = counts[f"b{i}"], counts[f"n{i}"]
+            if below < r <= below + inside:
+                if v_lo == v_hi:  # every value in the bracket is the answer
+                    result[i] = v_lo
+                    del state[i]
+                elif inside < cnt:
+                    state[i] = [v_lo, v_hi, r - below, inside, 2.0]
+                else:
+                    state[i][4] = slack * 4.0
+            else:
+                state[i][4] = slack * 4.0
+    if state:
+        picks = _pick_all([(band_of(lo, hi), r) for lo, hi, r, _, _ in state.values()])
+        for i, v in zip(state.keys(), picks):
+            result[i] = v
+    return result
+
+
+def band_of_cond(lo, hi):
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col("m") >= F.lit(lo))
+    if hi is not None:
+        cond = cond & (F.col("m") <= F.lit(hi))
+    return cond
+
+
+def kth_smallest(values: DataFrame, col: str, rank: int, **kw):
+    """Value of 1-based ``rank`` among the non-null values of ``col``."""
+    return select_ranks(values, col, [rank], **kw)[0]
 
 
-def discrete_quantile(df: DataFrame, col: str, q: float, *,
-                      materialize: bool = True,
-                      accuracy: int = DEFAULT_ACCURACY,
-                      max_exact: int = DEFAULT_MAX_EXACT):
-    """Exact discrete quantile of ``col`` (None when every value is null).
+def discrete_quantiles(df: DataFrame, col: str, qs: list[float], *,
+                       materialize: bool = True,
+                       accuracy: int = DEFAULT_ACCURACY,
+                       max_exact: int = DEFAULT_MAX_EXACT) -> list:
+    """Exact discrete quantiles of ``col`` (None each when all null).
 
     With ``materialize`` the single column is first written to the shared
-    checkpoint folder so the passes do not recompute ``df``'s lineage.
-    """
+    checkpoint folder so the passes do not recompute ``df``'s lineage."""
     vals = df.select(F.col(col).alias("m")).where(F.col("m").isNotNull())
     if materialize:
-        vals = cut_lineage(vals)
+        vals = cut_lineage(vals, "quantile")
     n = vals.count()
     if n == 0:
-        return None
-    if q <= 0.0:
-        rank = 1
-    elif q >= 1.0:
-        rank = n
-    else:
-        rank = min(max(math.ceil(q * n), 1), n)
-    return kth_smallest(vals, "m", rank, count=n, accuracy=accuracy,
+        return [None] * len(qs)
+    return select_ranks(vals, "m", _ranks(n, list(qs)), count=n, accuracy=accuracy,
                         max_exact=max_exact)
 
 
+def discrete_quantile(df: DataFrame, col: str, q: float, **kw):
+    """Exact discrete quantile of ``col`` (None when every value is null)."""
+    return discrete_quantiles(df, col, [q], **kw)[0]
+
+
 def compute_underperformance_threshold(df: DataFrame,
                                        margin_col: str = "gross_margin_pct",
                                        q: float = THRESHOLD_QUANTILE,

@@ -10,10 +10,9 @@ from haulwise.functions.metrics import (
     exact_sum, safe_div, threshold_text, weighted_pct,
 )
 from haulwise.functions.quantile import (
-    compute_underperformance_threshold, discrete_quantile,
+    compute_underperformance_threshold, discrete_quantiles,
 )
 from haulwise.operators.dedupe import dedupe_latest
-from haulwise.session import cut_lineage
 from haulwise.sources.contract import BRONZE_COLUMNS, KEY, NO_INCIDENT_SENTINEL
 
 # Derived unit-economics measures (name, numerator, denominator).
@@ -82,6 +81,12 @@ def keep_latest(bronze: DataFrame) -> DataFrame:
     return dedupe_latest(bronze, [KEY], ["ingestion_ts", *ties])
 
 
+def has_repeated_keys(df: DataFrame) -> bool:
+    """One key-only aggregate (partial on the map side): does any key occur
+    twice? Lets a build skip the dedupe work on an already-unique table."""
+    return df.groupBy(KEY).count().where(F.col("count") > 1).limit(1).count() > 0
+
+
 def normalise_sentinel(df: DataFrame) -> DataFrame:
     """The literal no-incident sentinel becomes a real null."""
     return df.withColumn(
@@ -198,9 +203,7 @@ def margin_profile(silver: DataFrame, exact: bool = True) -> DataFrame:
     names = ["p10", "p25", "p50", "p75", "p90"]
     pcts = [0.10, 0.25, 0.50, 0.75, 0.90]
     if exact:
-        col = cut_lineage(silver.select(m.alias("m")).where(F.col("m").isNotNull()),
-                          "margin")
-        vals = [discrete_quantile(col, "m", p, materialize=False) for p in pcts]
+        vals = discrete_quantiles(silver, "gross_margin_pct", pcts)
         qs = [F.lit(v).cast("double") for v in vals]
     else:
         qs = [F.percentile_approx(m, p, 1000) for p in pcts]

@@ -117,14 +117,21 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       max_records_per_file: int | None = None) -> None:
     """Full rebuild of a partitioned table (schema replaced).
 
-    Without clustering columns the rows are range-partitioned on the
-    partition columns alone (large partition values split across tasks,
-    few files per partition); with them, z-order clustering is applied."""
+    Without clustering columns the rows are shuffled with a ``rebalance``
+    hint on the partition columns: each task then writes (mostly) one
+    partition value, so a partition gets few files, and AQE splits a
+    partition value that is too large for one task (a region holding a
+    third of the rows) and merges small ones — without the extra sampling
+    pass over the input that range partitioning needs. With clustering
+    columns, z-order clustering is applied (range partitioning on
+    (partition columns, z), whose sample is worth it for a maintenance
+    rewrite)."""
     if zorder_cols:
         out = clustered(df, partition_cols, zorder_cols, num_files)
+    elif partition_cols and num_files:
+        out = df.repartitionByRange(num_files, *[F.col(c) for c in partition_cols])
     elif partition_cols:
-        keys = [F.col(c) for c in partition_cols]
-        out = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+        out = df.hint("rebalance", *partition_cols)
     else:
         out = df.repartition(num_files) if num_files else df
     w = out.write.mode("overwrite")
