@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulwise.session import cut_lineage
+
 Z_BITS = 63
 
 
@@ -70,11 +72,38 @@ def ordinals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .select("ci", *fields, scaled.alias("ord")))
 
 
+# Bit-spreading masks for Morton codes ("insert one/two zero
+# bits between every bit"), as (shift, mask) steps.
+_SPREAD = {
+    2: [(16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+        (2, 0x3333333333333333), (1, 0x5555555555555555)],
+    3: [(32, 0x001F00000000FFFF), (16, 0x001F0000FF0000FF), (8, 0x100F00F00F00F00F),
+        (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249)],
+}
+
+
+def _spread(c: Column, k: int) -> Column:
+    x = c.cast("bigint").bitwiseAND(F.lit((1 << (Z_BITS // k)) - 1))
+    for shift, mask in _SPREAD[k]:
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
 def interleave(ords: Sequence[Column]) -> Column:
     """Bit-interleave non-negative ordinals (each already scaled to
     ``Z_BITS // len(ords)`` bits) into one bigint, most significant bits
-    first."""
+    first, the first column leading at every bit level.
+
+    Two or three columns use the classic shift-and-mask bit spreading (five
+    steps per column); other widths interleave bit by bit."""
     k = len(ords)
+    if k == 1:
+        return ords[0].cast("bigint")
+    if k in _SPREAD:
+        z = F.lit(0).cast("bigint")
+        for j, o in enumerate(ords):
+            z = z.bitwiseOR(F.shiftleft(_spread(o, k), k - 1 - j))
+        return z
     bits = Z_BITS // k
     z = F.lit(0).cast("bigint")
     pos = bits * k - 1
@@ -87,11 +116,13 @@ def interleave(ords: Sequence[Column]) -> Column:
 
 
 def zorder_value(df: DataFrame, cols: Sequence[str], out: str = "_z") -> DataFrame:
-    """Add a z-order value over ``cols``. Each column's ordinal table (one
-    row per distinct value) is joined back on the value; the planner
-    broadcasts it when its measured size is small and shuffles otherwise."""
+    """Add a z-order value over ``cols``. The ordinal table (one row per
+    distinct value of each column) is computed once and written to the
+    shared checkpoint folder; each column then joins it back on the value —
+    the planner broadcasts it when its measured size is small and shuffles
+    otherwise."""
     cols = list(cols)
-    ords = ordinals(df, cols)
+    ords = cut_lineage(ordinals(df, cols), "zorder-ordinals")
     res = df
     for i, c in enumerate(cols):
         o = ords.where(F.col("ci") == i).select(
