@@ -129,16 +129,17 @@ def star_slice(gold: DataFrame, routes: DataFrame, dates: DataFrame,
     fact ⋈ dim_date on ``(year, month)`` — then a revenue-weighted slice by
     any dimension attributes.
 
-    ``dim_date`` is bounded by the calendar (12 rows per year) and is
-    broadcast; ``dim_route`` grows with the fleet, so its strategy is left
-    to the planner's size check. The fact's own geography columns are
-    dropped so the slice really reads them from the dimension."""
+    Both dimension joins are left to the planner's size check: ``dim_date``
+    (12 rows per year) is always broadcast by it, ``dim_route`` grows with
+    the fleet and is broadcast only while it measures small. The fact's own
+    geography columns are dropped so the slice really reads them from the
+    dimension."""
     fact = gold.select("route_id", "year", "month", "n_route_days",
                        "total_revenue", "gross_profit")
     d = dates.select("year", "month", "date_month_key", "quarter", "month_start_date")
     joined = (
         fact.join(routes, "route_id")
-        .join(F.broadcast(d), ["year", "month"])
+        .join(d, ["year", "month"])
     )
     return (
         joined.groupBy(*by)

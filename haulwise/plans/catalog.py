@@ -158,10 +158,10 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_roundtrip": _q(lambda L: scenarios.contract_roundtrip(L.spark, L.feed)),
         "contract_schema_check": _q(lambda L: scenarios.contract_schema_check(
             L.spark, L.silver, L.gold)),
-        "upsert_result": _q(lambda L: scenarios.upsert_result(L.spark, L.feed)),
-        "load_audit": _q(lambda L: scenarios.load_audit(L.spark, L.feed)),
-        "snapshot_as_of": _q(lambda L: scenarios.snapshot_as_of(L.spark, L.feed)),
-        "snapshot_diff": _q(lambda L: scenarios.snapshot_diff(L.spark, L.feed)),
+        "upsert_result": _q(lambda L: scenarios.upsert_result(L.spark, L.feed, _snapshot_key(L.sf_dir))),
+        "load_audit": _q(lambda L: scenarios.load_audit(L.spark, L.feed, _snapshot_key(L.sf_dir))),
+        "snapshot_as_of": _q(lambda L: scenarios.snapshot_as_of(L.spark, L.feed, _snapshot_key(L.sf_dir))),
+        "snapshot_diff": _q(lambda L: scenarios.snapshot_diff(L.spark, L.feed, _snapshot_key(L.sf_dir))),
         "zorder_rows": _q(lambda L: scenarios.zorder_rows(L.silver)),
         "clustered_rows": _q(lambda L: scenarios.clustered_rows(L.spark, L.silver)),
         "compacted_rows": _q(lambda L: scenarios.compacted_rows(L.spark, L.silver)),

@@ -9,10 +9,10 @@ date is one route day. The derivation is a single distributed plan:
       ⋈ supplier ⋈ nation ⋈ region              -- route-day grain
 
 The supplier/nation/region joins happen *after* the aggregate, so they see
-route-days, not line items. ``nation`` and ``region`` have a fixed row
-count (25 and 5 by the TPC-H definition at every scale factor), so they are
-broadcast; the other joins are left to the planner, which broadcasts a side
-only when its measured size is under the broadcast threshold (AQE).
+route-days, not line items. No side is broadcast on trust: the planner
+broadcasts a side only when its measured size is under the broadcast
+threshold (``nation`` and ``region`` always are) and shuffle-joins
+otherwise, with AQE splitting skewed join partitions.
 
 Money and quantities are summed as decimals and cast to double once at the
 end: decimal sums are exact and independent of summation order, which makes
@@ -103,8 +103,8 @@ def route_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_input(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = (
         agg.join(supplier, agg.k == supplier.s_suppkey)
-        .join(F.broadcast(nation), F.col("s_nationkey") == nation.n_nationkey)
-        .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
+        .join(nation, F.col("s_nationkey") == nation.n_nationkey)
+        .join(region, F.col("n_regionkey") == region.r_regionkey)
     )
 
     k = F.col("k")
