@@ -43,7 +43,7 @@ def ordinals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
       range partition), bounded by the partition count and broadcast.
     """
     k = len(cols)
-    bits = Z_BITS // k
+    bits = min(Z_BITS // k, 62)  # one column: keep 2**bits a positive bigint
     fields = [f"c{j}" for j in range(k)]
     structs = [
         F.struct(F.lit(i).alias("ci"),
@@ -135,12 +135,21 @@ def zorder_value(df: DataFrame, cols: Sequence[str], out: str = "_z") -> DataFra
 def clustered(df: DataFrame, partition_cols: Sequence[str], zorder_cols: Sequence[str],
               num_files: int | None = None) -> DataFrame:
     """Rows reordered for a clustered write: range-partitioned on
-    (partition columns, z) and sorted within each task."""
-    z = zorder_value(df, zorder_cols)
-    keys = [F.col(c) for c in partition_cols] + [F.col("_z")]
+    (partition columns, z, row hash) and sorted within each task.
+
+    The row hash is a tie-breaker: range partitioning never splits equal
+    keys, so without it a route holding a third of a partition (one z
+    value) would land in one task. With it, equal z values spread over
+    adjacent ranges and every file still covers a contiguous z interval."""
+    z = zorder_value(df, zorder_cols).withColumn("_h", _row_hash(df))
+    keys = [F.col(c) for c in partition_cols] + [F.col("_z"), F.col("_h")]
     ranged = (z.repartitionByRange(num_files, *keys) if num_files
               else z.repartitionByRange(*keys))
-    return ranged.sortWithinPartitions(*partition_cols, "_z").drop("_z")
+    return ranged.sortWithinPartitions(*partition_cols, "_z", "_h").drop("_z", "_h")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
@@ -160,7 +169,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     if zorder_cols:
         out = clustered(df, partition_cols, zorder_cols, num_files)
     elif partition_cols and num_files:
-        out = df.repartitionByRange(num_files, *[F.col(c) for c in partition_cols])
+        # range on (partition columns, row hash): a fixed file count, each
+        # range inside one partition value or spanning adjacent ones, and a
+        # partition value too big for one file split across several
+        keys = [F.col(c) for c in partition_cols] + [_row_hash(df)]
+        out = df.repartitionByRange(num_files, *keys)
     elif partition_cols:
         out = df.hint("rebalance", *partition_cols)
     else:
@@ -174,7 +187,8 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 def compact(df: DataFrame, path: str, partition_cols: Sequence[str],
             target_rows_per_file: int = 1_000_000) -> None:
     """Rewrite into about ``rows / target`` files (one count, then a
-    range partitioning on the partition columns)."""
+    range partitioning on the partition columns plus a row hash, so a
+    partition value holding most rows is still spread over many files)."""
     n = df.count()
     files = max(1, math.ceil(n / target_rows_per_file))
     write_partitioned(df, path, partition_cols, num_files=files)

@@ -58,3 +58,22 @@ def test_compact_reduces_files(spark, scratch):
     files = layout.file_stats(spark, path).count()
     assert files <= 4
     assert spark.read.parquet(path).count() == 5000
+
+
+def test_hot_value_is_split_across_tasks(spark, scratch):
+    # one clustering value holds a third of all rows in a single partition
+    n = 30000
+    df = spark.range(0, n).select(
+        F.lit(1).alias("p"),
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id") % 97).alias("x"),
+        "id")
+    path = f"{scratch}/hot"
+    layout.write_partitioned(df, path, ["p"], ["x"], num_files=12)
+    stats = layout.file_stats(spark, path, ["x"]).collect()
+    assert sum(r["rows"] for r in stats) == n
+    assert max(r["rows"] for r in stats) < n // 3  # the hot value is not one file/task
+    # compaction of a single hot partition value also spreads over files
+    path2 = f"{scratch}/hot2"
+    layout.compact(df, path2, ["p"], target_rows_per_file=5000)
+    stats2 = layout.file_stats(spark, path2).collect()
+    assert len(stats2) >= 5 and max(r["rows"] for r in stats2) < n // 3
