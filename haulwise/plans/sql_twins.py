@@ -151,16 +151,16 @@ thr AS (
                        10.0) AS DOUBLE) AS t
 ),
 flagged AS (
-  SELECT b.*, b.gross_margin_pct < thr.t AS underperforming_flag,
-         CASE WHEN b.gross_margin_pct < thr.t THEN
+  SELECT b.*, b.gross_margin_pct < (SELECT t FROM thr) AS underperforming_flag,
+         CASE WHEN b.gross_margin_pct < (SELECT t FROM thr) THEN
            'margin ' || CAST(round(b.gross_margin_pct, 1) + 0.0 AS VARCHAR)
-           || '% < ' || CAST(CAST(thr.t AS BIGINT) AS VARCHAR) || '%'
+           || '% < ' || CAST(CAST((SELECT t FROM thr) AS BIGINT) AS VARCHAR) || '%'
            || CASE WHEN b.gross_profit < 0 THEN '; negative gross profit' ELSE '' END
            || CASE WHEN b.disposal_cost_share > 0.40 THEN '; disposal-heavy (>40% of cost)' ELSE '' END
            || CASE WHEN b.completion_rate < 0.90 THEN '; low completion (<90%)' ELSE '' END
            || CASE WHEN b.fuel_cost_share > 0.30 THEN '; fuel-heavy (>30% of cost)' ELSE '' END
          END AS underperformance_reason
-  FROM silver_base b CROSS JOIN thr
+  FROM silver_base b
 ),
 route_stats AS (
   SELECT route_id,
@@ -170,9 +170,9 @@ route_stats AS (
   FROM flagged GROUP BY route_id
 ),
 routes AS (
-  SELECT rs.*, (rs.route_weighted_margin_pct < thr.t) OR (rs.route_pct_days_under >= 0.20)
+  SELECT rs.*, (rs.route_weighted_margin_pct < (SELECT t FROM thr)) OR (rs.route_pct_days_under >= 0.20)
            AS route_persistent_underperformer
-  FROM route_stats rs CROSS JOIN thr
+  FROM route_stats rs
 ),
 silver AS (
   SELECT f.*, r.route_weighted_margin_pct, r.route_pct_days_under,
@@ -198,8 +198,8 @@ def _gold_sql() -> str:
         + "\n  FROM silver GROUP BY route_id, year, month, quarter, region, bu, area\n),\n"
         + "gold_r AS (\n  SELECT g.*,\n         " + ",\n         ".join(ratios)
         + "\n  FROM gold_sums g\n),\n"
-        + "gold AS (\n  SELECT gold_r.*, gold_r.weighted_gross_margin_pct < thr.t "
-        + "AS month_underperforming_flag\n  FROM gold_r CROSS JOIN thr\n)"
+        + "gold AS (\n  SELECT gold_r.*, gold_r.weighted_gross_margin_pct < (SELECT t FROM thr) "
+        + "AS month_underperforming_flag\n  FROM gold_r\n)"
     )
 
 
