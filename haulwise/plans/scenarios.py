@@ -97,9 +97,16 @@ def restatement_run(spark, feed: DataFrame, key=None) -> Restatement:
     return _RUNS[k]
 
 
+def _with_load_text(df: DataFrame) -> DataFrame:
+    """Replace ``ingestion_ts`` by its wall-clock text: the same in every
+    session time zone, so read-outs compare stably across engines."""
+    return (df.withColumn("load_ts", F.date_format("ingestion_ts", "yyyy-MM-dd HH:mm:ss"))
+            .drop("ingestion_ts", "source_file"))
+
+
 def upsert_result(spark, feed: DataFrame, key=None) -> DataFrame:
     """A4-A5: the Bronze table after base load, restatement and re-run."""
-    return restatement_run(spark, feed, key).read().drop("source_file")
+    return _with_load_text(restatement_run(spark, feed, key).read())
 
 
 def load_audit(spark, feed: DataFrame, key=None) -> DataFrame:
@@ -110,7 +117,7 @@ def load_audit(spark, feed: DataFrame, key=None) -> DataFrame:
 def snapshot_as_of(spark, feed: DataFrame, key=None) -> DataFrame:
     """A10: the first snapshot (as of the base load)."""
     r = restatement_run(spark, feed, key)
-    return snapshots.read_as_of(spark, r.snaps, 1, BRONZE_SCHEMA).drop("source_file")
+    return _with_load_text(snapshots.read_as_of(spark, r.snaps, 1, BRONZE_SCHEMA))
 
 
 def snapshot_diff(spark, feed: DataFrame, key=None) -> DataFrame:
@@ -131,7 +138,7 @@ def contract_roundtrip(spark, feed: DataFrame) -> DataFrame:
     return back.select(
         *SOURCE_COLUMNS,
         (F.col("source_file").endswith(".csv")).alias("has_source_file"),
-        F.col("ingestion_ts"),
+        F.date_format("ingestion_ts", "yyyy-MM-dd HH:mm:ss").alias("load_ts"),
     )
 
 

@@ -462,9 +462,9 @@ batch AS (
 )"""
     cols = ", ".join(SOURCE_COLUMNS)
     q["upsert_result"] = with_ctes(scen, f"""
-SELECT {cols}, TIMESTAMP '{RERUN_TS}' AS ingestion_ts FROM batch
+SELECT {cols}, '{RERUN_TS}' AS load_ts FROM batch
 UNION ALL
-SELECT {cols}, TIMESTAMP '{BASE_TS}' AS ingestion_ts FROM base
+SELECT {cols}, '{BASE_TS}' AS load_ts FROM base
 WHERE route_date_key NOT IN (SELECT route_date_key FROM batch)""")
     q["load_audit"] = with_ctes(scen, f"""
 SELECT 'base' AS batch_id, count(*) AS rows_in, count(*) AS inserted,
@@ -476,7 +476,7 @@ SELECT 'restatement', count(*), count(*) FILTER (WHERE date >= {end}),
 UNION ALL
 SELECT 'rerun', count(*), 0, 0, count(*), count(DISTINCT (year, month)) FROM batch""")
     q["snapshot_as_of"] = with_ctes(scen, f"""
-SELECT {cols}, TIMESTAMP '{BASE_TS}' AS ingestion_ts FROM base""")
+SELECT {cols}, '{BASE_TS}' AS load_ts FROM base""")
     changed = ", ".join(
         f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '{c}' END"
         for c in SOURCE_COLUMNS if c != "route_date_key") + \
@@ -500,7 +500,7 @@ SELECT * FROM (
   FROM old_v o JOIN new_v n ON o.route_date_key = n.route_date_key
 ) WHERE changed_columns <> ''""")
     q["contract_roundtrip"] = with_ctes(ROUTE_DAYS, f"""
-SELECT *, true AS has_source_file, TIMESTAMP '{BASE_TS}' AS ingestion_ts FROM route_days""")
+SELECT *, true AS has_source_file, '{BASE_TS}' AS load_ts FROM route_days""")
     rows = []
     for table, fields in (("fact_route_month_profitability", GOLD_FIELDS),
                           ("dim_route", DIM_ROUTE_FIELDS), ("dim_date", DIM_DATE_FIELDS)):
