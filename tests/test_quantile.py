@@ -47,3 +47,27 @@ def test_every_rank_small(spark):
 def test_all_null_is_none(spark):
     df = spark.createDataFrame([(None,), (None,)], "m double")
     assert discrete_quantile(df, "m", 0.1) is None
+
+
+def test_approximate_profile_rank_error(spark, sf_small):
+    """The reference's profile uses approximate quantiles (1/1000 relative
+    error); each approximate percentile's rank must be within 0.001*n."""
+    from pyspark.sql import functions as F
+
+    from haulwise.operators.silver import margin_profile, silver_base
+    from haulwise.sources.adapter import route_days
+
+    base = silver_base(route_days(spark, sf_small))
+    vals = sorted(r[0] for r in base.select("gross_margin_pct").collect() if r[0] is not None)
+    n = len(vals)
+    approx = base.agg(*[F.percentile_approx("gross_margin_pct", p, 1000).alias(f"q{i}")
+                        for i, p in enumerate([0.1, 0.25, 0.5, 0.75, 0.9])]).first()
+    import bisect
+    for i, p in enumerate([0.1, 0.25, 0.5, 0.75, 0.9]):
+        v = approx[f"q{i}"]
+        lo, hi = bisect.bisect_left(vals, v), bisect.bisect_right(vals, v)
+        target = math.ceil(p * n)
+        assert lo - 0.001 * n - 1 <= target <= hi + 0.001 * n + 1
+    # the approximate profile variant runs and keeps the exact columns' shape
+    prof = margin_profile(base, exact=False).first()
+    assert prof["n_rows"] == n
