@@ -70,23 +70,20 @@ def build_gold(silver: DataFrame, threshold: float) -> DataFrame:
         F.col("weighted_gross_margin_pct") < F.lit(float(threshold)))
 
 
-def dim_route(silver: DataFrame) -> DataFrame:
+def dim_route(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Natural key plus denormalised geography."""
-    return (silver.select("route_id", "region", "bu", "area").distinct()
-            .orderBy("route_id", "region", "bu", "area"))
+    out = silver.select("route_id", "region", "bu", "area").distinct()
+    return out.orderBy("route_id", "region", "bu", "area") if ordered else out
 
 
-def dim_date(silver: DataFrame) -> DataFrame:
+def dim_date(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Calendar at month grain, ``date_month_key = year*100 + month``."""
-    return (
-        silver.select("year", "month", "quarter").distinct()
-        .select(
-            (F.col("year") * 100 + F.col("month")).alias("date_month_key"),
-            "year", "month", "quarter",
-            F.make_date("year", "month", F.lit(1)).alias("month_start_date"),
-        )
-        .orderBy("date_month_key", "quarter")
+    out = silver.select("year", "month", "quarter").distinct().select(
+        (F.col("year") * 100 + F.col("month")).alias("date_month_key"),
+        "year", "month", "quarter",
+        F.make_date("year", "month", F.lit(1)).alias("month_start_date"),
     )
+    return out.orderBy("date_month_key", "quarter") if ordered else out
 
 
 def grain_check(gold: DataFrame) -> DataFrame:
