@@ -14,6 +14,10 @@ broadcasts a side only when its measured size is under the broadcast
 threshold (``nation`` and ``region`` always are) and shuffle-joins
 otherwise, with AQE splitting skewed join partitions.
 
+The aggregate holds only fixed-width buffers (a hash aggregate, partial on
+the map side): string minimums are taken over order-preserving dictionary
+codes and decoded afterwards.
+
 Money and quantities are summed as decimals and cast to double once at the
 end: decimal sums are exact and independent of summation order, which makes
 the output bit-identical across engines and partitionings.
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 
 from haulwise.functions.metrics import safe_div
 from haulwise.sources.contract import SOURCE_COLUMNS
+from haulwise.sources.layout import ordinals
 from haulwise.sources.tables import read_input
 
 # Fixed values of the mapping (decimal types of the line measures).
@@ -51,18 +56,52 @@ def disposal_rate(k: Column) -> Column:
     return (_d("0.20") + _d("0.05") * (k % 4) + surcharge).cast(DISC)
 
 
-def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line grain with the part and customer attributes the mapping needs."""
+# Largest dictionary built as a local table (checked with a bounded look at
+# the distinct values); above it the distributed rank is used.
+MAX_LOCAL_DICTIONARY = 10_000
+
+
+def dictionary(values: DataFrame, col: str, code: str,
+               max_local: int = MAX_LOCAL_DICTIONARY) -> DataFrame:
+    """Order-preserving dictionary of a string column: ``(col, code)`` with
+    ``code`` the value's rank among the distinct non-null values, so
+    ``min(code)`` decodes to ``min(col)``.
+
+    A bounded look (``distinct().limit(max_local + 1)``) decides the build:
+    up to ``max_local`` values are ranked into a small local table (Python
+    orders strings by code point, which is Spark's UTF-8 byte order); more
+    values use the distributed rank of ``layout.ordinals`` (no single-task
+    sort, nothing unbounded on the driver)."""
+    distinct = values.select(col).where(F.col(col).isNotNull()).distinct()
+    head = [r[0] for r in distinct.limit(max_local + 1).collect()]
+    if len(head) <= max_local:
+        ranked = [(v, i) for i, v in enumerate(sorted(head))]
+        # at most max_local rows (checked above): safe to broadcast
+        return F.broadcast(
+            values.sparkSession.createDataFrame(ranked, f"{col} string, {code} bigint"))
+    return ordinals(distinct, [col]).select(F.col("c0").alias(col), F.col("ord").alias(code))
+
+
+def line_items(spark: SparkSession, sf_dir: str, part_dict: DataFrame,
+               seg_dict: DataFrame) -> DataFrame:
+    """Line grain with the part and customer attributes the mapping needs.
+
+    The two string attributes travel as dictionary codes (attached to the
+    ``part`` and ``customer`` rows before they meet ``lineitem``), so the
+    route-day aggregate only holds fixed-width buffers and runs as a hash
+    aggregate."""
     li = read_input(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
         "l_shipdate")
     part = read_input(spark, sf_dir, "part").select(
         "p_partkey", "p_type", "p_size", "p_retailprice")
+    part = part.join(part_dict, "p_type", "left").drop("p_type")
     orders = read_input(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = read_input(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    cust = cust.join(seg_dict, "c_mktsegment", "left")
     order_seg = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
-        "o_orderkey", "c_mktsegment")
+        "o_orderkey", "c_segment_code")
     return (
         li.join(part, li.l_partkey == part.p_partkey)
         .join(order_seg, li.l_orderkey == order_seg.o_orderkey)
@@ -71,7 +110,10 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 39-column route-day feed (source contract order)."""
-    lines = line_items(spark, sf_dir)
+    part_dict = dictionary(read_input(spark, sf_dir, "part"), "p_type", "p_type_code")
+    seg_dict = dictionary(read_input(spark, sf_dir, "customer"), "c_mktsegment",
+                          "c_segment_code")
+    lines = line_items(spark, sf_dir, part_dict, seg_dict)
     q = F.col("l_quantity").cast(QTY)
     ext = F.col("l_extendedprice").cast(PRICE)
     disc = F.col("l_discount").cast(DISC)
@@ -91,11 +133,20 @@ def route_days(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(q * rp).alias("sum_qty_retail"),
             F.max(F.when(returned & (disc == _d("0.10")), 1).otherwise(0))
             .alias("incident"),
-            F.min("p_type").alias("primary_waste_stream"),
-            F.min("c_mktsegment").alias("primary_customer_segment"),
-            F.min("l_linestatus").alias("min_status"),
+            F.min("p_type_code").alias("p_type_code"),
+            F.min("c_segment_code").alias("c_segment_code"),
+            # min(l_linestatus) = 'F' <=> some 'F' and nothing below 'F'
+            # (likewise for 'O'); nulls are ignored as min ignores them
+            F.max(F.col("l_linestatus") < "F").alias("below_f"),
+            F.max(F.col("l_linestatus") == "F").alias("has_f"),
+            F.max(F.col("l_linestatus") < "O").alias("below_o"),
+            F.max(F.col("l_linestatus") == "O").alias("has_o"),
         )
     )
+    agg = (agg.join(part_dict, "p_type_code", "left")
+           .join(seg_dict, "c_segment_code", "left")
+           .withColumnRenamed("p_type", "primary_waste_stream")
+           .withColumnRenamed("c_mktsegment", "primary_customer_segment"))
 
     supplier = read_input(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_input(spark, sf_dir, "nation").select(
@@ -163,8 +214,8 @@ def route_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(missed == 0, 1).otherwise(0).alias("on_time_flag"),
         F.col("incident").cast("int").alias("incident_flag"),
         F.when(F.col("incident") == 0, F.lit("None"))
-        .when(F.col("min_status") == "F", F.lit("Spill"))
-        .when(F.col("min_status") == "O", F.lit("Near-Miss"))
+        .when(F.col("has_f") & ~F.col("below_f"), F.lit("Spill"))
+        .when(F.col("has_o") & ~F.col("below_o"), F.lit("Near-Miss"))
         .alias("incident_type"),
     )
     return out.select(*SOURCE_COLUMNS)

@@ -77,3 +77,18 @@ def test_hot_value_is_split_across_tasks(spark, scratch):
     layout.compact(df, path2, ["p"], target_rows_per_file=5000)
     stats2 = layout.file_stats(spark, path2).collect()
     assert len(stats2) >= 5 and max(r["rows"] for r in stats2) < n // 3
+
+
+def test_dictionary_local_and_distributed_agree(spark):
+    from haulwise.sources.adapter import dictionary
+    vals = ["STANDARD BRASS", "ECONOMY TIN", None, "Zeta", "alpha", "ECONOMY TIN", "éclair", "B"]
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    local = {r["t"]: r["code"] for r in dictionary(df, "t", "code").collect()}
+    dist = {r["t"]: r["code"] for r in dictionary(df, "t", "code", max_local=2).collect()}
+    assert local == dist
+    distinct = sorted({v for v in vals if v is not None})
+    assert [local[v] for v in distinct] == list(range(len(distinct)))
+    # min(code) decodes to Spark's min(string)
+    want = df.agg(F.min("t")).first()[0]
+    got = min(local.items(), key=lambda kv: kv[1])[0]
+    assert got == want
