@@ -41,6 +41,8 @@ def test_gold_slice_prunes_partitions(spark, layers):
 def test_feed_aggregates_partially(spark, sf_small):
     p = plan(route_days(spark, sf_small))
     assert "partial_count" in p or "partial_sum" in p
+    # fixed-width buffers only: hash aggregation, no sort-based fallback
+    assert "SortAggregate" not in p and "HashAggregate" in p
 
 
 def test_route_rule_is_an_aggregate_not_a_window(spark, sf_small):
