@@ -10,6 +10,10 @@ from tools.compare import TABLES, rows_of
 
 NAMES = sorted(catalog())
 
+# Spark type -> DuckDB type of the same values
+TYPE_MAP = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+            "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
 
 @pytest.fixture(scope="module")
 def con(sf_small):
@@ -28,9 +32,12 @@ def test_query_matches_twin(spark, con, sf_small, name):
     df = catalog()[name](spark, sf_small)
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(twins()[name])
-    d_cols = [c[0] for c in cur.description]
-    d_rows = cur.fetchall()
+    rel = con.sql(twins()[name])
+    d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    d_rows = rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    for f in df.schema.fields:
+        assert TYPE_MAP.get(f.dataType.simpleString()) == d_types[f.name], f.name
     assert len(s_rows) == len(d_rows)
     assert rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
