@@ -83,12 +83,7 @@ def select_ranks(values: DataFrame, col: str, ranks: list[int], *,
     state = {i: [None, None, r, n, 2.0] for i, r in enumerate(ranks) if 1 <= r <= n}
 
     def band_of(lo, hi):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("m") >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col("m") <= F.lit(hi))
-        return base.where(cond)
+        return base.where(band_of_cond(lo, hi))
 
     for _ in range(64):
         open_ = {i: st for i, st in state.items() if st[3] > max_exact}
