@@ -87,3 +87,14 @@ def test_planted_defects_are_counted(spark, sf_small):
     assert nulls == {"bu": 1}
     d = duplicate_key_summary(bad).first()
     assert (d["row_count"], d["distinct_keys"], d["duplicate_keys"]) == (n + 1, n, 1)
+
+
+def test_read_layer_pins_partition_types(spark, scratch):
+    from haulwise.sources.tables import read_layer
+    df = spark.createDataFrame([("01", 1.5), ("10", 2.5)], "code string, v double")
+    df.write.partitionBy("code").parquet(f"{scratch}/l/t")
+    inferred = spark.read.parquet(f"{scratch}/l/t")
+    assert dict(inferred.dtypes)["code"] == "int"  # what a plain read does
+    pinned = read_layer(spark, scratch, "l", "t", schema=df.schema)
+    assert pinned.columns == ["code", "v"] and dict(pinned.dtypes)["code"] == "string"
+    assert sorted(r["code"] for r in pinned.collect()) == ["01", "10"]
