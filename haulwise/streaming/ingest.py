@@ -10,6 +10,8 @@ run would.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from haulwise.plans.medallion import ingest_bronze
 from haulwise.session import scratch_path
 from haulwise.sources.contract import SOURCE_SCHEMA, with_ingestion_metadata
+from haulwise.sources.upsert import audit_path_for, read_audit
 
 
 def source_stream(spark: SparkSession, landing_dir: str,
@@ -34,25 +37,43 @@ def source_stream(spark: SparkSession, landing_dir: str,
     return reader.csv(landing_dir).withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def _already_loaded(spark: SparkSession, root: str, batch_id: str) -> bool:
+    try:
+        audit = read_audit(spark, audit_path_for(root, "route_days"))
+    except Exception:  # no load yet
+        return False
+    return audit.where(F.col("batch_id") == batch_id).limit(1).count() > 0
+
+
 def start_bronze_ingest(spark: SparkSession, landing_dir: str, root: str,
                         checkpoint: str | None = None, available_now: bool = True,
                         processing_time: str | None = None,
+                        max_files_per_trigger: int | None = None,
                         reports: list | None = None) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what has landed and
     stops (a scheduled job); otherwise it polls every ``processing_time``.
 
     Within one micro-batch two files may carry the same key (an original
     and its restatement); the batch keeps one row per key, preferring the
-    lexicographically later file name, then the remaining columns."""
+    lexicographically later file name, then the remaining columns.
+
+    A micro-batch replayed after a failure (its epoch already in the load
+    audit) is skipped, so the audit holds one row per epoch; the batch id
+    names the checkpoint, so a new checkpoint never collides with old ids."""
     ckpt = checkpoint or scratch_path(spark, "bronze-stream-checkpoint")
+    stream_name = os.path.basename(os.path.normpath(ckpt))
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
+        batch_id = f"stream-{stream_name}-{epoch_id}"
+        if _already_loaded(spark, root, batch_id):
+            return
         batch = with_ingestion_metadata(df)
-        out = ingest_bronze(spark, root, batch, batch_id=f"stream-{epoch_id}", dedupe=True)
+        out = ingest_bronze(spark, root, batch, batch_id=batch_id, dedupe=True)
         if reports is not None:
             reports.append(out)
 
-    w = source_stream(spark, landing_dir).writeStream.foreachBatch(per_batch)
+    w = source_stream(spark, landing_dir, max_files_per_trigger).writeStream \
+        .foreachBatch(per_batch)
     w = w.option("checkpointLocation", ckpt)
     if available_now:
         w = w.trigger(availableNow=True)
