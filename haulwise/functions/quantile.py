@@ -72,10 +72,13 @@ def _pick_all(bands: list[tuple[DataFrame, int]]) -> list:
 def select_ranks(values: DataFrame, col: str, ranks: list[int], *,
                  count: int | None = None,
                  accuracy: int = DEFAULT_ACCURACY,
-                 max_exact: int = DEFAULT_MAX_EXACT) -> list:
+                 max_exact: int = DEFAULT_MAX_EXACT,
+                 first_brackets: dict | None = None) -> list:
     """Values of several 1-based ranks among the non-null values of
     ``col``, narrowing all bands in shared passes (one ``percentile_approx``
-    pass and one counting pass per round, whatever the number of ranks)."""
+    pass and one counting pass per round, whatever the number of ranks).
+    ``first_brackets`` (rank index -> (lo, hi)) replaces the first
+    bracketing pass when the caller computed it alongside the count."""
     base = values.select(F.col(col).alias("m")).where(F.col("m").isNotNull())
     n = count if count is not None else base.count()
     result: list = [None] * len(ranks)
@@ -89,15 +92,19 @@ def select_ranks(values: DataFrame, col: str, ranks: list[int], *,
         open_ = {i: st for i, st in state.items() if st[3] > max_exact}
         if not open_:
             break
-        # one pass: approximate bracket values for every open rank
-        exprs = []
-        for i, (lo, hi, r, cnt, slack) in open_.items():
-            p = r / cnt
-            p_lo, p_hi = max(p - slack / accuracy, 0.0), min(p + slack / accuracy, 1.0)
-            m_in = F.when(band_of_cond(lo, hi), F.col("m"))
-            exprs.append(F.percentile_approx(m_in, F.array(F.lit(p_lo), F.lit(p_hi)),
-                                             accuracy).alias(f"q{i}"))
-        brackets = base.agg(*exprs).first()
+        if first_brackets is not None:
+            brackets = {f"q{i}": first_brackets[i] for i in open_}
+            first_brackets = None
+        else:
+            # one pass: approximate bracket values for every open rank
+            exprs = []
+            for i, (lo, hi, r, cnt, slack) in open_.items():
+                p = r / cnt
+                p_lo, p_hi = max(p - slack / accuracy, 0.0), min(p + slack / accuracy, 1.0)
+                m_in = F.when(band_of_cond(lo, hi), F.col("m"))
+                exprs.append(F.percentile_approx(m_in, F.array(F.lit(p_lo), F.lit(p_hi)),
+                                                 accuracy).alias(f"q{i}"))
+            brackets = base.agg(*exprs).first()
         # one pass: rows below and inside each bracket, within its band
         cexprs = []
         for i, (lo, hi, r, cnt, slack) in open_.items():
@@ -151,11 +158,19 @@ def discrete_quantiles(df: DataFrame, col: str, qs: list[float], *,
     vals = df.select(F.col(col).alias("m")).where(F.col("m").isNotNull())
     if materialize:
         vals = cut_lineage(vals, "quantile")
-    n = vals.count()
+    # one pass: the count and a first bracket around each quantile (the
+    # counting pass in select_ranks verifies the brackets, so exactness does
+    # not depend on them)
+    brackets = [F.percentile_approx(
+        "m", F.array(F.lit(max(q - 2.0 / accuracy, 0.0)), F.lit(min(q + 2.0 / accuracy, 1.0))),
+        accuracy).alias(f"q{i}") for i, q in enumerate(qs)]
+    row = vals.agg(F.count(F.lit(1)).alias("n"), *brackets).first()
+    n = row["n"]
     if n == 0:
         return [None] * len(qs)
+    first = {i: tuple(row[f"q{i}"]) for i in range(len(qs))}
     return select_ranks(vals, "m", _ranks(n, list(qs)), count=n, accuracy=accuracy,
-                        max_exact=max_exact)
+                        max_exact=max_exact, first_brackets=first)
 
 
 def discrete_quantile(df: DataFrame, col: str, q: float, **kw):
