@@ -45,6 +45,15 @@ def _already_loaded(spark: SparkSession, root: str, batch_id: str) -> bool:
     return audit.where(F.col("batch_id") == batch_id).limit(1).count() > 0
 
 
+def ingest_epoch(spark: SparkSession, root: str, df: DataFrame, batch_id: str):
+    """Load one micro-batch unless its id is already in the load audit (a
+    replay after a failure); returns the ingest report or None."""
+    if _already_loaded(spark, root, batch_id):
+        return None
+    return ingest_bronze(spark, root, with_ingestion_metadata(df), batch_id=batch_id,
+                         dedupe=True)
+
+
 def start_bronze_ingest(spark: SparkSession, landing_dir: str, root: str,
                         checkpoint: str | None = None, available_now: bool = True,
                         processing_time: str | None = None,
@@ -64,12 +73,8 @@ def start_bronze_ingest(spark: SparkSession, landing_dir: str, root: str,
     stream_name = os.path.basename(os.path.normpath(ckpt))
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        batch_id = f"stream-{stream_name}-{epoch_id}"
-        if _already_loaded(spark, root, batch_id):
-            return
-        batch = with_ingestion_metadata(df)
-        out = ingest_bronze(spark, root, batch, batch_id=batch_id, dedupe=True)
-        if reports is not None:
+        out = ingest_epoch(spark, root, df, f"stream-{stream_name}-{epoch_id}")
+        if out is not None and reports is not None:
             reports.append(out)
 
     w = source_stream(spark, landing_dir, max_files_per_trigger).writeStream \
