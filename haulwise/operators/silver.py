@@ -232,13 +232,23 @@ def persistent_routes(silver: DataFrame) -> DataFrame:
 
 
 def rule_counts(silver: DataFrame) -> DataFrame:
-    """Day and route counts under the chosen rule, in one aggregate."""
-    days = F.count(F.lit(1))
-    under = F.count_if(F.col("underperforming_flag"))
-    routes = F.count_distinct("route_id")
-    persistent = F.count_distinct(
-        F.when(F.col("route_persistent_underperformer"), F.col("route_id")))
-    return silver.agg(
+    """Day and route counts under the chosen rule.
+
+    Two aggregates, both partial on the map side: one row per route (its
+    days, flagged days and persistent flag), then totals. Distinct routes are
+    counted as route rows, so there is no ``count(DISTINCT)`` expand that
+    duplicates every day before the shuffle. A null route id counts towards
+    days but not routes, as ``count(DISTINCT route_id)`` would."""
+    per_route = silver.groupBy("route_id").agg(
+        F.count(F.lit(1)).alias("d"),
+        F.count_if(F.col("underperforming_flag")).alias("u"),
+        F.max(F.col("route_persistent_underperformer")).alias("p"),
+    )
+    days = F.sum("d").cast("bigint")
+    under = F.sum("u").cast("bigint")
+    routes = F.count_if(F.col("route_id").isNotNull())
+    persistent = F.count_if(F.col("route_id").isNotNull() & F.col("p"))
+    return per_route.agg(
         days.alias("route_days"),
         under.alias("underperforming_days"),
         F.round(safe_div(under * 100, days), 2).alias("pct_underperforming_days"),
