@@ -50,15 +50,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     on a cluster an unset value is an error, because a machine-local temp
     folder would not survive executor loss.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="haulwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
