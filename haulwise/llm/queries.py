@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import bitslice, langid, quality, secret_scan, simhash, url_filter
+from haulwise.llm import bitslice, bpe, decontam, langid, quality, secret_scan, sharding, simhash, url_filter
 from haulwise.llm.common import in_hash_class
 from haulwise.sources.tables import read_input
 
@@ -33,6 +33,12 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(read_input(spark, sf_dir, "documents"), shards=40, overhead=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read_input(spark, sf_dir, "pages"), RULES, LISTED_LABELS)
 
@@ -43,13 +49,24 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_spans(found)
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(read_input(spark, sf_dir, "documents"), read_input(spark, sf_dir, "benchmark"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(read_input(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5, scale=256)
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    ids = bpe.encode(read_input(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(ids, path))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.importance_resample(read_input(spark, sf_dir, "documents"), read_input(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_langid, op4_url_filter, op5_secrets, op7_topk, op10_quality)}
+    return {f.__name__: f for f in (op1_simhash, op2_langid, op3_sharding, op4_url_filter, op5_secrets, op6_decontam,
+                                    op7_topk, op9_bpe, op10_quality)}
