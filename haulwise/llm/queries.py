@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import bitslice, bpe, decontam, langid, quality, secret_scan, sharding, simhash, url_filter
+from haulwise.llm import attention_lm, bitslice, bpe, decontam, langid, quality, secret_scan, sharding, simhash, url_filter
 from haulwise.llm.common import in_hash_class
 from haulwise.sources.tables import read_input
 
@@ -57,6 +57,11 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(read_input(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5, scale=256)
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_documents(read_input(spark, sf_dir, "documents"),
+                                        public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     ids = bpe.encode(read_input(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -69,4 +74,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_langid, op3_sharding, op4_url_filter, op5_secrets, op6_decontam,
-                                    op7_topk, op9_bpe, op10_quality)}
+                                    op7_topk, op8_lm_score, op9_bpe, op10_quality)}

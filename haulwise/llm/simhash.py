@@ -37,7 +37,7 @@ BITS = 64
 _PLAIN = np.array([c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256)], np.uint8)
 
 
-def _single_spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def single_spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased bytes with one space between words, and their offsets."""
     b = _PLAIN[data]
     keep = np.ones(len(b), bool)
@@ -90,7 +90,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42) -> DataFr
         for batch in batches:
             fps = []
             for _, _, data, offsets in text_slices(batch.column(1)):
-                data, offsets = _single_spaced(data, offsets)
+                data, offsets = single_spaced(data, offsets)
                 starts, ends, rows = _shingles(data, offsets, shingle)
                 line = data.tobytes()
                 digests = b"".join([xxh64_digest(line[a:b], seed) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
