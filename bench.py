@@ -24,10 +24,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from haulwise.operators import analysis, gold as gold_ops, silver as silver_ops  # noqa: E402
 from haulwise.plans import medallion as M  # noqa: E402
-from haulwise.plans.scenarios import restatement_batch  # noqa: E402
+from haulwise.plans.scenarios import base_batch, load_dates, restatement_batch  # noqa: E402
 from haulwise.session import cut_lineage, local_session, scratch_path  # noqa: E402
 from haulwise.sources.adapter import route_days  # noqa: E402
-from haulwise.sources.contract import with_ingestion_metadata  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -50,21 +49,20 @@ def run(spark, sf_dir: str) -> dict[str, float]:
     # the raw daily records: derived once from the input tables and stored,
     # as the source files of a real load would be
     feed = step("feed_derive", lambda: cut_lineage(route_days(spark, sf_dir), "raw-feed"))
+    base_end, restate_from = load_dates(feed)
     step("bronze_ingest", lambda: M.ingest_bronze(
-        spark, root, with_ingestion_metadata(feed.where(F.col("date") < "2001-07-01")),
-        "base", land=False))
+        spark, root, base_batch(feed, base_end), "base", land=False))
     step("bronze_restatement", lambda: M.ingest_bronze(
-        spark, root, restatement_batch(feed), "restatement", land=False))
+        spark, root, restatement_batch(feed, base_end, restate_from), "restatement", land=False))
     step("silver_build", lambda: M.build_silver_table(spark, root))
     step("silver_cluster", lambda: M.cluster_silver(spark, root))
     step("gold_build", lambda: M.build_gold_tables(spark, root))
 
     silver = M.read_silver(spark, root)
-    clustered = spark.read.parquet(os.path.join(root, "silver", "route_days_clustered"))
     gold = M.read_gold(spark, root)
     routes, dates = M.read_gold(spark, root, "dim_route"), M.read_gold(spark, root, "dim_date")
     readouts = {
-        "margin_profile": lambda: silver_ops.margin_profile(silver),
+        "margin_profile": lambda: silver_ops.margin_profile(silver, stored=True),
         "rule_counts": lambda: silver_ops.rule_counts(silver),
         "persistent_routes": lambda: silver_ops.persistent_routes(silver),
         "fleet_totals": lambda: silver_ops.fleet_totals(silver),
@@ -80,19 +78,13 @@ def run(spark, sf_dir: str) -> dict[str, float]:
         "star_slice_region_quarter": lambda: gold_ops.star_slice(
             gold, routes, dates, ["region", "quarter"]),
         "pruned_slice": lambda: gold.where(F.col("region") == "EUROPE"),
-        "route_drilldown": lambda: _drilldown(clustered),
+        "route_drilldown": lambda: analysis.route_drilldown(silver),
     }
     for name, build in readouts.items():
         step(name, lambda b=build: _consume(b()))
     return times
 
 
-def _drilldown(silver):
-    rid = analysis.worst_route(silver)
-    g = silver.where(F.col("route_id") == rid).select("bu", "area").first()
-    return analysis.route_drilldown(silver, g["bu"], g["area"], rid)
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")

@@ -3,7 +3,7 @@ stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fallback floor when the margin column is entirely null, and
@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 UNDERPERFORMANCE_THRESHOLD = 10.0
 THRESHOLD_QUANTILE = 0.10
 
-# Decimal type used to sum doubles whose values carry at most six decimal
-# places: the sum is exact and independent of row order, so every
-# partitioning (and every engine) gets the same bits.
+# Decimal type of the exact part of a sum: values of at most six decimal
+# places add up to the same bits in every order and engine.
 EXACT_SUM_TYPE = "decimal(20,6)"
 
 
@@ -31,8 +30,16 @@ def safe_div(num, den) -> Column:
 
 
 def exact_sum(c) -> Column:
-    """Order-independent sum of a double column as double (decimal inside)."""
-    return F.sum(_col(c).cast(EXACT_SUM_TYPE)).cast("double")
+    """Sum of a double column that loses nothing.
+
+    The decimal part of every value is summed exactly; what it leaves (digits
+    past the sixth place, values too large for the type, NaN, infinity) is
+    summed as double. For six-place values that rest is 0, and the sum does
+    not depend on the order of the rows."""
+    v = _col(c).cast("double")
+    part = F.coalesce(v.try_cast(EXACT_SUM_TYPE), F.lit(0).cast(EXACT_SUM_TYPE))
+    part = F.when(v.isNotNull(), part)
+    return F.sum(part).cast("double") + F.sum(v - part.cast("double"))
 
 
 def weighted_pct(num, den) -> Column:
@@ -41,12 +48,9 @@ def weighted_pct(num, den) -> Column:
     return safe_div(exact_sum(num), exact_sum(den)) * 100
 
 
-def add_underperforming_flag(df: DataFrame, margin_col: str = "gross_margin_pct",
-                             threshold: float = UNDERPERFORMANCE_THRESHOLD,
-                             out_col: str = "underperforming_flag") -> DataFrame:
-    """Boolean flag ``margin < threshold`` (strict: exactly at the threshold
-    passes). A null margin gives a null flag (three-valued)."""
-    return df.withColumn(out_col, F.col(margin_col) < F.lit(float(threshold)))
+def below_threshold(margin, threshold: float) -> Column:
+    """``margin < threshold``: strict, and null for a null margin."""
+    return _col(margin) < F.lit(float(threshold))
 
 
 def threshold_text(threshold: float) -> str:

@@ -7,33 +7,32 @@ that rank is the same number.
 
 ``percentile_disc`` gives the same value but aggregates into one
 O(distinct values) buffer in a single task. At scale that does not fit, so
-the selection narrows a value band instead:
-
-1. one pass: ``n`` and ``percentile_approx`` at ``q ± 2/A`` (rank error at
-   most ``n/A``), which brackets the target rank;
-2. one pass: rows below the band and rows inside it; if the band holds the
-   target rank the search continues inside the band with a shifted rank,
-   otherwise the bracket is widened;
-3. once the band has few rows, count its distinct values (partial
-   aggregation) and pick the value whose cumulative count reaches the rank.
-
-Only a few scalars per pass come back to the driver; the last step sorts
-at most ``max_exact`` distinct values.
+the selection narrows an open interval of values, alike at every size:
+
+1. one pass: ``percentile_approx`` at ``q ± 2/A`` brackets the target rank by
+   two values of the interval;
+2. one pass: rows below the lower value, equal to it, between the two, equal
+   to the upper one. If the rank falls on either value, that value is the
+   answer. Otherwise the search goes on strictly between them (or strictly
+   beside them, if the bracket missed), with a shifted rank.
+
+The values tried leave the interval, so every round makes it smaller, and by
+about ``A / 4`` when the bracket holds; once it has fewer rows than ``A / 2``
+the bracket is the answer itself. Ties never stop it: they are counted, not
+sorted. Only a few numbers per pass come back to the driver.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulwise.functions.metrics import THRESHOLD_QUANTILE, UNDERPERFORMANCE_THRESHOLD
 from haulwise.session import cut_lineage
 
 DEFAULT_ACCURACY = 20_000
-DEFAULT_MAX_EXACT = 200_000
-
 
 def _ranks(n: int, qs: list[float]) -> list[int]:
     out = []
@@ -47,101 +46,71 @@ def _ranks(n: int, qs: list[float]) -> list[int]:
     return out
 
 
-def _pick_all(bands: list[tuple[DataFrame, int]]) -> list:
-    """Final step for several bands at once: tag each band, count distinct
-    values per band (partial aggregation), and take the value whose running
-    count reaches the band's rank. Each band holds at most ``max_exact``
-    values, so the per-band window is bounded."""
-    tagged = None
-    for i, (band, rank) in enumerate(bands):
-        t = band.select(F.lit(i).alias("b"), F.lit(rank).alias("rk"), "m")
-        tagged = t if tagged is None else tagged.unionByName(t)
-    counts = tagged.groupBy("b", "rk", "m").agg(F.count(F.lit(1)).alias("c"))
-    w = (Window.partitionBy("b").orderBy("m")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = (
-        counts.withColumn("cum", F.sum("c").over(w))
-        .where((F.col("cum") >= F.col("rk")) & (F.col("cum") - F.col("c") < F.col("rk")))
-        .select("b", "m")
-        .collect()  # one row per requested quantile
-    )
-    got = {r["b"]: r["m"] for r in rows}
-    return [got.get(i) for i in range(len(bands))]
+def _inside(lo, hi):
+    """Strictly between two values (None: open)."""
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col("m") > F.lit(lo))
+    if hi is not None:
+        cond = cond & (F.col("m") < F.lit(hi))
+    return cond
+
+
+def _brackets(state: dict, accuracy: int) -> list:
+    out = []
+    for i, (lo, hi, r, n) in state.items():
+        p = [max((r / n) - 2.0 / accuracy, 0.0), min((r / n) + 2.0 / accuracy, 1.0)]
+        value = F.when(_inside(lo, hi), F.col("m"))
+        out.append(F.percentile_approx(value, F.array(*map(F.lit, p)), accuracy).alias(f"q{i}"))
+    return out
 
 
 def select_ranks(values: DataFrame, col: str, ranks: list[int], *,
                  count: int | None = None,
                  accuracy: int = DEFAULT_ACCURACY,
-                 max_exact: int = DEFAULT_MAX_EXACT,
                  first_brackets: dict | None = None) -> list:
     """Values of several 1-based ranks among the non-null values of
-    ``col``, narrowing all bands in shared passes (one ``percentile_approx``
-    pass and one counting pass per round, whatever the number of ranks).
-    ``first_brackets`` (rank index -> (lo, hi)) replaces the first
-    bracketing pass when the caller computed it alongside the count."""
+    ``col``, narrowing all intervals in shared passes (one
+    ``percentile_approx`` pass and one counting pass per round, whatever the
+    number of ranks). ``first_brackets`` (rank index -> (lo, hi)) replaces the
+    first bracketing pass when the caller computed it alongside the count."""
     base = values.select(F.col(col).alias("m")).where(F.col("m").isNotNull())
     n = count if count is not None else base.count()
     result: list = [None] * len(ranks)
-    # state per rank: (lo, hi) bounds (None = open), local rank, band size, slack
-    state = {i: [None, None, r, n, 2.0] for i, r in enumerate(ranks) if 1 <= r <= n}
-
-    def band_of(lo, hi):
-        return base.where(band_of_cond(lo, hi))
-
-    for _ in range(64):
-        open_ = {i: st for i, st in state.items() if st[3] > max_exact}
-        if not open_:
-            break
+    # per rank: open interval (None: no bound), rank in it, rows in it
+    state = {i: (None, None, r, n) for i, r in enumerate(ranks) if 1 <= r <= n}
+    while state:
         if first_brackets is not None:
-            brackets = {f"q{i}": first_brackets[i] for i in open_}
-            first_brackets = None
+            brackets, first_brackets = {f"q{i}": first_brackets[i] for i in state}, None
         else:
-            # one pass: approximate bracket values for every open rank
-            exprs = []
-            for i, (lo, hi, r, cnt, slack) in open_.items():
-                p = r / cnt
-                p_lo, p_hi = max(p - slack / accuracy, 0.0), min(p + slack / accuracy, 1.0)
-                m_in = F.when(band_of_cond(lo, hi), F.col("m"))
-                exprs.append(F.percentile_approx(m_in, F.array(F.lit(p_lo), F.lit(p_hi)),
-                                                 accuracy).alias(f"q{i}"))
-            brackets = base.agg(*exprs).first()
-        # one pass: rows below and inside each bracket, within its band
-        cexprs = []
-        for i, (lo, hi, r, cnt, slack) in open_.items():
-            v_lo, v_hi = brackets[f"q{i}"]
-            inb = band_of_cond(lo, hi)
-            cexprs += [F.count_if(inb & (F.col("m") < F.lit(v_lo))).alias(f"b{i}"),
-                       F.count_if(inb & F.col("m").between(v_lo, v_hi)).alias(f"n{i}")]
-        counts = base.agg(*cexprs).first()
-        for i, (lo, hi, r, cnt, slack) in open_.items():
-            v_lo, v_hi = brackets[f"q{i}"]
-            below, inside = counts[f"b{i}"], counts[f"n{i}"]
-            if below < r <= below + inside:
-                if v_lo == v_hi:  # every value in the bracket is the answer
-                    result[i] = v_lo
-                    del state[i]
-                elif inside < cnt:
-                    state[i] = [v_lo, v_hi, r - below, inside, 2.0]
-                else:
-                    state[i][4] = slack * 4.0
+            brackets = base.agg(*_brackets(state, accuracy)).first()
+        counts = []
+        for i, (lo, hi, _, _) in state.items():
+            a, b = brackets[f"q{i}"]
+            m, own = F.col("m"), _inside(lo, hi)
+            counts += [F.count_if(own & (m < a)).alias(f"below{i}"), F.count_if(own & (m == a)).alias(f"low{i}"),
+                       F.count_if(own & (m > a) & (m < b)).alias(f"mid{i}"),
+                       F.count_if(own & (m == b) & (m > a)).alias(f"high{i}")]
+        row = base.agg(*counts).first()
+        for i, (lo, hi, r, cnt) in list(state.items()):
+            a, b = brackets[f"q{i}"]
+            below, low, mid, high = (row[f"{k}{i}"] for k in ("below", "low", "mid", "high"))
+            if r <= below:
+                state[i] = (lo, a, r, below)
+            elif r <= below + low:
+                result[i] = a
+                del state[i]
+            elif r <= below + low + mid:
+                state[i] = (a, b, r - below - low, mid)
+            elif r <= below + low + mid + high:
+                result[i] = b
+                del state[i]
             else:
-                state[i][4] = slack * 4.0
-    if state:
-        picks = _pick_all([(band_of(lo, hi), r) for lo, hi, r, _, _ in state.values()])
-        for i, v in zip(state.keys(), picks):
-            result[i] = v
+                done = below + low + mid + high
+                state[i] = (b, hi, r - done, cnt - done)
     return result
 
 
-def band_of_cond(lo, hi):
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col("m") >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (F.col("m") <= F.lit(hi))
-    return cond
-
-
 def kth_smallest(values: DataFrame, col: str, rank: int, **kw):
     """Value of 1-based ``rank`` among the non-null values of ``col``."""
     return select_ranks(values, col, [rank], **kw)[0]
@@ -149,8 +118,7 @@ def kth_smallest(values: DataFrame, col: str, rank: int, **kw):
 
 def discrete_quantiles(df: DataFrame, col: str, qs: list[float], *,
                        materialize: bool = True,
-                       accuracy: int = DEFAULT_ACCURACY,
-                       max_exact: int = DEFAULT_MAX_EXACT) -> list:
+                       accuracy: int = DEFAULT_ACCURACY) -> list:
     """Exact discrete quantiles of ``col`` (None each when all null).
 
     With ``materialize`` the single column is first written to the shared
@@ -169,8 +137,7 @@ def discrete_quantiles(df: DataFrame, col: str, qs: list[float], *,
     if n == 0:
         return [None] * len(qs)
     first = {i: tuple(row[f"q{i}"]) for i in range(len(qs))}
-    return select_ranks(vals, "m", _ranks(n, list(qs)), count=n, accuracy=accuracy,
-                        max_exact=max_exact, first_brackets=first)
+    return select_ranks(vals, "m", _ranks(n, list(qs)), count=n, accuracy=accuracy, first_brackets=first)
 
 
 def discrete_quantile(df: DataFrame, col: str, q: float, **kw):

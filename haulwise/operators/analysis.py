@@ -11,12 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwise.functions.metrics import safe_div, weighted_pct
+from haulwise.functions.metrics import exact_sum, safe_div, weighted_pct
 
 # Minimum days for an area x segment pocket to count, and the
 # size of the worst-k lists.
 POCKET_MIN_DAYS = 30
 WORST_K = 10
+DRILLDOWN_COLUMNS = ["route_date_key", "date", "route_id", "bu", "area", "gross_margin_pct",
+                     "underperforming_flag", "underperformance_reason", "disposal_cost_per_tonne",
+                     "revenue_per_completed_stop"]
 
 
 def hier(silver: DataFrame, col: str, limit: int | None = None) -> DataFrame:
@@ -36,48 +39,42 @@ def hier(silver: DataFrame, col: str, limit: int | None = None) -> DataFrame:
     return out.limit(limit) if limit else out
 
 
+# Driver averages (output name, measure, decimal places), and
+# those whose difference between flagged and healthy days is reported.
+DRIVERS = [
+    ("disposal_share", "disposal_cost_share", 3),
+    ("fuel_share", "fuel_cost_share", 3),
+    ("labour_share", "labour_cost_share", 3),
+    ("maintenance_share", "maintenance_cost_share", 3),
+    ("admin_share", "admin_cost_share", 3),
+    ("revenue_per_stop", "revenue_per_completed_stop", 2),
+    ("cost_per_stop", "cost_per_completed_stop", 2),
+    ("disposal_per_tonne", "disposal_cost_per_tonne", 2),
+    ("completion_rate", "completion_rate", 3),
+]
+DELTAS = ["disposal_share", "disposal_per_tonne", "revenue_per_stop", "cost_per_stop", "completion_rate"]
+
+
 def cost_drivers(silver: DataFrame) -> DataFrame:
     """Average cost shares and per-stop/per-tonne economics of flagged
     vs healthy days."""
-    return (
-        silver.groupBy("underperforming_flag")
-        .agg(
-            F.round(F.avg("disposal_cost_share"), 3).alias("disposal_share"),
-            F.round(F.avg("fuel_cost_share"), 3).alias("fuel_share"),
-            F.round(F.avg("labour_cost_share"), 3).alias("labour_share"),
-            F.round(F.avg("maintenance_cost_share"), 3).alias("maintenance_share"),
-            F.round(F.avg("admin_cost_share"), 3).alias("admin_share"),
-            F.round(F.avg("revenue_per_completed_stop"), 2).alias("revenue_per_stop"),
-            F.round(F.avg("cost_per_completed_stop"), 2).alias("cost_per_stop"),
-            F.round(F.avg("disposal_cost_per_tonne"), 2).alias("disposal_per_tonne"),
-            F.round(F.avg("completion_rate"), 3).alias("completion_rate"),
-        )
-        .orderBy(F.col("underperforming_flag").asc_nulls_first())
-    )
+    averages = [F.round(F.avg(measure), places).alias(name) for name, measure, places in DRIVERS]
+    return (silver.groupBy("underperforming_flag").agg(*averages)
+            .orderBy(F.col("underperforming_flag").asc_nulls_first()))
 
 
 def driver_deltas(silver: DataFrame) -> DataFrame:
     """E5: flagged-minus-healthy deltas of the rounded E4 averages, from one
     aggregate with conditional averages (no driver-side row picking)."""
     flag = F.col("underperforming_flag")
-
-    def pair(c: str, nd: int):
-        under = F.round(F.avg(F.when(flag, F.col(c))), nd)
-        healthy = F.round(F.avg(F.when(~flag, F.col(c))), nd)
-        return under, healthy
-
-    specs = [
-        ("disposal_share", "disposal_cost_share", 3),
-        ("disposal_per_tonne", "disposal_cost_per_tonne", 2),
-        ("revenue_per_stop", "revenue_per_completed_stop", 2),
-        ("cost_per_stop", "cost_per_completed_stop", 2),
-        ("completion_rate", "completion_rate", 3),
-    ]
+    spec = {name: (measure, places) for name, measure, places in DRIVERS}
     cols = []
-    for name, c, nd in specs:
-        under, healthy = pair(c, nd)
+    for name in DELTAS:
+        measure, places = spec[name]
+        under = F.round(F.avg(F.when(flag, F.col(measure))), places)
+        healthy = F.round(F.avg(F.when(~flag, F.col(measure))), places)
         cols += [under.alias(f"{name}_under"), healthy.alias(f"{name}_healthy"),
-                 F.round(under - healthy, nd).alias(f"{name}_delta")]
+                 F.round(under - healthy, places).alias(f"{name}_delta")]
     return silver.agg(*cols)
 
 
@@ -101,11 +98,8 @@ def yearly_trend(gold: DataFrame) -> DataFrame:
         gold.groupBy("year")
         .agg(
             F.round(weighted_pct("gross_profit", "total_revenue"), 2).alias("weighted_margin"),
-            F.round(safe_div(F.sum(F.col("gross_profit").cast("decimal(20,6)")).cast("double"),
-                             F.sum("completed_stops")), 2).alias("profit_per_stop"),
-            F.round(safe_div(F.sum(F.col("disposal_cost").cast("decimal(20,6)")).cast("double"),
-                             F.sum(F.col("total_tonnes").cast("decimal(20,6)")).cast("double")),
-                    2).alias("disposal_per_tonne"),
+            F.round(safe_div(exact_sum("gross_profit"), F.sum("completed_stops")), 2).alias("profit_per_stop"),
+            F.round(safe_div(exact_sum("disposal_cost"), exact_sum("total_tonnes")), 2).alias("disposal_per_tonne"),
             F.round(safe_div(F.sum(F.col("month_underperforming_flag").cast("int")), months)
                     * 100, 1).alias("under_month_pct"),
         )
@@ -149,27 +143,27 @@ def worst_pockets(silver: DataFrame, min_days: int = POCKET_MIN_DAYS,
     )
 
 
-def worst_route(silver: DataFrame) -> str | None:
-    """The route with the lowest weighted margin (ties by id): a two-row
-    top-1 over the route aggregate; only the id comes back."""
-    row = (
+def worst_route(silver: DataFrame) -> DataFrame:
+    """One row: the route with the lowest weighted margin (ties by id, a null
+    margin last)."""
+    return (
         silver.groupBy("route_id")
         .agg(weighted_pct("gross_profit", "total_revenue").alias("m"))
         .orderBy(F.col("m").asc_nulls_last(), "route_id")
-        .select("route_id")
-        .first()
+        .limit(1)
     )
-    return None if row is None else row["route_id"]
 
 
-def route_drilldown(silver: DataFrame, bu: str, area: str, route_id: str) -> DataFrame:
-    """Every day of one route. The predicate on the clustering keys
-    lets a clustered Silver skip files by their min/max statistics."""
-    return (
-        silver.where((F.col("bu") == bu) & (F.col("area") == area)
-                     & (F.col("route_id") == route_id))
-        .select("route_date_key", "date", "route_id", "bu", "area",
-                "gross_margin_pct", "underperforming_flag",
-                "underperformance_reason", "disposal_cost_per_tonne",
-                "revenue_per_completed_stop")
-    )
+def route_drilldown(silver: DataFrame, route: DataFrame | None = None) -> DataFrame:
+    """Every day of one route, the worst unless ``route`` (one row:
+    route_id) names another. A left-semi join on the one-row frame: the planner
+    broadcasts it, and nothing comes back to the driver."""
+    one = (worst_route(silver) if route is None else route).select(F.col("route_id").alias("_route"))
+    return silver.join(one, F.col("route_id").eqNullSafe(F.col("_route")), "left_semi").select(*DRILLDOWN_COLUMNS)
+
+
+def drilldown_slice(silver: DataFrame, bu: str, area: str, route_id: str) -> DataFrame:
+    """E12 with a known route: the predicate on the clustering keys lets a
+    clustered Silver skip files by their min/max statistics."""
+    return silver.where((F.col("bu") == bu) & (F.col("area") == area)
+                        & (F.col("route_id") == route_id)).select(*DRILLDOWN_COLUMNS)

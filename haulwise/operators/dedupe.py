@@ -4,49 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _latest_per_key(df: DataFrame, keys: list[str], order_cols: list[Column]) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)])
-    payload = F.struct(*[F.col(c) for c in rest])
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(payload, ordering).alias("_latest"))
-        .select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in rest])
-        .select(*df.columns)
-    )
-
-
 def dedupe_latest(df: DataFrame, keys: Sequence[str],
-                  order: Sequence[Column | str]) -> DataFrame:
+                  order: Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple.
 
     Same result as ``row_number() over (partition by keys order by order
-    desc) = 1`` with nulls ordered lowest, but planned for scale:
-
-    * a key-only count finds the keys that repeat (hash aggregate, partial
-      on the map side, shuffling keys rather than whole rows);
-    * rows of unique keys pass through (anti join); only rows of repeated
-      keys are reduced, with ``max_by(struct(row), struct(order))`` — also
-      partial on the map side, so a key holding a third of all rows is cut
-      to one row per map task before its shuffle instead of landing whole
-      in one task.
-
-    The repeated-key table is usually tiny, so the planner broadcasts it
-    (AQE, measured size); when it is not, both joins shuffle on the key.
-
-    ``order`` should end in tie-breakers that make it total (for example
-    all remaining columns); otherwise rows sharing the maximum are picked
-    arbitrarily, just as ``row_number`` would.
+    desc) = 1`` with nulls ordered lowest. The order columns, then all others,
+    form one struct, and its maximum per key is the row: one scan and one
+    shuffle, partial on the map side, so a key holding a third of all rows is
+    cut to one row per map task before the shuffle instead of landing whole
+    in one task. Rows that tie on ``order`` are told apart by the remaining
+    columns, in the frame's order.
     """
-    keys = list(keys)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1).select(*keys))
-    cond = [df[k].eqNullSafe(repeated[k]) for k in keys]
-    unique_rows = df.join(repeated, cond, "left_anti")
-    dup_rows = df.join(repeated, cond, "left_semi")
-    return unique_rows.unionByName(_latest_per_key(dup_rows, keys, order_cols))
+    keys, order = list(keys), list(order)
+    fields = order + [c for c in df.columns if c not in keys and c not in order]
+    return (
+        df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in fields])).alias("_row"))
+        .select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwise.functions.metrics import exact_sum, safe_div
+from haulwise.functions.metrics import below_threshold, exact_sum, safe_div
 
 GRAIN = ["route_id", "year", "month", "quarter", "region", "bu", "area"]
 
@@ -27,8 +27,7 @@ MONTH_RATIOS = [
     ("cost_per_tonne", "total_cost", "total_tonnes"),
     ("profit_per_tonne", "gross_profit", "total_tonnes"),
     ("disposal_cost_per_tonne", "disposal_cost", "total_tonnes"),
-]
-MONTH_RATIOS_2 = [
+    ("fuel_litres_per_100km", "total_fuel_used_litres * 100", "total_distance_km"),
     ("stops_per_labour_hour", "completed_stops", "total_labour_hours"),
     ("completion_rate", "completed_stops", "total_stops"),
     ("missed_stop_rate", "missed_stops", "total_stops"),
@@ -60,25 +59,23 @@ def build_gold(silver: DataFrame, threshold: float) -> DataFrame:
     sums = gold_sums(silver)
     ratios = [(safe_div("gross_profit", "total_revenue") * 100)
               .alias("weighted_gross_margin_pct")]
-    ratios += [safe_div(n, d).alias(name) for name, n, d in MONTH_RATIOS]
-    ratios.append(safe_div(F.col("total_fuel_used_litres") * 100, "total_distance_km")
-                  .alias("fuel_litres_per_100km"))
-    ratios += [safe_div(n, d).alias(name) for name, n, d in MONTH_RATIOS_2]
+    ratios += [safe_div(F.expr(n), d).alias(name) for name, n, d in MONTH_RATIOS]
     out = sums.select("*", *ratios)
     return out.withColumn(
         "month_underperforming_flag",
-        F.col("weighted_gross_margin_pct") < F.lit(float(threshold)))
+        below_threshold("weighted_gross_margin_pct", threshold))
 
 
-def dim_route(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    """Natural key plus denormalised geography."""
-    out = silver.select("route_id", "region", "bu", "area").distinct()
+def dim_route(rows: DataFrame, ordered: bool = True) -> DataFrame:
+    """Natural key plus denormalised geography, from Silver or Gold."""
+    out = rows.select("route_id", "region", "bu", "area").distinct()
     return out.orderBy("route_id", "region", "bu", "area") if ordered else out
 
 
-def dim_date(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    """Calendar at month grain, ``date_month_key = year*100 + month``."""
-    out = silver.select("year", "month", "quarter").distinct().select(
+def dim_date(rows: DataFrame, ordered: bool = True) -> DataFrame:
+    """Calendar at month grain, ``date_month_key = year*100 + month``, from
+    Silver or Gold."""
+    out = rows.select("year", "month", "quarter").distinct().select(
         (F.col("year") * 100 + F.col("month")).alias("date_month_key"),
         "year", "month", "quarter",
         F.make_date("year", "month", F.lit(1)).alias("month_start_date"),

@@ -5,15 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from haulwise.functions.metrics import (
-    exact_sum, safe_div, threshold_text, weighted_pct,
+    below_threshold, exact_sum, safe_div, threshold_text, weighted_pct,
 )
 from haulwise.functions.quantile import (
     compute_underperformance_threshold, discrete_quantiles,
 )
 from haulwise.operators.dedupe import dedupe_latest
-from haulwise.sources.contract import BRONZE_COLUMNS, KEY, NO_INCIDENT_SENTINEL
+from haulwise.sources.contract import (
+    BRONZE_COLUMNS, BRONZE_SCHEMA, KEY, NO_INCIDENT_SENTINEL, struct_of,
+)
 
 # Derived unit-economics measures (name, numerator, denominator).
 PER_STOP = [
@@ -25,7 +28,7 @@ DENSITY = [
     ("revenue_per_km", "total_revenue", "total_distance_km"),
     ("cost_per_km", "total_cost", "total_distance_km"),
     ("profit_per_km", "gross_profit", "total_distance_km"),
-    # fuel_litres_per_100km = fuel * 100 / distance (handled below)
+    ("fuel_litres_per_100km", "total_fuel_used_litres * 100", "total_distance_km"),
     ("stops_per_labour_hour", "completed_stops", "total_labour_hours"),
 ]
 PER_TONNE = [
@@ -45,6 +48,7 @@ COST_SHARES = [
     ("maintenance_cost_share", "maintenance_cost", "total_cost"),
     ("admin_cost_share", "admin_cost", "total_cost"),
 ]
+UNIT_METRICS = PER_STOP + DENSITY + PER_TONNE + HEALTH + COST_SHARES
 
 # Route rule — a route is persistently weak when its weighted
 # margin is under the threshold or at least this share of its days is flagged.
@@ -60,31 +64,25 @@ DISPOSAL_HEAVY_SHARE = 0.40
 LOW_COMPLETION_RATE = 0.90
 FUEL_HEAVY_SHARE = 0.30
 
-METRIC_COLUMNS = (
-    [n for n, _, _ in PER_STOP]
-    + ["revenue_per_km", "cost_per_km", "profit_per_km",
-       "fuel_litres_per_100km", "stops_per_labour_hour"]
-    + [n for n, _, _ in PER_TONNE]
-    + [n for n, _, _ in HEALTH]
-    + [n for n, _, _ in COST_SHARES]
-)
+METRIC_COLUMNS = [name for name, _, _ in UNIT_METRICS]
 ROUTE_COLUMNS = [
     "route_weighted_margin_pct", "route_pct_days_under",
     "route_persistent_underperformer",
 ]
+# The Silver contract behind Bronze's columns (name, type).
+SILVER_FIELDS = (
+    [(n, "double") for n in METRIC_COLUMNS]
+    + [("underperforming_flag", "boolean"), ("underperformance_reason", "string"),
+       ("route_weighted_margin_pct", "double"), ("route_pct_days_under", "double"),
+       ("route_persistent_underperformer", "boolean")]
+)
+SILVER_SCHEMA = StructType(BRONZE_SCHEMA.fields + struct_of(SILVER_FIELDS).fields)
 
 
 def keep_latest(bronze: DataFrame) -> DataFrame:
     """One row per ``route_date_key``, latest ``ingestion_ts`` first,
     ties broken by the remaining columns so the pick is deterministic."""
-    ties = [c for c in bronze.columns if c not in (KEY, "ingestion_ts")]
-    return dedupe_latest(bronze, [KEY], ["ingestion_ts", *ties])
-
-
-def has_repeated_keys(df: DataFrame) -> bool:
-    """One key-only aggregate (partial on the map side): does any key occur
-    twice? Lets a build skip the dedupe work on an already-unique table."""
-    return df.groupBy(KEY).count().where(F.col("count") > 1).limit(1).count() > 0
+    return dedupe_latest(bronze, [KEY], ["ingestion_ts"])
 
 
 def normalise_sentinel(df: DataFrame) -> DataFrame:
@@ -95,15 +93,7 @@ def normalise_sentinel(df: DataFrame) -> DataFrame:
 
 def add_unit_metrics(df: DataFrame) -> DataFrame:
     """19 null-safe ratios in one projection."""
-    cols = [safe_div(n, d).alias(name) for name, n, d in PER_STOP]
-    cols += [safe_div(n, d).alias(name) for name, n, d in DENSITY[:3]]
-    cols.append(safe_div(F.col("total_fuel_used_litres") * 100, "total_distance_km")
-                .alias("fuel_litres_per_100km"))
-    cols += [safe_div(n, d).alias(name) for name, n, d in DENSITY[3:]]
-    cols += [safe_div(n, d).alias(name) for name, n, d in PER_TONNE]
-    cols += [safe_div(n, d).alias(name) for name, n, d in HEALTH]
-    cols += [safe_div(n, d).alias(name) for name, n, d in COST_SHARES]
-    return df.select("*", *cols)
+    return df.select("*", *[safe_div(F.expr(n), d).alias(name) for name, n, d in UNIT_METRICS])
 
 
 def silver_base(bronze: DataFrame) -> DataFrame:
@@ -145,7 +135,7 @@ def route_rollup(flagged: DataFrame, threshold: float) -> DataFrame:
         )
         .withColumn(
             "route_persistent_underperformer",
-            (F.col("route_weighted_margin_pct") < F.lit(float(threshold)))
+            below_threshold("route_weighted_margin_pct", threshold)
             | (F.col("route_pct_days_under") >= PERSISTENT_DAY_SHARE),
         )
     )
@@ -154,17 +144,20 @@ def route_rollup(flagged: DataFrame, threshold: float) -> DataFrame:
 def flag_days(base: DataFrame, threshold: float) -> DataFrame:
     """C26 + C27 on top of ``silver_base``."""
     return (
-        base.withColumn("underperforming_flag",
-                        F.col("gross_margin_pct") < F.lit(float(threshold)))
+        base.withColumn("underperforming_flag", below_threshold("gross_margin_pct", threshold))
         .withColumn("underperformance_reason", underperformance_reason(threshold))
     )
 
 
-def finish_silver(base: DataFrame, threshold: float) -> DataFrame:
+def finish_silver(base: DataFrame, threshold: float, narrow: DataFrame | None = None) -> DataFrame:
     """Flags, reason text and the per-route columns on top of
-    ``silver_base``, in Silver column order."""
+    ``silver_base``, in Silver column order. ``narrow``: the rows' route_id,
+    margin, profit and revenue, if they were stored on the way; the route
+    rollup then reads them and not the whole base again."""
     flagged = flag_days(base, threshold)
-    routes = route_rollup(flagged, threshold)
+    days = flagged if narrow is None else narrow.withColumn(
+        "underperforming_flag", below_threshold("gross_margin_pct", threshold))
+    routes = route_rollup(days, threshold)
     silver = flagged.join(routes, "route_id", "left")
     lead = [c for c in BRONZE_COLUMNS if c in flagged.columns]
     tail = [c for c in flagged.columns if c not in lead]
@@ -191,19 +184,20 @@ def build_silver(bronze: DataFrame, threshold: float | None = None) -> tuple[Dat
 # Silver read-outs
 # ----------------------------------------------------------------------
 
-def margin_profile(silver: DataFrame, exact: bool = True) -> DataFrame:
+def margin_profile(silver: DataFrame, exact: bool = True, stored: bool = False) -> DataFrame:
     """P10/25/50/75/90, mean/min/max of the margin (2 dp) and the
     negative-profit day count and share.
 
     ``exact`` takes each percentile with the distributed exact selection
     (deterministic, comparable across engines); otherwise
     ``percentile_approx`` with 1/1000 relative error as in the reference's
-    profile. Either way no task holds more than a bounded summary."""
+    profile. Either way no task holds more than a bounded summary. ``stored``:
+    the frame is a scan of a table, whose column need not be copied first."""
     m = F.col("gross_margin_pct")
     names = ["p10", "p25", "p50", "p75", "p90"]
     pcts = [0.10, 0.25, 0.50, 0.75, 0.90]
     if exact:
-        vals = discrete_quantiles(silver, "gross_margin_pct", pcts)
+        vals = discrete_quantiles(silver, "gross_margin_pct", pcts, materialize=not stored)
         qs = [F.lit(v).cast("double") for v in vals]
     else:
         qs = [F.percentile_approx(m, p, 1000) for p in pcts]

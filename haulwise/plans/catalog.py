@@ -4,7 +4,6 @@ them) so their work grows with the tables."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,24 +14,10 @@ from haulwise.functions.quantile import compute_underperformance_threshold
 from haulwise.operators import analysis, gold as gold_ops, quality, silver as silver_ops
 from haulwise.operators.dedupe import dedupe_latest
 from haulwise.plans import scenarios
+from haulwise.session import cut_lineage
 from haulwise.sources.adapter import route_days
 from haulwise.sources.tables import read_input
 
-# The threshold depends only on the input snapshot; remember it per snapshot
-# so a session running many read-outs computes it once, as a Silver build
-# would. The key includes the lineitem file's size and mtime.
-_THRESHOLDS: dict[tuple, float] = {}
-
-
-def _snapshot_key(sf_dir: str) -> tuple:
-    p = os.path.join(sf_dir, "lineitem.parquet")
-    try:
-        st = os.stat(p)
-        return (os.path.abspath(sf_dir), st.st_size, st.st_mtime_ns)
-    except OSError:
-        return (sf_dir,)
-
-
 class Layers:
     """Lazily derived layers over one input snapshot."""
 
@@ -50,10 +35,7 @@ class Layers:
 
     @cached_property
     def threshold(self) -> float:
-        key = _snapshot_key(self.sf_dir)
-        if key not in _THRESHOLDS:
-            _THRESHOLDS[key] = compute_underperformance_threshold(self.base)
-        return _THRESHOLDS[key]
+        return compute_underperformance_threshold(self.base)
 
     @cached_property
     def flagged(self) -> DataFrame:
@@ -88,15 +70,11 @@ def _threshold(L: Layers) -> DataFrame:
     return n.select(F.lit(L.threshold).alias("threshold"), "n_values")
 
 
-def _drilldown(L: Layers) -> DataFrame:
-    s = L.silver
-    rid = analysis.worst_route(s)
-    geo = s.where(F.col("route_id") == rid).select("bu", "area").distinct().collect()
-    frames = [analysis.route_drilldown(s, r["bu"], r["area"], rid) for r in geo]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _star_slice(L: Layers) -> DataFrame:
+    # the fact is derived once; it and the dims read the stored copy
+    gold = cut_lineage(L.gold, "star-fact")
+    return gold_ops.star_slice(gold, gold_ops.dim_route(gold, ordered=False),
+                               gold_ops.dim_date(gold, ordered=False), ["region", "quarter"])
 
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -124,6 +102,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "underperformance_threshold": _q(_threshold),
         "flagged_days": _q(lambda L: L.flagged.where(F.col("underperforming_flag"))
                            .select(key, "gross_margin_pct")),
+        "flagged_examples": _q(lambda L: silver_ops.flagged_examples(L.flagged)),
         "underperformance_reason": _q(lambda L: L.flagged.select(
             key, "underperforming_flag", "underperformance_reason")),
         "route_windows": _q(lambda L: L.silver.select(
@@ -135,11 +114,9 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_ratios": _q(lambda L: L.gold),
         "gold_grain_check": _q(lambda L: gold_ops.grain_check(L.gold)),
         "geo_dependency_check": _q(lambda L: gold_ops.geo_dependency_violations(L.silver)),
-        "dim_route": _q(lambda L: gold_ops.dim_route(L.silver)),
-        "dim_date": _q(lambda L: gold_ops.dim_date(L.silver)),
-        "star_slice_region_quarter": _q(lambda L: gold_ops.star_slice(
-            L.gold, gold_ops.dim_route(L.silver), gold_ops.dim_date(L.silver),
-            ["region", "quarter"])),
+        "dim_route": _q(lambda L: gold_ops.dim_route(L.gold)),
+        "dim_date": _q(lambda L: gold_ops.dim_date(L.gold)),
+        "star_slice_region_quarter": _q(_star_slice),
         # E: analysis
         "hier_bu": _q(lambda L: analysis.hier(L.silver, "bu")),
         "hier_area_worst10": _q(lambda L: analysis.hier(L.silver, "area", 10)),
@@ -153,15 +130,15 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             analysis.yearly_trend(L.gold))),
         "fleet_totals": _q(lambda L: silver_ops.fleet_totals(L.silver)),
         "worst_pockets": _q(lambda L: analysis.worst_pockets(L.silver)),
-        "route_drilldown": _q(_drilldown),
+        "route_drilldown": _q(lambda L: analysis.route_drilldown(L.silver)),
         # A: sources, sinks, table maintenance (real writes in scratch folders)
         "contract_roundtrip": _q(lambda L: scenarios.contract_roundtrip(L.spark, L.feed)),
-        "contract_schema_check": _q(lambda L: scenarios.contract_schema_check(
-            L.spark, L.silver, L.gold)),
-        "upsert_result": _q(lambda L: scenarios.upsert_result(L.spark, L.feed, _snapshot_key(L.sf_dir))),
-        "load_audit": _q(lambda L: scenarios.load_audit(L.spark, L.feed, _snapshot_key(L.sf_dir))),
-        "snapshot_as_of": _q(lambda L: scenarios.snapshot_as_of(L.spark, L.feed, _snapshot_key(L.sf_dir))),
-        "snapshot_diff": _q(lambda L: scenarios.snapshot_diff(L.spark, L.feed, _snapshot_key(L.sf_dir))),
+        "csv_load_readback": _q(lambda L: scenarios.csv_load_readback(L.spark, L.feed)),
+        "contract_schema_check": _q(lambda L: scenarios.contract_schema_check(L.spark, L.gold)),
+        "upsert_result": _q(lambda L: scenarios.upsert_result(L.spark, L.feed)),
+        "load_audit": _q(lambda L: scenarios.load_audit(L.spark, L.feed)),
+        "snapshot_as_of": _q(lambda L: scenarios.snapshot_as_of(L.spark, L.feed)),
+        "snapshot_diff": _q(lambda L: scenarios.snapshot_diff(L.spark, L.feed)),
         "zorder_rows": _q(lambda L: scenarios.zorder_rows(L.silver)),
         "clustered_rows": _q(lambda L: scenarios.clustered_rows(L.spark, L.silver)),
         "compacted_rows": _q(lambda L: scenarios.compacted_rows(L.spark, L.silver)),

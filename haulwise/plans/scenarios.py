@@ -1,5 +1,5 @@
 """Storage-level read-outs: each runs the real table jobs (CSV round trip,
-upsert, snapshots, clustering, compaction, partitioned sink) on data
+upsert, load history, clustering, compaction, partitioned sink) on data
 derived from the input tables, in a fresh folder under the shared
 checkpoint root, and returns what a reader would see."""
 
@@ -11,37 +11,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulwise.functions.metrics import safe_div
-from haulwise.operators import gold as gold_ops
+from haulwise.operators import gold as gold_ops, quality
 from haulwise.operators.silver import ROUTE_COLUMNS
+from haulwise.plans.medallion import ingest_bronze, load_csv, read_bronze
 from haulwise.session import cut_lineage, scratch_path
 from haulwise.sources import layout, snapshots
 from haulwise.sources.contract import (
-    BRONZE_COLUMNS, BRONZE_SCHEMA, SOURCE_COLUMNS, read_source, schema_check,
-    struct_of, with_ingestion_metadata,
+    BRONZE_SCHEMA, KEY, SOURCE_COLUMNS, read_source, schema_check, struct_of, with_ingestion_metadata,
 )
-from haulwise.sources.upsert import read_audit, upsert
-
-# Fixed values of the restatement scenario (FIXTURES §4): the base load holds
-# days before BASE_END; the restatement batch holds days from RESTATE_FROM on,
-# and re-issues the overlapping (already loaded) days with disposal cost
-# raised by RESTATE_FACTOR.
-BASE_END = dt.date(2001, 7, 1)
-RESTATE_FROM = dt.date(2001, 1, 1)
+from haulwise.sources.upsert import audit_path_for, read_audit
+
+# Fixed values of the restatement scenario: re-issued days have their disposal
+# cost raised by RESTATE_FACTOR; load times.
 RESTATE_FACTOR = 1.1
 BASE_TS = "2024-01-01 00:00:00"
 RESTATE_TS = "2024-02-01 00:00:00"
 RERUN_TS = "2024-03-01 00:00:00"
 
 
-def base_batch(feed: DataFrame) -> DataFrame:
-    return with_ingestion_metadata(feed.where(F.col("date") < F.lit(BASE_END)), BASE_TS)
+def load_dates(feed: DataFrame) -> tuple[dt.date, dt.date]:
+    """(base_end, restate_from), at three quarters and at half of the feed's
+    days: the base load holds the days before the first, the restatement
+    batch those from the second on."""
+    lo, hi = feed.agg(F.min("date"), F.max("date")).first()
+    if lo is None:
+        lo = hi = dt.date(1970, 1, 1)
+    span = (hi - lo).days
+    return lo + dt.timedelta(span * 3 // 4), lo + dt.timedelta(span // 2)
+
+
+def base_batch(feed: DataFrame, base_end: dt.date) -> DataFrame:
+    return with_ingestion_metadata(feed.where(F.col("date") < F.lit(base_end)), BASE_TS)
 
 
-def restatement_batch(feed: DataFrame, ts: str = RESTATE_TS) -> DataFrame:
-    """Days from RESTATE_FROM on; days already in the base load get a
+def restatement_batch(feed: DataFrame, base_end: dt.date, restate_from: dt.date,
+                      ts: str = RESTATE_TS) -> DataFrame:
+    """Days from ``restate_from`` on; days already in the base load get a
     restated disposal cost and the dependent totals recomputed."""
-    b = feed.where(F.col("date") >= F.lit(RESTATE_FROM))
-    restated = F.col("date") < F.lit(BASE_END)
+    b = feed.where(F.col("date") >= F.lit(restate_from))
+    restated = F.col("date") < F.lit(base_end)
     disposal = F.col("disposal_cost") * F.lit(RESTATE_FACTOR)
     cost = F.col("total_cost") - F.col("disposal_cost") + disposal
     profit = F.col("total_revenue") - cost
@@ -61,40 +69,30 @@ def restatement_batch(feed: DataFrame, ts: str = RESTATE_TS) -> DataFrame:
 
 class Restatement:
     """Base load, restatement and an identical re-run into one Bronze table,
-    with a snapshot of the table after each of the first two loads."""
+    each also appended to the load history."""
 
     def __init__(self, spark, feed: DataFrame):
         self.spark = spark
-        feed = cut_lineage(feed, "feed")  # derive once; every load reads the landed copy
-        root = scratch_path(spark, "restatement")
-        self.target = f"{root}/bronze"
-        self.audit = f"{root}/_audit"
-        self.snaps = f"{root}/bronze_snapshots"
-        upsert(spark, self.target, base_batch(feed), batch_id="base", audit_path=self.audit)
-        snapshots.write_snapshot(self.read(), self.snaps, ["year"])
-        batch = restatement_batch(feed)
-        upsert(spark, self.target, batch, batch_id="restatement", audit_path=self.audit)
-        snapshots.write_snapshot(self.read(), self.snaps, ["year"])
-        upsert(spark, self.target, restatement_batch(feed, RERUN_TS), batch_id="rerun",
-               audit_path=self.audit)
-
-    def read(self) -> DataFrame:
-        return (self.spark.read.schema(BRONZE_SCHEMA).parquet(self.target)
-                .select(*BRONZE_COLUMNS))
-
-
-_RUNS: dict[tuple, Restatement] = {}
-
-
-def restatement_run(spark, feed: DataFrame, key=None) -> Restatement:
-    """The scenario's tables, run once per (session, input snapshot) when a
-    ``key`` is given — several read-outs of one load history."""
-    if key is None:
-        return Restatement(spark, feed)
-    k = (spark.sparkContext.applicationId, key)
-    if k not in _RUNS:
-        _RUNS[k] = Restatement(spark, feed)
-    return _RUNS[k]
+        self.feed = cut_lineage(feed, "feed")  # derive once; every load reads the landed copy
+        self.root = scratch_path(spark, "restatement")
+        self.base_end, self.restate_from = load_dates(self.feed)
+
+    def base(self) -> DataFrame:
+        return base_batch(self.feed, self.base_end)
+
+    def batch(self, ts: str = RESTATE_TS) -> DataFrame:
+        return restatement_batch(self.feed, self.base_end, self.restate_from, ts)
+
+    def load(self) -> Restatement:
+        for name, batch in (("base", self.base()), ("restatement", self.batch()), ("rerun", self.batch(RERUN_TS))):
+            ingest_bronze(self.spark, self.root, batch, name, land=False)
+        return self
+
+    def history(self) -> DataFrame:
+        path = f"{self.root}/bronze/history"
+        for batch in (self.base(), self.batch()):
+            snapshots.append_history(batch, path)
+        return self.spark.read.schema(BRONZE_SCHEMA).parquet(path)
 
 
 def _with_load_text(df: DataFrame) -> DataFrame:
@@ -104,28 +102,38 @@ def _with_load_text(df: DataFrame) -> DataFrame:
             .drop("ingestion_ts", "source_file"))
 
 
-def upsert_result(spark, feed: DataFrame, key=None) -> DataFrame:
+def upsert_result(spark, feed: DataFrame) -> DataFrame:
     """A4-A5: the Bronze table after base load, restatement and re-run."""
-    return _with_load_text(restatement_run(spark, feed, key).read())
+    return _with_load_text(read_bronze(spark, Restatement(spark, feed).load().root))
 
 
-def load_audit(spark, feed: DataFrame, key=None) -> DataFrame:
+def load_audit(spark, feed: DataFrame) -> DataFrame:
     """The load history of the three loads."""
-    return read_audit(spark, restatement_run(spark, feed, key).audit)
+    return read_audit(spark, audit_path_for(Restatement(spark, feed).load().root, "route_days"))
+
+
+def snapshot_as_of(spark, feed: DataFrame) -> DataFrame:
+    """A10: the table as of the base load, from the history of both loads."""
+    return _with_load_text(snapshots.as_of(Restatement(spark, feed).history(), BASE_TS, [KEY]))
 
 
-def snapshot_as_of(spark, feed: DataFrame, key=None) -> DataFrame:
-    """A10: the first snapshot (as of the base load)."""
-    r = restatement_run(spark, feed, key)
-    return _with_load_text(snapshots.read_as_of(spark, r.snaps, 1, BRONZE_SCHEMA))
+def snapshot_diff(spark, feed: DataFrame) -> DataFrame:
+    """A10: what the restatement changed between the two load times."""
+    history = Restatement(spark, feed).history()
+    return snapshots.diff(snapshots.as_of(history, BASE_TS, [KEY]), snapshots.as_of(history, RESTATE_TS, [KEY]), [KEY])
 
 
-def snapshot_diff(spark, feed: DataFrame, key=None) -> DataFrame:
-    """A10: what the restatement changed between snapshots 1 and 2."""
-    r = restatement_run(spark, feed, key)
-    old = snapshots.read_as_of(spark, r.snaps, 1, BRONZE_SCHEMA)
-    new = snapshots.read_as_of(spark, r.snaps, 2, BRONZE_SCHEMA)
-    return snapshots.diff(old, new, ["route_date_key"])
+def csv_load_readback(spark, feed: DataFrame) -> DataFrame:
+    """The feed as CSV files, batch-loaded into Bronze; rows, keys
+    and partitions of the written table."""
+    root = scratch_path(spark, "csv-load")
+    path = f"{root}/landing"
+    feed.write.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    load_csv(spark, root, path, "csv", BASE_TS)
+    bronze = read_bronze(spark, root)
+    parts = quality.partition_inventory(bronze).agg(F.count(F.lit(1)).alias("partitions"))
+    # one row each: bounded
+    return quality.duplicate_key_summary(bronze).join(F.broadcast(parts), F.lit(True))
 
 
 def contract_roundtrip(spark, feed: DataFrame) -> DataFrame:
@@ -142,13 +150,14 @@ def contract_roundtrip(spark, feed: DataFrame) -> DataFrame:
     )
 
 
-def contract_schema_check(spark, silver: DataFrame, gold: DataFrame) -> DataFrame:
+def contract_schema_check(spark, gold: DataFrame) -> DataFrame:
     """Live schema of the written Gold fact and dims vs the expected
     contract, one row per expected or unexpected column."""
     root = scratch_path(spark, "star")
     layout.write_partitioned(gold, f"{root}/fact", gold_ops.GOLD_PARTITIONS)
-    gold_ops.dim_route(silver).write.parquet(f"{root}/dim_route")
-    gold_ops.dim_date(silver).write.parquet(f"{root}/dim_date")
+    fact = spark.read.schema(struct_of(gold_ops.GOLD_FIELDS)).parquet(f"{root}/fact")
+    gold_ops.dim_route(fact, ordered=False).write.parquet(f"{root}/dim_route")
+    gold_ops.dim_date(fact, ordered=False).write.parquet(f"{root}/dim_date")
     checks = []
     for name, fields in (("fact_route_month_profitability", gold_ops.GOLD_FIELDS),
                          ("dim_route", gold_ops.DIM_ROUTE_FIELDS),
@@ -162,7 +171,7 @@ def contract_schema_check(spark, silver: DataFrame, gold: DataFrame) -> DataFram
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)
-    return out.select("table", "position", "column", "expected_type", "actual_type", "status")
+    return out.select("table", "position", "column", "expected_type", "actual_type", "status", "non_null")
 
 
 def zorder_rows(silver: DataFrame) -> DataFrame:

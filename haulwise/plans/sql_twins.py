@@ -5,17 +5,12 @@ Each twin recomputes its query from the raw input tables with plain SQL
 be checked against an independent engine. Where Spark's plan differs for
 scale (exact quantile selection, aggregate instead of window, max_by
 dedupe) the SQL states the textbook form (row_number, window) — same
-answer, different algorithm.
+answer, different algorithm. Names, ratios, dates and types are written out
+here and taken from no other module, so a slip there shows as a difference.
 """
 
 from __future__ import annotations
 
-from haulwise.operators.gold import MONTH_RATIOS, MONTH_RATIOS_2, SUMMED_COUNTS, SUMMED_DOUBLES
-from haulwise.operators.silver import (
-    COST_SHARES, DENSITY, HEALTH, PER_STOP, PER_TONNE,
-)
-from haulwise.sources.contract import REQUIRED_COLUMNS
-
 
 def sdiv(n: str, d: str) -> str:
     return (f"(CASE WHEN CAST({d} AS DOUBLE) = 0 THEN NULL "
@@ -118,16 +113,72 @@ route_days AS (
 )"""
 
 
-def _metric_sql() -> str:
-    parts = [f"{sdiv(n, d)} AS {name}" for name, n, d in PER_STOP]
-    parts += [f"{sdiv(n, d)} AS {name}" for name, n, d in DENSITY[:3]]
-    parts.append(f"{sdiv('total_fuel_used_litres * 100', 'total_distance_km')} "
-                 "AS fuel_litres_per_100km")
-    parts += [f"{sdiv(n, d)} AS {name}" for name, n, d in DENSITY[3:]]
-    parts += [f"{sdiv(n, d)} AS {name}" for name, n, d in PER_TONNE]
-    parts += [f"{sdiv(n, d)} AS {name}" for name, n, d in HEALTH]
-    parts += [f"{sdiv(n, d)} AS {name}" for name, n, d in COST_SHARES]
-    return ",\n         ".join(parts)
+def _ratios(lines: str) -> str:
+    """``name = numerator / denominator`` lines as select items."""
+    out = []
+    for line in lines.strip().splitlines():
+        name, ratio = line.strip().split(" = ")
+        out.append("{} AS {}".format(sdiv(*ratio.split(" / ")), name))
+    return ",\n         ".join(out)
+
+
+DAY_RATIOS = """
+revenue_per_completed_stop = total_revenue / completed_stops
+cost_per_completed_stop = total_cost / completed_stops
+profit_per_completed_stop = gross_profit / completed_stops
+revenue_per_km = total_revenue / total_distance_km
+cost_per_km = total_cost / total_distance_km
+profit_per_km = gross_profit / total_distance_km
+fuel_litres_per_100km = total_fuel_used_litres * 100 / total_distance_km
+stops_per_labour_hour = completed_stops / total_labour_hours
+revenue_per_tonne = total_revenue / total_tonnes
+cost_per_tonne = total_cost / total_tonnes
+profit_per_tonne = gross_profit / total_tonnes
+disposal_cost_per_tonne = disposal_cost / total_tonnes
+completion_rate = completed_stops / total_stops
+missed_stop_rate = missed_stops / total_stops
+disposal_cost_share = disposal_cost / total_cost
+fuel_cost_share = fuel_cost / total_cost
+labour_cost_share = labour_cost / total_cost
+maintenance_cost_share = maintenance_cost / total_cost
+admin_cost_share = admin_cost / total_cost
+"""
+MONTH_RATIOS = """
+revenue_per_completed_stop = total_revenue / completed_stops
+cost_per_completed_stop = total_cost / completed_stops
+profit_per_completed_stop = gross_profit / completed_stops
+revenue_per_tonne = total_revenue / total_tonnes
+cost_per_tonne = total_cost / total_tonnes
+profit_per_tonne = gross_profit / total_tonnes
+disposal_cost_per_tonne = disposal_cost / total_tonnes
+fuel_litres_per_100km = total_fuel_used_litres * 100 / total_distance_km
+stops_per_labour_hour = completed_stops / total_labour_hours
+completion_rate = completed_stops / total_stops
+missed_stop_rate = missed_stops / total_stops
+disposal_cost_share = disposal_cost / total_cost
+fuel_cost_share = fuel_cost / total_cost
+labour_cost_share = labour_cost / total_cost
+maintenance_cost_share = maintenance_cost / total_cost
+admin_cost_share = admin_cost / total_cost
+pct_underperforming_days = underperforming_days / n_route_days
+"""
+MONTH_SUMS = """total_revenue total_cost net_revenue gross_profit disposal_cost fuel_cost labour_cost
+maintenance_cost admin_cost total_tonnes total_yards total_distance_km total_fuel_used_litres
+total_labour_hours""".split()
+SOURCE = """route_date_key date year month quarter day_of_week region bu area route_id
+primary_waste_stream primary_customer_segment num_drivers num_trucks total_stops completed_stops
+missed_stops total_distance_km total_fuel_used_litres total_labour_hours total_yards total_tonnes
+avg_revenue_per_stop total_revenue disposal_cost fuel_cost labour_cost maintenance_cost admin_cost
+total_cost net_revenue gross_profit gross_margin_pct scheduled_hours actual_hours delay_minutes
+on_time_flag incident_flag incident_type""".split()
+FACT_TYPES = {
+    "string": "route_id quarter region bu area", "int": "year month",
+    "bigint": "n_route_days completed_stops total_stops missed_stops incident_days underperforming_days",
+    "boolean": "month_underperforming_flag"}
+FACT = ["route_id", "year", "month", "quarter", "region", "bu", "area", "n_route_days", *MONTH_SUMS,
+        "completed_stops", "total_stops", "missed_stops", "incident_days", "underperforming_days",
+        "weighted_gross_margin_pct", *(x.split(" = ")[0] for x in MONTH_RATIOS.split("\n") if x),
+        "month_underperforming_flag"]
 
 
 def kth_sql(source: str, col: str, q: float) -> str:
@@ -143,7 +194,7 @@ def kth_sql(source: str, col: str, q: float) -> str:
 SILVER = ROUTE_DAYS + """,
 silver_base AS (
   SELECT * REPLACE (nullif(incident_type, 'None') AS incident_type),
-         """ + _metric_sql() + """
+         """ + _ratios(DAY_RATIOS) + """
   FROM route_days
 ),
 thr AS (
@@ -183,15 +234,11 @@ silver AS (
 
 def _gold_sql() -> str:
     sums = ["count(*) AS n_route_days"]
-    sums += [f"{xsum(c)} AS {c}" for c in SUMMED_DOUBLES]
-    sums += [f"CAST(sum({c}) AS BIGINT) AS {c}" for c in SUMMED_COUNTS]
+    sums += [f"{xsum(c)} AS {c}" for c in MONTH_SUMS]
+    sums += [f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("completed_stops", "total_stops", "missed_stops")]
     sums += ["CAST(sum(incident_flag) AS BIGINT) AS incident_days",
              "CAST(sum(CAST(underperforming_flag AS INTEGER)) AS BIGINT) AS underperforming_days"]
-    ratios = [f"{sdiv('gross_profit', 'total_revenue')} * 100 AS weighted_gross_margin_pct"]
-    ratios += [f"{sdiv(n, d)} AS {name}" for name, n, d in MONTH_RATIOS]
-    ratios.append(f"{sdiv('total_fuel_used_litres * 100', 'total_distance_km')} "
-                  "AS fuel_litres_per_100km")
-    ratios += [f"{sdiv(n, d)} AS {name}" for name, n, d in MONTH_RATIOS_2]
+    ratios = [f"{sdiv('gross_profit', 'total_revenue')} * 100 AS weighted_gross_margin_pct", _ratios(MONTH_RATIOS)]
     return (
         ",\ngold_sums AS (\n  SELECT route_id, year, month, quarter, region, bu, area,\n         "
         + ",\n         ".join(sums)
@@ -240,7 +287,7 @@ SELECT count(*) AS row_count,
 FROM route_days""")
     q["bronze_null_counts"] = with_ctes(R, "\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count "
-        f"FROM route_days" for c in REQUIRED_COLUMNS))
+        f"FROM route_days" for c in SOURCE if c != 'incident_type'))
     q["bronze_duplicate_keys"] = with_ctes(R, """
 SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_keys,
        count(*) FILTER (WHERE n > 1) AS duplicate_keys
@@ -251,7 +298,7 @@ SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_keys,
 FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
       GROUP BY l_orderkey, l_linenumber)"""
     q["partition_inventory"] = with_ctes(R, """
-SELECT DISTINCT year, month FROM route_days ORDER BY year, month LIMIT 6""")
+SELECT DISTINCT year, month FROM route_days ORDER BY year, month""")
 
     # --- C: Silver --------------------------------------------------------
     q["dedupe_latest"] = """
@@ -267,16 +314,19 @@ SELECT * EXCLUDE (rn) FROM (
 SELECT route_date_key, incident_flag, incident_type FROM silver_base""")
     key = "route_date_key"
     q["silver_per_stop"] = with_ctes(S, f"""
-SELECT {key}, {', '.join(n for n, _, _ in PER_STOP)} FROM silver_base""")
+SELECT {key}, revenue_per_completed_stop, cost_per_completed_stop, profit_per_completed_stop
+FROM silver_base""")
     q["silver_density"] = with_ctes(S, f"""
 SELECT {key}, revenue_per_km, cost_per_km, profit_per_km, fuel_litres_per_100km,
        stops_per_labour_hour FROM silver_base""")
     q["silver_tonne"] = with_ctes(S, f"""
-SELECT {key}, {', '.join(n for n, _, _ in PER_TONNE)} FROM silver_base""")
+SELECT {key}, revenue_per_tonne, cost_per_tonne, profit_per_tonne, disposal_cost_per_tonne
+FROM silver_base""")
     q["silver_health"] = with_ctes(S, f"""
 SELECT {key}, completion_rate, missed_stop_rate FROM silver_base""")
     q["silver_cost_shares"] = with_ctes(S, f"""
-SELECT {key}, {', '.join(n for n, _, _ in COST_SHARES)} FROM silver_base""")
+SELECT {key}, disposal_cost_share, fuel_cost_share, labour_cost_share, maintenance_cost_share,
+       admin_cost_share FROM silver_base""")
     pcts = [("p10", 0.1), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p90", 0.9)]
     q["margin_profile"] = with_ctes(S, "\nSELECT " + ",\n       ".join(
         [f"round({kth_sql('silver_base', 'gross_margin_pct', p)}, 2) AS {nm}" for nm, p in pcts]
@@ -294,6 +344,9 @@ SELECT t AS threshold,
 FROM thr""")
     q["flagged_days"] = with_ctes(S, """
 SELECT route_date_key, gross_margin_pct FROM flagged WHERE underperforming_flag""")
+    q["flagged_examples"] = with_ctes(S, """
+SELECT route_date_key, gross_margin_pct, underperformance_reason FROM flagged
+WHERE underperforming_flag""")
     q["underperformance_reason"] = with_ctes(S, """
 SELECT route_date_key, underperforming_flag, underperformance_reason FROM flagged""")
     q["route_windows"] = with_ctes(S, """
@@ -301,7 +354,8 @@ SELECT route_date_key, route_id, route_weighted_margin_pct, route_pct_days_under
        route_persistent_underperformer FROM silver""")
     q["persistent_routes"] = with_ctes(S, """
 SELECT DISTINCT route_id, region, bu, area, route_weighted_margin_pct, route_pct_days_under
-FROM silver WHERE route_persistent_underperformer""")
+FROM silver WHERE route_persistent_underperformer
+ORDER BY route_weighted_margin_pct, route_id""")
     q["rule_counts"] = with_ctes(S, f"""
 SELECT count(*) AS route_days,
        count(*) FILTER (WHERE underperforming_flag) AS underperforming_days,
@@ -329,8 +383,8 @@ HAVING count(DISTINCT region) > 1 OR count(DISTINCT bu) > 1 OR count(DISTINCT ar
     OR (count(region) > 0 AND count(region) < count(*))
     OR (count(bu) > 0 AND count(bu) < count(*))
     OR (count(area) > 0 AND count(area) < count(*))""")
-    q["dim_route"] = with_ctes(D, "\nSELECT * FROM dim_route")
-    q["dim_date"] = with_ctes(D, "\nSELECT * FROM dim_date")
+    q["dim_route"] = with_ctes(D, "\nSELECT * FROM dim_route ORDER BY route_id, region, bu, area")
+    q["dim_date"] = with_ctes(D, "\nSELECT * FROM dim_date ORDER BY date_month_key, quarter")
     q["star_slice_region_quarter"] = with_ctes(D, f"""
 SELECT r.region, d.quarter, count(*) AS route_months,
        CAST(sum(g.n_route_days) AS BIGINT) AS route_days,
@@ -339,7 +393,7 @@ SELECT r.region, d.quarter, count(*) AS route_months,
        round({sdiv(xsum('g.gross_profit'), xsum('g.total_revenue'))} * 100, 2) AS weighted_margin
 FROM gold g JOIN dim_route r ON g.route_id = r.route_id
 JOIN dim_date d ON g.year = d.year AND g.month = d.month
-GROUP BY r.region, d.quarter""")
+GROUP BY r.region, d.quarter ORDER BY r.region, d.quarter""")
 
     # --- E: analysis ------------------------------------------------------
     def hier_sql(col: str, limit: int | None = None) -> str:
@@ -366,7 +420,7 @@ SELECT underperforming_flag,
        round(avg(cost_per_completed_stop), 2) AS cost_per_stop,
        round(avg(disposal_cost_per_tonne), 2) AS disposal_per_tonne,
        round(avg(completion_rate), 3) AS completion_rate
-FROM silver GROUP BY underperforming_flag""")
+FROM silver GROUP BY underperforming_flag ORDER BY underperforming_flag NULLS FIRST""")
     specs = [("disposal_share", "disposal_cost_share", 3),
              ("disposal_per_tonne", "disposal_cost_per_tonne", 2),
              ("revenue_per_stop", "revenue_per_completed_stop", 2),
@@ -383,7 +437,8 @@ FROM silver GROUP BY underperforming_flag""")
 SELECT primary_waste_stream,
        round({wpct('gross_profit', 'total_revenue')}, 2) AS weighted_margin,
        round(avg(disposal_cost_per_tonne), 2) AS disposal_per_tonne
-FROM silver GROUP BY primary_waste_stream""")
+FROM silver GROUP BY primary_waste_stream
+ORDER BY weighted_margin NULLS FIRST, primary_waste_stream""")
     trend = f"""
 SELECT year,
        round({wpct('gross_profit', 'total_revenue')}, 2) AS weighted_margin,
@@ -392,7 +447,7 @@ SELECT year,
        round({sdiv('sum(CAST(month_underperforming_flag AS INTEGER))', 'count(*)')} * 100, 1)
          AS under_month_pct
 FROM gold GROUP BY year"""
-    q["yearly_trend"] = with_ctes(G, trend)
+    q["yearly_trend"] = with_ctes(G, trend + " ORDER BY year")
     q["trend_direction"] = with_ctes(G + ",\ntrend AS (" + trend + "\n)", """
 SELECT min(year) AS first_year, max(year) AS last_year,
        round(arg_max(weighted_margin, year) - arg_min(weighted_margin, year), 2) AS margin_change,
@@ -418,12 +473,11 @@ ORDER BY weighted_margin NULLS FIRST, area, primary_customer_segment LIMIT 10"""
 worst AS (
   SELECT route_id FROM silver GROUP BY route_id
   ORDER BY {wpct('gross_profit', 'total_revenue')} NULLS LAST, route_id LIMIT 1
-),
-target AS (SELECT DISTINCT s.route_id, s.bu, s.area FROM silver s JOIN worst w ON s.route_id = w.route_id)""", """
+)""", """
 SELECT s.route_date_key, s.date, s.route_id, s.bu, s.area, s.gross_margin_pct,
        s.underperforming_flag, s.underperformance_reason, s.disposal_cost_per_tonne,
        s.revenue_per_completed_stop
-FROM silver s JOIN target t ON s.route_id = t.route_id AND s.bu = t.bu AND s.area = t.area""")
+FROM silver s JOIN worst w ON s.route_id IS NOT DISTINCT FROM w.route_id""")
     q.update(storage_twins())
     return q
 
@@ -439,16 +493,15 @@ def _interleave_sql(cols: list[str], bits: int) -> str:
 
 
 def storage_twins() -> dict[str, str]:
-    from haulwise.operators.gold import DIM_DATE_FIELDS, DIM_ROUTE_FIELDS, GOLD_FIELDS
-    from haulwise.plans.scenarios import BASE_END, BASE_TS, RERUN_TS, RESTATE_FROM
-    from haulwise.sources.contract import SOURCE_COLUMNS
-
     q: dict[str, str] = {}
-    end, frm = f"DATE '{BASE_END.isoformat()}'", f"DATE '{RESTATE_FROM.isoformat()}'"
+    base_ts, restate_ts, rerun_ts = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
+    end, frm = "(SELECT base_end FROM dates)", "(SELECT restate_from FROM dates)"
     restated = f"date < {end}"
     disp = "disposal_cost * CAST(1.1 AS DOUBLE)"
     cost = f"(total_cost - disposal_cost + {disp})"
     scen = ROUTE_DAYS + f""",
+dates AS (SELECT min(date) + CAST((max(date) - min(date)) * 3 // 4 AS INTEGER) AS base_end,
+                 min(date) + CAST((max(date) - min(date)) // 2 AS INTEGER) AS restate_from FROM route_days),
 base AS (SELECT * FROM route_days WHERE date < {end}),
 batch AS (
   SELECT * REPLACE (
@@ -460,33 +513,37 @@ batch AS (
          ELSE gross_margin_pct END AS gross_margin_pct)
   FROM route_days WHERE date >= {frm}
 )"""
-    cols = ", ".join(SOURCE_COLUMNS)
+    cols = ", ".join(SOURCE)
     q["upsert_result"] = with_ctes(scen, f"""
-SELECT {cols}, '{RERUN_TS}' AS load_ts FROM batch
+SELECT {cols}, '{rerun_ts}' AS load_ts FROM batch
 UNION ALL
-SELECT {cols}, '{BASE_TS}' AS load_ts FROM base
+SELECT {cols}, '{base_ts}' AS load_ts FROM base
 WHERE route_date_key NOT IN (SELECT route_date_key FROM batch)""")
     q["load_audit"] = with_ctes(scen, f"""
-SELECT 'base' AS batch_id, count(*) AS rows_in, count(*) AS inserted,
+SELECT 'base' AS batch_id, 'CREATE' AS operation, '{base_ts}' AS load_ts, count(*) AS rows_in, count(*) AS inserted,
        CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged,
        count(DISTINCT (year, month)) AS partitions_touched FROM base
 UNION ALL
-SELECT 'restatement', count(*), count(*) FILTER (WHERE date >= {end}),
+SELECT 'restatement', 'MERGE', '{restate_ts}', count(*), count(*) FILTER (WHERE date >= {end}),
        count(*) FILTER (WHERE date < {end}), 0, count(DISTINCT (year, month)) FROM batch
 UNION ALL
-SELECT 'rerun', count(*), 0, 0, count(*), count(DISTINCT (year, month)) FROM batch""")
+SELECT 'rerun', 'MERGE', '{rerun_ts}', count(*), 0, 0, count(*), count(DISTINCT (year, month)) FROM batch""")
+    q["csv_load_readback"] = with_ctes(ROUTE_DAYS, """
+SELECT count(*) AS row_count, count(DISTINCT route_date_key) AS distinct_keys,
+       count(*) - count(DISTINCT route_date_key) AS duplicate_keys,
+       count(DISTINCT (year, month)) AS partitions FROM route_days""")
     q["snapshot_as_of"] = with_ctes(scen, f"""
-SELECT {cols}, '{BASE_TS}' AS load_ts FROM base""")
+SELECT {cols}, '{base_ts}' AS load_ts FROM base""")
     changed = ", ".join(
         f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '{c}' END"
-        for c in SOURCE_COLUMNS if c != "route_date_key") + \
+        for c in SOURCE if c != "route_date_key") + \
         ", CASE WHEN o.ts IS DISTINCT FROM n.ts THEN 'ingestion_ts' END"
     q["snapshot_diff"] = with_ctes(scen + f""",
-old_v AS (SELECT *, TIMESTAMP '{BASE_TS}' AS ts FROM base),
+old_v AS (SELECT *, TIMESTAMP '{base_ts}' AS ts FROM base),
 new_v AS (
-  SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS ts FROM batch
+  SELECT *, TIMESTAMP '{restate_ts}' AS ts FROM batch
   UNION ALL
-  SELECT *, TIMESTAMP '{BASE_TS}' AS ts FROM base
+  SELECT *, TIMESTAMP '{base_ts}' AS ts FROM base
   WHERE route_date_key NOT IN (SELECT route_date_key FROM batch)
 )""", f"""
 SELECT n.route_date_key, 'added' AS change, CAST(NULL AS VARCHAR) AS changed_columns
@@ -500,16 +557,16 @@ SELECT * FROM (
   FROM old_v o JOIN new_v n ON o.route_date_key = n.route_date_key
 ) WHERE changed_columns <> ''""")
     q["contract_roundtrip"] = with_ctes(ROUTE_DAYS, f"""
-SELECT *, true AS has_source_file, '{BASE_TS}' AS load_ts FROM route_days""")
-    rows = []
-    for table, fields in (("fact_route_month_profitability", GOLD_FIELDS),
-                          ("dim_route", DIM_ROUTE_FIELDS), ("dim_date", DIM_DATE_FIELDS)):
-        for pos, (name, typ) in enumerate(fields):
-            rows.append(f"('{table}', {pos}, '{name}', '{typ}', '{typ}', 'ok')")
-    q["contract_schema_check"] = (
-        "SELECT \"table\", CAST(position AS INTEGER) AS position, \"column\", expected_type, "
-        "actual_type, status FROM (VALUES " + ", ".join(rows) +
-        ") AS t(\"table\", position, \"column\", expected_type, actual_type, status)")
+SELECT *, true AS has_source_file, '{base_ts}' AS load_ts FROM route_days""")
+    kind = {c: t for t, names in FACT_TYPES.items() for c in names.split()}
+    tables = {"fact_route_month_profitability": ("gold", [(c, kind.get(c, "double")) for c in FACT]),
+              "dim_route": ("dim_route", [(c, "string") for c in ("route_id", "region", "bu", "area")]),
+              "dim_date": ("dim_date", [("date_month_key", "int"), ("year", "int"), ("month", "int"),
+                                        ("quarter", "string"), ("month_start_date", "date")])}
+    q["contract_schema_check"] = with_ctes(DIMS, "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS \"table\", CAST({k} AS INTEGER) AS position, '{c}' AS \"column\", "
+        f"'{t}' AS expected_type, '{t}' AS actual_type, 'ok' AS status, count({c}) AS non_null FROM {cte}"
+        for table, (cte, fields) in tables.items() for k, (c, t) in enumerate(fields)))
 
     bits = 63 // 3
     zcols = ["bu", "area", "route_id"]

@@ -56,29 +56,14 @@ def disposal_rate(k: Column) -> Column:
     return (_d("0.20") + _d("0.05") * (k % 4) + surcharge).cast(DISC)
 
 
-# Largest dictionary built as a local table (checked with a bounded look at
-# the distinct values); above it the distributed rank is used.
-MAX_LOCAL_DICTIONARY = 10_000
-
-
-def dictionary(values: DataFrame, col: str, code: str,
-               max_local: int = MAX_LOCAL_DICTIONARY) -> DataFrame:
+def dictionary(values: DataFrame, col: str, code: str) -> DataFrame:
     """Order-preserving dictionary of a string column: ``(col, code)`` with
     ``code`` the value's rank among the distinct non-null values, so
-    ``min(code)`` decodes to ``min(col)``.
-
-    A bounded look (``distinct().limit(max_local + 1)``) decides the build:
-    up to ``max_local`` values are ranked into a small local table (Python
-    orders strings by code point, which is Spark's UTF-8 byte order); more
-    values use the distributed rank of ``layout.ordinals`` (no single-task
-    sort, nothing unbounded on the driver)."""
+    ``min(code)`` decodes to ``min(col)``. The rank is distributed
+    (``layout.ordinals``: no single-task sort, nothing on the driver), and no
+    job starts while the query is being built; the planner broadcasts the
+    dictionary when its measured size is small."""
     distinct = values.select(col).where(F.col(col).isNotNull()).distinct()
-    head = [r[0] for r in distinct.limit(max_local + 1).collect()]
-    if len(head) <= max_local:
-        ranked = [(v, i) for i, v in enumerate(sorted(head))]
-        # at most max_local rows (checked above): safe to broadcast
-        return F.broadcast(
-            values.sparkSession.createDataFrame(ranked, f"{col} string, {code} bigint"))
     return ordinals(distinct, [col]).select(F.col("c0").alias(col), F.col("ord").alias(code))
 
 

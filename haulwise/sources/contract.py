@@ -125,24 +125,22 @@ def struct_of(fields) -> StructType:
 
 
 def schema_check(df: DataFrame, expected: StructType) -> DataFrame:
-    """Live vs expected columns as rows ``(column, expected_type,
-    actual_type, status)`` with status ``ok``/``missing``/``unexpected``/
-    ``type_mismatch``. Built on the driver from two schemas (metadata only,
-    no data is read) and returned as a small DataFrame."""
-    spark = df.sparkSession
+    """Live vs expected columns as rows ``(position, column, expected_type,
+    actual_type, status, non_null)`` with status ``ok``/``missing``/
+    ``unexpected``/``type_mismatch`` and the number of values the table has in
+    the column (null for a missing one). The counts are one aggregate over the
+    table, unpivoted with ``stack``."""
     live = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     want = {f.name: f.dataType.simpleString() for f in expected.fields}
+    names = [*want, *(n for n in df.columns if n not in want)]
+    quoted = lambda v: "CAST(NULL AS STRING)" if v is None else f"'{v}'"
     rows = []
-    for pos, name in enumerate(expected.fieldNames()):
-        got = live.get(name)
-        status = ("missing" if got is None
-                  else "ok" if got == want[name] else "type_mismatch")
-        rows.append((pos, name, want[name], got, status))
-    extra = [n for n in df.columns if n not in want]
-    for i, name in enumerate(extra):
-        rows.append((len(want) + i, name, None, live[name], "unexpected"))
-    return spark.createDataFrame(
-        rows,
-        "position int, column string, expected_type string, "
-        "actual_type string, status string",
-    )
+    for pos, name in enumerate(names):
+        w, got = want.get(name), live.get(name)
+        status = ("unexpected" if w is None else "missing" if got is None
+                  else "ok" if got == w else "type_mismatch")
+        n = f"_n{pos}" if got else "CAST(NULL AS BIGINT)"
+        rows.append(f"{pos}, '{name}', {quoted(w)}, {quoted(got)}, '{status}', {n}")
+    counts = df.agg(*[F.count(F.col(f"`{n}`")).alias(f"_n{k}") for k, n in enumerate(names) if n in live])
+    return counts.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS "
+                             "(position, column, expected_type, actual_type, status, non_null)")

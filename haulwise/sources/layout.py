@@ -116,20 +116,26 @@ def interleave(ords: Sequence[Column]) -> Column:
 
 
 def zorder_value(df: DataFrame, cols: Sequence[str], out: str = "_z") -> DataFrame:
-    """Add a z-order value over ``cols``. The ordinal table (one row per
-    distinct value of each column) is computed once and written to the
-    shared checkpoint folder; each column then joins it back on the value —
-    the planner broadcasts it when its measured size is small and shuffles
-    otherwise."""
+    """Add a z-order value over ``cols``. The distinct combinations of the
+    columns are found first (one partially aggregated pass); ordinals and the
+    z-value are computed per combination and written to the shared checkpoint
+    folder, and one join on all the columns brings it back to the rows. The
+    planner broadcasts that table when its measured size is small; otherwise
+    the join shuffles on the whole combination, with skewed ones split."""
     cols = list(cols)
-    ords = cut_lineage(ordinals(df, cols), "zorder-ordinals")
-    res = df
+    combos = cut_lineage(df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)]).distinct(),
+                         "zorder-combinations")
+    ords = cut_lineage(ordinals(combos, combos.columns), "zorder-ordinals")
+    z = combos
+    for i in range(len(cols)):
+        o = ords.where(F.col("ci") == i).select(F.col(f"c{i}").alias("_v"), F.col("ord").alias(f"_o{i}"))
+        z = z.join(o, F.col(f"_k{i}").eqNullSafe(F.col("_v")), "left").drop("_v")
+    z = z.select(*combos.columns, interleave([F.col(f"_o{i}") for i in range(len(cols))]).alias(out))
+    z = cut_lineage(z, "zorder-values")
+    on = F.lit(True)
     for i, c in enumerate(cols):
-        o = ords.where(F.col("ci") == i).select(
-            F.col(f"c{i}").alias(f"_v{i}"), F.col("ord").alias(f"_o{i}"))
-        res = res.join(o, F.col(c).eqNullSafe(F.col(f"_v{i}")), "left").drop(f"_v{i}")
-    res = res.withColumn(out, interleave([F.col(f"_o{i}") for i in range(len(cols))]))
-    return res.drop(*[f"_o{i}" for i in range(len(cols))])
+        on = on & df[c].eqNullSafe(z[f"_k{i}"])
+    return df.join(z, on, "left").drop(*combos.columns)
 
 
 def clustered(df: DataFrame, partition_cols: Sequence[str], zorder_cols: Sequence[str],
@@ -194,6 +200,11 @@ def compact(df: DataFrame, path: str, partition_cols: Sequence[str],
     write_partitioned(df, path, partition_cols, num_files=files)
 
 
+def file_count(spark, path: str) -> int:
+    """Data files with rows under ``path``."""
+    return spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+
+
 def file_stats(spark, path: str, cols: Sequence[str] = ()) -> DataFrame:
     """Rows per data file and the min/max of ``cols`` inside each file —
     how well a layout supports file skipping (a DataFrame job, no listing

@@ -24,19 +24,9 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str,
-               schema: StructType | None = None) -> DataFrame:
-    """Scan a written layer table.
-
-    Pass ``schema`` to stop partition-column type inference (a string
-    partition value such as ``'01'`` would otherwise come back as int) and
-    to restore the contract's column order (partition columns come back
-    last on a plain parquet read).
+               schema: StructType) -> DataFrame:
+    """Scan a written layer table under its schema, which stops partition
+    values from being guessed (a string ``'01'`` would come back as int) and
+    restores the column order (partition columns come last in a plain read).
     """
-    path = layer_path(root, layer, table)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(path)
-    if schema is not None:
-        df = df.select(*schema.fieldNames())
-    return df
+    return spark.read.schema(schema).parquet(layer_path(root, layer, table)).select(*schema.fieldNames())

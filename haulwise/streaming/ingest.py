@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from haulwise.plans.medallion import ingest_bronze
 from haulwise.session import scratch_path
 from haulwise.sources.contract import SOURCE_SCHEMA, with_ingestion_metadata
-from haulwise.sources.upsert import audit_path_for, read_audit
+from haulwise.sources.upsert import AUDIT_SCHEMA, audit_path_for, read_if_there
 
 
 def source_stream(spark: SparkSession, landing_dir: str,
@@ -38,11 +38,8 @@ def source_stream(spark: SparkSession, landing_dir: str,
 
 
 def _already_loaded(spark: SparkSession, root: str, batch_id: str) -> bool:
-    try:
-        audit = read_audit(spark, audit_path_for(root, "route_days"))
-    except Exception:  # no load yet
-        return False
-    return audit.where(F.col("batch_id") == batch_id).limit(1).count() > 0
+    audit = read_if_there(spark, audit_path_for(root, "route_days"), AUDIT_SCHEMA)
+    return audit is not None and audit.where(F.col("batch_id") == batch_id).limit(1).count() > 0
 
 
 def ingest_epoch(spark: SparkSession, root: str, df: DataFrame, batch_id: str):

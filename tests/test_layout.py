@@ -79,16 +79,34 @@ def test_hot_value_is_split_across_tasks(spark, scratch):
     assert len(stats2) >= 5 and max(r["rows"] for r in stats2) < n // 3
 
 
-def test_dictionary_local_and_distributed_agree(spark):
+def test_dictionary_follows_string_order(spark):
     from haulwise.sources.adapter import dictionary
     vals = ["STANDARD BRASS", "ECONOMY TIN", None, "Zeta", "alpha", "ECONOMY TIN", "éclair", "B"]
     df = spark.createDataFrame([(v,) for v in vals], "t string")
-    local = {r["t"]: r["code"] for r in dictionary(df, "t", "code").collect()}
-    dist = {r["t"]: r["code"] for r in dictionary(df, "t", "code", max_local=2).collect()}
-    assert local == dist
+    codes = {r["t"]: r["code"] for r in dictionary(df, "t", "code").collect()}
     distinct = sorted({v for v in vals if v is not None})
-    assert [local[v] for v in distinct] == list(range(len(distinct)))
-    # min(code) decodes to Spark's min(string)
-    want = df.agg(F.min("t")).first()[0]
-    got = min(local.items(), key=lambda kv: kv[1])[0]
-    assert got == want
+    assert [codes[v] for v in distinct] == list(range(len(distinct)))
+    assert min(codes, key=codes.get) == df.agg(F.min("t")).first()[0]
+
+
+def test_clustered_silver_is_what_readers_get_and_skips_files(spark, sf_small, scratch):
+    """The drill-down slice reads fewer files of a clustered Silver: those
+    whose range of routes holds the route."""
+    from haulwise.operators import analysis
+    from haulwise.plans import medallion as M
+    from haulwise.sources.adapter import route_days
+    from haulwise.sources.tables import layer_path
+    M.build_all(spark, scratch, route_days(spark, sf_small), ingestion_ts="2024-01-01 00:00:00")
+    path = layer_path(scratch, "silver", "route_days")
+    before = sorted(r[0] for r in M.read_silver(spark, scratch).select("route_date_key").collect())
+    counts = M.cluster_silver(spark, scratch, num_files=60)
+    assert counts["files_before"] > 0 and counts["files_after"] == layout.file_count(spark, path)
+    silver = M.read_silver(spark, scratch)
+    assert sorted(r[0] for r in silver.select("route_date_key").collect()) == before
+    route = analysis.worst_route(silver).first()["route_id"]
+    stats = layout.file_stats(spark, path, ["route_id"])
+    may_hold = stats.where(F.lit(route).between(F.col("route_id_min"), F.col("route_id_max"))).count()
+    assert may_hold < stats.count()
+    geo = silver.where(F.col("route_id") == route).select("bu", "area").distinct().first()
+    part = analysis.drilldown_slice(silver, geo["bu"], geo["area"], route)
+    assert sorted(part.collect()) == sorted(analysis.route_drilldown(silver).collect())

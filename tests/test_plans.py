@@ -67,6 +67,37 @@ def test_dedupe_with_a_hot_key(spark):
     assert "partial_max_by" in p or "partial_max" in p  # hot key reduced map-side
 
 
+def test_dedupe_scans_its_input_once(spark, sf_small):
+    from haulwise.plans.catalog import catalog
+    df = catalog()["dedupe_latest"](spark, sf_small)
+    df.collect()
+    text = plan(df).split("Initial Plan")[0]
+    assert text.count("FileScan") == 1
+
+
+def test_keep_latest_on_bronze_rows(spark, sf_small):
+    feed = route_days(spark, sf_small).where(F.col("date") < "1995-02-01")
+    early = with_ingestion_metadata(feed, "2024-01-01 00:00:00")
+    late = with_ingestion_metadata(feed.where("month = 1").withColumn("total_cost", F.lit(7.0)), "2024-03-01 00:00:00")
+    kept = silver_ops.keep_latest(early.unionByName(late))
+    assert kept.columns == early.columns and kept.count() == feed.count()
+    assert {r[0] for r in kept.where("month = 1").select("total_cost").distinct().collect()} == {7.0}
+    assert kept.where("month <> 1 and total_cost = 7.0").count() == feed.where("month <> 1 and total_cost = 7.0").count()
+
+
+def test_planted_geography_violations_are_found(spark, sf_small):
+    from haulwise.operators.gold import geo_dependency_violations
+    silver = route_days(spark, sf_small).select("route_id", "region", "bu", "area", "route_date_key")
+    routes = [r[0] for r in silver.select("route_id").distinct().orderBy("route_id").limit(2).collect()]
+    first = silver.groupBy("route_id").agg(F.min("route_date_key").alias("k")).select("k")
+    is_first = F.col("k").isNotNull()
+    planted = (silver.join(first, silver.route_date_key == first.k, "left")
+               .withColumn("region", F.when(is_first & (F.col("route_id") == routes[0]), "ELSEWHERE").otherwise(F.col("region")))
+               .withColumn("area", F.when(is_first & (F.col("route_id") == routes[1]), F.lit(None)).otherwise(F.col("area"))))
+    assert geo_dependency_violations(silver).count() == 0
+    assert sorted(r["route_id"] for r in geo_dependency_violations(planted).collect()) == routes
+
+
 def test_route_rollup_with_a_hot_route(spark, sf_small):
     # copy one route's days to make it hold a third of the rows; the route
     # columns must still equal a direct computation

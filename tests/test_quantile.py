@@ -1,5 +1,5 @@
-"""Distributed exact selection vs brute force, including the banded path
-(forced with a tiny ``max_exact``) and heavy ties."""
+"""Distributed exact selection vs brute force, with coarse brackets that take
+several rounds, and heavy ties."""
 
 import math
 import random
@@ -23,7 +23,7 @@ def test_banded_selection_matches_brute_force(spark, seed, q):
     rnd = random.Random(seed)
     vals = [rnd.gauss(40, 30) for _ in range(3000)] + [None] * 7
     df = spark.createDataFrame([(v,) for v in vals], "m double")
-    got = discrete_quantile(df, "m", q, materialize=False, accuracy=100, max_exact=50)
+    got = discrete_quantile(df, "m", q, materialize=False, accuracy=100)
     assert got == brute(vals, q)
 
 
@@ -32,8 +32,7 @@ def test_heavy_ties_one_value_holds_a_third(spark):
     vals = [5.0] * 1000 + [rnd.uniform(-100, 100) for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in vals], "m double")
     for q in (0.1, 0.3, 0.5, 0.52, 0.9):
-        assert discrete_quantile(df, "m", q, materialize=False, accuracy=50,
-                                 max_exact=20) == brute(vals, q)
+        assert discrete_quantile(df, "m", q, materialize=False, accuracy=50) == brute(vals, q)
 
 
 def test_every_rank_small(spark):
@@ -41,7 +40,18 @@ def test_every_rank_small(spark):
     df = spark.createDataFrame([(v,) for v in vals], "m double")
     s = sorted(vals)
     for r in range(1, len(vals) + 1):
-        assert kth_smallest(df, "m", r, max_exact=2, accuracy=10) == s[r - 1]
+        assert kth_smallest(df, "m", r, accuracy=10) == s[r - 1]
+
+
+def test_two_values_take_one_round(spark):
+    df = spark.createDataFrame([(1.0,)] * 500 + [(2.0,)] * 500, "m double")
+    sc = spark.sparkContext
+    sc.setJobGroup("two-values", "")
+    try:
+        assert discrete_quantile(df, "m", 0.5, materialize=False) == 1.0
+        assert len(sc.statusTracker().getJobIdsForGroup("two-values")) < 12
+    finally:
+        sc._jsc.clearJobGroup()
 
 
 def test_all_null_is_none(spark):

@@ -1,6 +1,7 @@
 """File-stream ingest: new CSV drops are upserted once each, restated days
 update in place, and a restart with the same checkpoint skips old files."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ def test_stream_ingest_and_restatement(spark, sf_small, scratch):
     q.awaitTermination()
     assert read_bronze(spark, root).count() == early.count()
 
-    late = restatement_batch(feed).select(*SOURCE_COLUMNS)
+    late = restatement_batch(feed, dt.date(2001, 7, 1), dt.date(2001, 1, 1)).select(*SOURCE_COLUMNS)
     _drop(late, os.path.join(scratch, "day2"))
     for f in os.listdir(os.path.join(scratch, "day2")):
         if f.endswith(".csv"):
