@@ -63,9 +63,11 @@ class _Ends:
                     [pa.array(k), pa.array((end - low[k] - 1) // step[k]), pa.array(end)], names=["gap", "cell", "end"])
 
         rows = (self.groups.select("end").mapInArrow(cells, "gap long, cell long, end long")
-                .groupBy("gap", "cell").agg(F.max("end").alias("end"), F.count("*").alias("n")).toPandas())
+                .groupBy("gap", "cell")
+                .agg(F.min("end").alias("least"), F.max("end").alias("most"), F.count("*").alias("n")).toPandas())
         known = dict(zip(self.at[1:].tolist(), self.whole.tolist(), strict=True))
-        known |= dict(zip(rows.end.tolist(), (rows.n == 1).tolist(), strict=True))
+        known |= dict(zip(rows.most.tolist(), (rows.n <= 2).tolist(), strict=True))
+        known |= dict.fromkeys(rows.least.tolist(), True)
         ends = sorted(known)
         self.at = np.array([0, *ends], np.int64)
         self.whole = np.array([known[e] for e in ends])
