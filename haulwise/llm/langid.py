@@ -93,8 +93,11 @@ def fit(docs: DataFrame, learn: Column, *, bits: int = 15) -> tuple[Sequence[str
     counts = np.zeros((len(langs), size))
     counts[rows.lang.map({x: k for k, x in enumerate(langs)}).to_numpy(np.int64), rows.bucket] = rows.n
     code = codewords(len(langs))
+    # unseen triples take their share of all text, the more the fewer were seen;
     # each language weighs the same on its side of a bit
-    p = (counts + 0.1) / (counts + 0.1).sum(axis=1, keepdims=True)
+    pooled = (counts.sum(axis=0) + 0.1) / (counts.sum() + 0.1 * size)
+    seen = (counts > 0).sum(axis=1, keepdims=True) + 1
+    p = (counts + seen * pooled) / (counts.sum(axis=1, keepdims=True) + seen)
     weights = np.empty((size, code.shape[1]), np.float32)
     for k in range(code.shape[1]):
         one, zero = p[code[:, k] > 0].mean(axis=0), p[code[:, k] < 0].mean(axis=0)
