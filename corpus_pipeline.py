@@ -35,7 +35,7 @@ def _ids_without(rows: DataFrame, stays: Column) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the importance resampling leaves out. Without usable labels
     every document stays."""
-    judged = quality.importance_resample(docs, read_input(spark, sf_dir, "labels"))
+    judged = quality.importance_resample(docs, read_input(spark, sf_dir, "labels"), stratum="lang")
     return _without(docs, _ids_without(judged, F.col("selected")))
 
 

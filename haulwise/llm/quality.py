@@ -2,13 +2,17 @@
 
 Two generative models over hashed n-grams (words, word pairs, byte triples)
 are counted: one of the target text (documents labelled good and not toxic)
-and one of the raw text (every document). A document's log weight is the mean
-log ratio of its n-grams, summed over the three families. Gumbel noise is
-added to the scaled weight and the top k documents are kept, which samples
-without replacement in proportion to the weights.
+and one of the raw text (every document), each in strata such as languages.
+A document's log weight is the mean log ratio of its n-grams, summed over the
+three families. Ratios are taken from their mean over the target text, so that
+a typical good document of any stratum has weight 0, and the mean of a short
+document is drawn toward that. Gumbel noise is added to the scaled weight and
+the top k documents are kept, which samples without replacement in proportion
+to the weights.
 
 k is the number of documents whose log weight reaches the cut that best parts
-the held-out labelled documents (good against not good, equal weight).
+the held-out labelled documents (good against not good, equal weight), or a
+lower one if that would drop more than a small share of the good.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from haulwise.llm.common import RollingHash, mix, running, text_slices, word_bou
 from haulwise.session import cut_lineage
 
 FAMILIES = 3
+SHRINK = 20  # n-grams of weight 0 that every document has besides its own
 
 
 def _features(data: np.ndarray, offsets: np.ndarray, hasher: RollingHash, bits: int):
@@ -54,21 +59,34 @@ def _label_sample(labels: DataFrame, bound: int) -> dict[int, tuple[bool, bool]]
     return {r.doc_id: (r.good, r.h & 1 == 0) for r in rows}
 
 
-def _ratios(docs: DataFrame, sample: dict, bits: int) -> np.ndarray:
-    """Log ratio of target to raw probability of each family's buckets, with
-    half a count added everywhere."""
+def _strata(docs: DataFrame, bound: int) -> dict:
+    """Value to number: the ``bound`` most frequent values of ``stratum``;
+    all others, and null, share the last number."""
+    rows = (docs.where("stratum is not null").groupBy("stratum").count()
+            .orderBy(F.desc("count"), "stratum").limit(bound).collect())
+    return {r[0]: k for k, r in enumerate(rows)}
+
+
+def _ratios(docs: DataFrame, sample: dict, strata: dict, bits: int) -> np.ndarray:
+    """Log ratio of target to raw probability of each stratum's and family's
+    buckets, less its mean over the target text. Buckets have half a count more in the raw text, and the stratum's
+    share of that in the target; a stratum without target text has ratio 0."""
     size = 1 << bits
 
     def count(batches):
         hasher = RollingHash()
-        total = np.zeros((2, FAMILIES, size), np.int64)
+        total = np.zeros((2, len(strata) + 1, FAMILIES, size), np.int64)
         for batch in batches:
             target = np.array([sample.get(i, (False, False)) == (True, True)
                                for i in batch.column(0).to_pylist()], bool)
+            part = np.array([strata.get(x, len(strata)) for x in batch.column(2).to_pylist()], np.int64)
             for lo, hi, data, offsets in text_slices(batch.column(1)):
                 for k, (bucket, row) in enumerate(_features(data, offsets, hasher, bits)):
-                    total[0, k] += np.bincount(bucket, minlength=size)
-                    total[1, k] += np.bincount(bucket[target[lo:hi][row]], minlength=size)
+                    own = part[lo:hi][row]
+                    for p in np.unique(own).tolist():
+                        here = own == p
+                        total[0, p, k] += np.bincount(bucket[here], minlength=size)
+                        total[1, p, k] += np.bincount(bucket[here & target[lo:hi][row]], minlength=size)
         flat = total.reshape(2, -1)
         some = np.flatnonzero(flat[0])
         yield pa.RecordBatch.from_arrays(
@@ -77,28 +95,35 @@ def _ratios(docs: DataFrame, sample: dict, bits: int) -> np.ndarray:
 
     sums = (docs.mapInArrow(count, "bucket int, raw long, target long")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
-    rows = sums.toPandas()  # at most FAMILIES * 2**bits rows
-    counts = np.zeros((2, FAMILIES * size))
+    rows = sums.toPandas()  # at most (strata + 1) * FAMILIES * 2**bits rows
+    counts = np.zeros((2, (len(strata) + 1) * FAMILIES * size))
     counts[0, rows.bucket] = rows.raw
     counts[1, rows.bucket] = rows.target
-    counts = counts.reshape(2, FAMILIES, size) + 0.5
-    p = counts / counts.sum(axis=2, keepdims=True)
-    return np.log(p[1] / p[0]).astype(np.float32)
+    raw, target = counts.reshape(2, len(strata) + 1, FAMILIES, size)
+    totals = raw.sum(axis=2, keepdims=True), target.sum(axis=2, keepdims=True)
+    share = totals[1] / np.maximum(totals[0], 1)
+    p = (target + 0.5 * share) / np.maximum(totals[1] + 0.5 * size * share, 1e-9)
+    q = (raw + 0.5) / (totals[0] + 0.5 * size)
+    ratio = np.where(totals[1] > 0, np.log(np.maximum(p, 1e-300) / q), 0)
+    return (ratio - (p * ratio).sum(axis=2, keepdims=True)).astype(np.float32)
 
 
-def _weigh(ratios: np.ndarray, sample: dict, seed: int):
-    bits = int(ratios.shape[1]).bit_length() - 1
+def _weigh(ratios: np.ndarray, sample: dict, strata: dict):
+    size = ratios.shape[2]
+    bits = int(size).bit_length() - 1
+    flat = [ratios[:, k].ravel() for k in range(FAMILIES)]
 
     def weigh(batches):
         hasher = RollingHash()
         for batch in batches:
             n = batch.num_rows
             weight = np.zeros(n)
+            part = np.array([strata.get(x, len(strata)) for x in batch.column(2).to_pylist()], np.int64)
             for lo, hi, data, offsets in text_slices(batch.column(1)):
                 for k, (bucket, row) in enumerate(_features(data, offsets, hasher, bits)):
                     grams = np.bincount(row, minlength=hi - lo)
-                    weight[lo:hi] += (np.bincount(row, ratios[k][bucket], hi - lo)
-                                      / np.maximum(grams, 1))
+                    weight[lo:hi] += (np.bincount(row, flat[k][part[lo:hi][row] * size + bucket], hi - lo)
+                                      / (grams + SHRINK))
             known = [sample.get(i) for i in batch.column(0).to_pylist()]
             good = [None if s is None or s[1] else s[0] for s in known]
             yield pa.RecordBatch.from_arrays(
@@ -125,13 +150,17 @@ def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
     return float(w[at - 1] + w[at]) / 2
 
 
-def importance_resample(docs: DataFrame, labels: DataFrame, *, bits: int = 16,
-                        label_bound: int = 20_000, temperature: float = 0.004,
-                        seed: int = 7) -> DataFrame:
+def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | None = None, bits: int = 15,
+                        label_bound: int = 20_000, strata_bound: int = 15, good_loss: float = 0.01,
+                        temperature: float = 0.004, seed: int = 7) -> DataFrame:
     """``(doc_id, log_weight, sample_key, selected)``, one row per row of
-    ``docs`` (doc_id, text; further columns are ignored).
+    ``docs`` (doc_id, text and the ``stratum`` column, if one is named;
+    further columns are ignored).
 
-    ``bits``: buckets of a family as a power of two. ``label_bound``: labelled
+    ``stratum``: a column such as the language, whose ``strata_bound`` most
+    frequent values have models of their own; all others and null share one.
+    ``bits``: buckets of a family as a power of two. ``good_loss``: the share
+    of held-out good documents that the cut may drop. ``label_bound``: labelled
     documents of either kind that are used, at most; raw counts, weights and
     the choice cover every document. ``temperature`` scales the Gumbel noise.
 
@@ -140,20 +169,23 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, bits: int = 16,
     labels, without others, or without documents nothing is rejected. Repeated
     rows are weighed and drawn each for itself, with equal noise.
     """
-    docs = docs.select("doc_id", "text")
+    named = F.col(stratum) if stratum else F.lit(None)
+    docs = docs.select("doc_id", "text", named.cast("string").alias("stratum"))
+    strata = _strata(docs, strata_bound) if stratum else {}
     sample = _label_sample(labels, label_bound)
     kinds = {g for g, _ in sample.values()}
-    ratios = (_ratios(docs, sample, bits) if len(kinds) == 2
-              else np.zeros((FAMILIES, 1 << bits), np.float32))
+    ratios = (_ratios(docs, sample, strata, bits) if len(kinds) == 2
+              else np.zeros((len(strata) + 1, FAMILIES, 1 << bits), np.float32))
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     weighed = cut_lineage(
-        docs.mapInArrow(_weigh(ratios, sample, seed),
+        docs.mapInArrow(_weigh(ratios, sample, strata),
                         "doc_id long, log_weight double, held_out_good boolean")
         .withColumn("sample_key", F.col("log_weight") / temperature - F.log(-F.log(uniform))),
         "quality-weights")
     held = weighed.where("held_out_good is not null").select("log_weight", "held_out_good").toPandas()
     both = held.held_out_good.nunique() == 2  # at most 2 * label_bound rows
-    cut = best_cut(held.log_weight.to_numpy(), held.held_out_good.to_numpy(bool)) if both else float("-inf")
+    weights, good = held.log_weight.to_numpy(), held.held_out_good.to_numpy(bool)
+    cut = min(best_cut(weights, good), np.quantile(weights[good], good_loss, method="lower")) if both else float("-inf")
     k = weighed.where(F.col("log_weight") >= cut).count()
     ranked = running(weighed.withColumn("_down", -F.col("sample_key")), ["_down", "doc_id"],
                      F.lit(1), "rank", "quality-ranks")

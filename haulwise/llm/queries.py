@@ -69,7 +69,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.importance_resample(read_input(spark, sf_dir, "documents"), read_input(spark, sf_dir, "labels"))
+    return quality.importance_resample(read_input(spark, sf_dir, "documents"), read_input(spark, sf_dir, "labels"),
+                                       stratum="lang")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
