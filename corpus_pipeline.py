@@ -63,8 +63,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of what they decode to."""
-    path = public_tokenizers.path(RANKS)
-    return bpe.digests(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path))
+    return bpe.digests(bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decoded=True))
 
 
 STAGES = [("quality classifier", quality_stage), ("simhash near-dedup", near_duplicate_stage),

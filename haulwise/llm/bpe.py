@@ -17,11 +17,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwise.llm.common import text_slices
-from haulwise.llm.lexicon import Answers, bucket_count, pack, token_rows, unpack, unpack_words, word_rows
-from haulwise.llm.secret_scan import read_ranks
+from haulwise.llm.common import read_ranks, text_slices, token_encoding
+from haulwise.llm.lexicon import Answers, WordIds, bucket_count, pack, token_rows, unpack, unpack_words, word_rows
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
+ID_SLICE = 1 << 18  # ids that are decoded at a time
 # Characters with the White_Space property
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -102,19 +102,13 @@ def _encode_words(blob, pattern: str):
     """Encodes every distinct word of a partition once, for all its blocks."""
 
     def encode(batches):
-        import tiktoken
-
-        encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(blob.value), special_tokens={})
-        known: dict[bytes, list[int]] = {}
+        encoding = token_encoding(blob.value, pattern)
+        known = WordIds(lambda words: encoding.encode_ordinary_batch([w.decode() for w in words], num_threads=1))
         for batch in batches:
-            out = []
-            for packed in batch.column(batch.schema.get_field_index("words")).to_pylist():
-                words = unpack_words(packed)
-                new = [w for w in words if w not in known]
-                known.update(zip(new, encoding.encode_ordinary_batch([w.decode() for w in new], num_threads=1), strict=True))
-                own = [known[w] for w in words]
-                out.append(pack(np.array([len(x) for x in own], np.int64),
-                                np.array([i for x in own for i in x], np.int64)))
+            rows = [known.numbers(unpack_words(x)) for x in
+                    batch.column(batch.schema.get_field_index("words")).to_pylist()]
+            known.refresh()
+            out = [pack(*known.of(n)) for n in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.binary())],
                 names=["bucket", "block", "n", "ids"])
@@ -122,10 +116,15 @@ def _encode_words(blob, pattern: str):
     return encode
 
 
-def _reassemble(buckets: int):
+def _reassemble(buckets: int, blob=None):
+    """Texts' ids from a block's words and positions; decoded again at once
+    with the rank file ``blob``."""
+    names = ["doc_id", "ids", "decoded"] if blob else ["doc_id", "ids"]
+    kinds = [pa.int64(), pa.binary(), pa.binary()]
+
     def reassemble(answers: pa.Table, tokens: pa.Table) -> pa.Table:
         if not tokens.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary())], names=["doc_id", "ids"])
+            return pa.table([pa.array([], k) for _, k in zip(names, kinds)], names=names)
         found = Answers(buckets, answers, tokens)
         parts = [unpack(x) for x in found.column("ids")]
         length = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)])
@@ -139,11 +138,17 @@ def _reassemble(buckets: int):
         own = length[word]
         upto = np.concatenate([[0], np.cumsum(own)])
         out = np.empty(upto[-1], "<u4")
-        for lo in range(0, len(word), 1 << 18):
-            w, m = word[lo:lo + (1 << 18)], own[lo:lo + (1 << 18)]
-            a, b = upto[lo], upto[min(lo + (1 << 18), len(word))]
+        for lo in range(0, len(word), ID_SLICE):
+            w, m = word[lo:lo + ID_SLICE], own[lo:lo + ID_SLICE]
+            a, b = upto[lo], upto[min(lo + ID_SLICE, len(word))]
             out[a:b] = ids[np.repeat(first[w] - upto[lo:lo + len(w)], m) + np.arange(a, b)]
-        return pa.table([doc_ids, _binary(4 * upto[edges], out.tobytes())], names=["doc_id", "ids"])
+        at = upto[edges]
+        columns = [doc_ids, _binary(4 * at, out.tobytes())]
+        if blob:
+            decoder = _decoder(blob.value)
+            columns.append(pa.chunked_array([decoder(out[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
+                                             for lo, hi in _row_slices(at)], pa.binary()))
+        return pa.table(columns, names=names)
 
     return reassemble
 
@@ -155,13 +160,44 @@ def _binary(edges: np.ndarray, body: bytes) -> pa.Array:
     return wide.cast(pa.binary())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def _row_slices(at: np.ndarray):
+    """(first row, last row + 1) of runs of rows of about ID_SLICE ids, or one
+    row; ``at`` has the rows' edges."""
+    lo, n = 0, len(at) - 1
+    while lo < n:
+        hi = min(max(lo + 1, int(np.searchsorted(at, at[lo] + ID_SLICE, "right")) - 1), n)
+        yield lo, hi
+        lo = hi
+
+
+def _decoder(blob: bytes):
+    """(ids, edges of rows) to a binary column: joins ids to token bytes."""
+    ranks = read_ranks(blob)
+    length = np.zeros(max(ranks.values()) + 1, np.int64)
+    for token, k in ranks.items():
+        length[k] = len(token)
+    first = np.cumsum(length) - length
+    line = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
+
+    def decoder(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+        own = length[ids]
+        if not own.all():
+            raise ValueError("an id is not in the rank file")
+        upto = np.concatenate([[0], np.cumsum(own)])
+        out = line[np.repeat(first[ids] - upto[:-1], own) + np.arange(upto[-1])]
+        return _binary(upto[at], out.tobytes())
+
+    return decoder
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, *, decoded: bool = False) -> DataFrame:
     """``(doc_id, ids)``, one row per row of ``docs`` (doc_id, text; further
     columns are ignored): the ids of the whole text as little-endian unsigned
     32-bit integers, as tiktoken's ``encode_ordinary`` would give them. A null
     or empty text has no ids. Repeated rows and null doc_ids are encoded as any
     other. ``docs`` must be read from stored tables (see :mod:`lexicon`).
-    ``ranks_path``: a tiktoken rank file, read by the driver.
+    ``ranks_path``: a tiktoken rank file, read by the driver. ``decoded`` adds
+    what :func:`decode` makes of the ids, in the same task.
     """
     with open(ranks_path, "rb") as f:
         blob = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -170,7 +206,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     answers = words.mapInArrow(_encode_words(blob, pattern), "bucket int, block long, n int, ids binary")
     tokens = token_rows(docs, cut, buckets)
     return (answers.groupBy("block").cogroup(tokens.groupBy("block"))
-            .applyInArrow(_reassemble(buckets), "doc_id long, ids binary"))
+            .applyInArrow(_reassemble(buckets, blob if decoded else None),
+                          "doc_id long, ids binary" + (", decoded binary" if decoded else "")))
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -180,33 +217,19 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         blob = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def join(batches):
-        ranks = read_ranks(blob.value)
-        length = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, k in ranks.items():
-            length[k] = len(token)
-        first = np.cumsum(length) - length
-        by_id = sorted(ranks, key=ranks.get)
-        line = np.frombuffer(b"".join(by_id), np.uint8)
+        decoder = _decoder(blob.value)
         for batch in batches:
-            column = batch.column(1)
-            wide = column.cast(pa.large_binary()).fill_null(b"")
+            wide = batch.column(1).cast(pa.large_binary()).fill_null(b"")
             at = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset:wide.offset + len(wide) + 1]
             raw = wide.buffers()[2]
-            ids = np.frombuffer(raw, "<u4", (at[-1] - at[0]) // 4, at[0]) if raw is not None else np.zeros(0, "<u4")
-            at = (at - at[0]) // 4
-            own = length[ids]
-            if not own.all():
-                raise ValueError("an id is not in the rank file")
-            upto = np.concatenate([[0], np.cumsum(own)])
-            out = np.empty(upto[-1], np.uint8)
-            for lo in range(0, len(ids), 1 << 18):
-                i, m = ids[lo:lo + (1 << 18)], own[lo:lo + (1 << 18)]
-                a, b = upto[lo], upto[lo + len(i)]
-                out[a:b] = line[np.repeat(first[i] - upto[lo:lo + len(i)], m) + np.arange(a, b)]
-            text = _binary(upto[at], out.tobytes())
-            if column.null_count:
-                text = pc.if_else(column.is_valid(), text, pa.scalar(None, pa.binary()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), column, text], names=["doc_id", "ids", "decoded"])
+            for lo, hi in _row_slices(at // 4):
+                n = int(at[hi] - at[lo]) // 4
+                ids = np.frombuffer(raw, "<u4", n, int(at[lo])) if n else np.zeros(0, "<u4")
+                rows = batch.slice(lo, hi - lo)
+                text = decoder(ids, (at[lo:hi + 1] - at[lo]) // 4)
+                if rows.column(1).null_count:
+                    text = pc.if_else(rows.column(1).is_valid(), text, pa.scalar(None, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, text], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(join, "doc_id long, ids binary, decoded binary")
 

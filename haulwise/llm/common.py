@@ -3,6 +3,8 @@ hashes, and ranks or running sums in one global order."""
 
 from __future__ import annotations
 
+import base64
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +16,7 @@ from haulwise.session import cut_lineage
 
 # Texts are handled in slices of about this many bytes, whatever the size of
 # an Arrow batch; a longer text is one slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -101,6 +103,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def read_ranks(blob: bytes) -> dict[bytes, int]:
+    """Token bytes to ids, from the content of a tiktoken rank file."""
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in blob.splitlines() if line)}
+
+
+def token_encoding(blob: bytes, pattern: str):
+    """The tiktoken encoding of a rank file, built once a Python worker."""
+    import tiktoken
+    from tiktoken import registry
+
+    name = f"{zlib.crc32(blob)}-{zlib.crc32(pattern.encode())}"
+    if name not in registry.ENCODINGS:
+        registry.ENCODINGS[name] = tiktoken.Encoding(
+            name, pat_str=pattern, mergeable_ranks=read_ranks(blob), special_tokens={})
+    return registry.ENCODINGS[name]
+
+
 def running(df: DataFrame, order: list[str], value: Column, out: str, name: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` up to and with each row in the order
     of ``order``. The rows are dealt by range, summed in each range, and the

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from haulwise.llm.common import RollingHash, shuffle_width, text_slices
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 3 << 20
 # (bytes, offsets) -> (bytes, start, end and row of every token)
 Cutter = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
@@ -119,6 +120,7 @@ def blocks(batches, cut: Cutter, limit: int = BLOCK_BYTES) -> Iterator[Block]:
         return Block(ids, sizes, number.astype(np.int64), counts, distinct, spans, rows)
 
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         doc_ids = batch.column(0).to_pylist()
         for lo, hi, data, offsets in text_slices(batch.column(1)):
             if held and size + len(data) > limit:
@@ -126,7 +128,7 @@ def blocks(batches, cut: Cutter, limit: int = BLOCK_BYTES) -> Iterator[Block]:
                 held, size = [], 0
             data, starts, ends, rows = cut(data, offsets)
             held.append((doc_ids[lo:hi], np.bincount(rows, minlength=hi - lo), hasher(data, starts, ends),
-                         data.tobytes(), starts, ends))
+                         data.tobytes(), starts.astype(np.int32), ends.astype(np.int32)))
             size += len(data)
     if held:
         yield close()
@@ -196,6 +198,33 @@ def _mark(arrays: list[np.ndarray]) -> int:
     return xxhash.xxh64_intdigest(b"".join(a.astype("<i8").tobytes() for a in arrays)) >> 1
 
 
+class WordIds:
+    """Numbers for the distinct words met so far, and the ids that ``encode``
+    (a list of words to a list of id lists) gave each of them, once."""
+
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]) -> None:
+        self.encode = encode
+        self.index: dict[bytes, int] = {}
+        self.length = self.ids = np.zeros(0, np.int64)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        index = self.index
+        return np.array([index.setdefault(w, len(index)) for w in words], np.int64)
+
+    def refresh(self) -> None:
+        """Encodes the words that are new since the last time."""
+        new = list(islice(self.index, len(self.length), None))
+        ids = self.encode(new)
+        self.length = np.concatenate([self.length, np.fromiter(map(len, ids), np.int64, len(ids))])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int64)])
+        self.first = np.cumsum(self.length) - self.length
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(how many ids each word has, the ids one after another)."""
+        n = self.length[numbers]
+        return n, self.ids[np.repeat(self.first[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
 class Answers:
     """What the word partitions sent back to a block: for each bucket a row
     (bucket, n, ...), and where each place is in the rows' joined arrays."""

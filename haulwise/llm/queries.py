@@ -63,9 +63,8 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(RANKS)
-    ids = bpe.encode(read_input(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(ids, path))
+    return bpe.digests(bpe.encode(read_input(spark, sf_dir, "documents"), public_tokenizers.path(RANKS),
+                                  public_tokenizers.PATTERN, decoded=True))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

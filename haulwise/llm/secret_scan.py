@@ -11,7 +11,6 @@ separators), or lies over a base match.
 
 from __future__ import annotations
 
-import base64
 import re
 from collections.abc import Callable
 
@@ -19,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulwise.llm.common import token_encoding
+
 KINDS = ("assign", "access", "hex", "random")
 SPANS = "array<struct<kind:string,start:int,end:int,secret:boolean>>"
 
@@ -46,10 +47,8 @@ def known_value(run: str) -> bool:
                 or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run))
 
 
-def scanner(ranks: dict[bytes, int], pattern: str, max_ratio: float) -> Callable[[str], list[tuple]]:
-    import tiktoken
-
-    encoding = tiktoken.Encoding("scan", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+def scanner(blob: bytes, pattern: str, max_ratio: float) -> Callable[[str], list[tuple]]:
+    encode = token_encoding(blob, pattern).encode_ordinary
 
     def scan(text: str) -> list[tuple]:
         """(kind, start, end, secret) by start, then kind."""
@@ -70,17 +69,13 @@ def scanner(ranks: dict[bytes, int], pattern: str, max_ratio: float) -> Callable
                 run = m[0]
                 if (DIGIT.search(run) and LETTER.search(run) and not known_value(run)
                         and not any(s < m.end() and m.start() < e for _, s, e, _ in base)
-                        and len(run) < max_ratio * len(encoding.encode_ordinary(run))):
+                        and len(run) < max_ratio * len(encode(run))):
                     found.append(("random", m.start(), m.end(), True))
         return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
     return scan
 
 
-def read_ranks(blob: bytes) -> dict[bytes, int]:
-    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in blob.splitlines() if line)}
-
-
 def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, *, max_ratio: float = 2.2,
                  redact: str | None = None) -> DataFrame:
     """``(doc_id, spans)``, or with ``redact`` the whole of ``docs`` with every
@@ -98,7 +93,7 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, *, max_ratio: f
         blob = docs.sparkSession.sparkContext.broadcast(f.read())
     if redact is None:
         def spans(batches):
-            scan = scanner(read_ranks(blob.value), pattern, max_ratio)
+            scan = scanner(blob.value, pattern, max_ratio)
             for batch in batches:
                 out = [[dict(zip(("kind", "start", "end", "secret"), s, strict=True)) for s in scan(t or "")]
                        for t in batch.column(1).to_pylist()]
@@ -109,7 +104,7 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, *, max_ratio: f
         return docs.select("doc_id", "text").mapInArrow(spans, f"doc_id long, spans {SPANS}")
 
     def mask(batches):
-        scan = scanner(read_ranks(blob.value), pattern, max_ratio)
+        scan = scanner(blob.value, pattern, max_ratio)
         for batch in batches:
             at = batch.schema.get_field_index("text")
             texts, sizes = [], []
