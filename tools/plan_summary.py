@@ -82,6 +82,19 @@ def main(sf_dir: str) -> None:
     }
     for name, df in plans.items():
         print(f"### {name}\n```\n{tree(df)}\n```\n")
+    # the plans meant for scale: no side small enough to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    for name, df in {
+        "route-day feed": route_days(spark, sf_dir),
+        "silver (flags + route rule)": silver_ops.finish_silver(
+            silver_ops.add_unit_metrics(silver_ops.normalise_sentinel(bronze)), 0.0),
+        "star slice": gold_ops.star_slice(gold, M.read_gold(spark, root, "dim_route"),
+                                          M.read_gold(spark, root, "dim_date"), ["region", "quarter"]),
+        "z-order value": layout.zorder_value(silver, ["bu", "area", "route_id"]),
+        "drill-down": analysis.route_drilldown(silver),
+    }.items():
+        print(f"### {name}, broadcast off\n```\n{tree(df)}\n```\n")
 
 
 if __name__ == "__main__":
