@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import types
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -152,6 +154,22 @@ def test_training_lowers_the_loss(model):
     assert loss(after) < loss(before) - 1
 
 
+def test_every_id_is_a_training_target_once(encoding):
+    end, docs = 50_300, {1: "x" * 3000, 2: "", 3: "\u6f22\u5b57" * 400, 4: "Donaudampfschifffahrt " * 90, None: "a b", 10: "held out?"}
+    unit = np.arange(end + 1) % 30_000  # apart enough to tell the ids
+    batch = pa.RecordBatch.from_arrays([pa.array(list(docs), pa.int64()), pa.array(list(docs.values()))], names=["doc_id", "text"])
+    with open(PATH, "rb") as f:
+        blob = types.SimpleNamespace(value=f.read())
+    rows = [r for b in lm._training_windows(blob, PATTERN, end, unit, 3, 1, 10, 0)([batch]) for r in b.to_pylist()]
+    windows = np.concatenate([np.frombuffer(r["windows"], np.int16).reshape(-1, lm.WINDOW + 1) for r in rows])
+    last = windows[:, 1 + lm.WINDOW - lm.STRIDE:]
+    want = collections.Counter()
+    for i, t in docs.items():
+        if i is None or zlib.crc32(str(i).encode()) % 10:
+            want.update(unit[[*encoding.encode_ordinary(" " + t.lower().strip() if t else ""), end]].tolist())
+    assert collections.Counter(last[last >= 0].tolist()) == want
+
+
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
