@@ -160,7 +160,7 @@ def test_every_id_is_a_training_target_once(encoding):
     batch = pa.RecordBatch.from_arrays([pa.array(list(docs), pa.int64()), pa.array(list(docs.values()))], names=["doc_id", "text"])
     with open(PATH, "rb") as f:
         blob = types.SimpleNamespace(value=f.read())
-    rows = [r for b in lm._training_windows(blob, PATTERN, end, unit, 3, 1, 10, 0)([batch]) for r in b.to_pylist()]
+    rows = [r for b in lm._training_windows(blob, PATTERN, end, unit, 3, 10, 0)([batch]) for r in b.to_pylist()]
     windows = np.concatenate([np.frombuffer(r["windows"], np.int16).reshape(-1, lm.WINDOW + 1) for r in rows])
     last = windows[:, 1 + lm.WINDOW - lm.STRIDE:]
     want = collections.Counter()
@@ -195,6 +195,17 @@ def test_base_scores_match_brute_force(spark, small_dir, texts):
     assert sum(r.score for r in held) > 1.2 * sum(r.base_score for r in held)
 
 
+def test_held_out_scores_beat_the_base(spark, small_dir):
+    held = op8_lm_score(spark, small_dir.replace("sf0.001", "sf0.01")).where("held_out").collect()
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_far_weights_give_finite_scores(model):
+    vector, pairs, units = model
+    logs, opening = lm.score_ids(vector * np.float32(300), pairs, units, np.arange(100), np.array([100]), 2999)
+    assert np.isfinite(logs).all() and np.isfinite(opening).all()
+
+
 def test_lm_of_odd_rows(odd_docs, no_docs):
     rows = lm.score_documents(odd_docs, PATH, PATTERN).collect()
     assert len(rows) == odd_docs.count() and all(math.isfinite(r.score) for r in rows)
