@@ -13,6 +13,13 @@ to the weights.
 k is the number of documents whose log weight reaches the cut that best parts
 the held-out labelled documents (good against not good, equal weight), or a
 lower one if that would drop more than a small share of the good.
+
+A mean hides the few words that make a document toxic. A second pair of models
+therefore counts in how many toxic and how many other labelled documents a
+word occurs, and keeps the words that are far more frequent in toxic ones than
+chance allows. The log ratios of those in a document are summed, whatever its
+length, and lower its weight where the sum passes a cut of its own, chosen on
+held-out labels in the same way.
 """
 
 from __future__ import annotations
@@ -27,6 +34,11 @@ from haulwise.session import cut_lineage
 
 FAMILIES = 3
 SHRINK = 20  # n-grams of weight 0 that every document has besides its own
+BELOW = 100.0  # more than other log weights differ by
+TOLD = 7.0  # log likelihood ratio from which on a word tells toxic documents
+
+# Bytes with ASCII letters in lower case and ASCII punctuation as spaces
+PLAIN = np.array([k + 32 if 65 <= k <= 90 else k if k >= 128 or chr(k).isalnum() or k < 33 else 32 for k in range(256)], np.uint8)
 
 
 def _features(data: np.ndarray, offsets: np.ndarray, hasher: RollingHash, bits: int):
@@ -46,17 +58,17 @@ def _features(data: np.ndarray, offsets: np.ndarray, hasher: RollingHash, bits:
     yield (triples[inside] >> shift).astype(np.int64), first[inside]
 
 
-def _label_sample(labels: DataFrame, bound: int) -> dict[int, tuple[bool, bool]]:
-    """doc_id -> (good, for the model): at most ``bound`` labelled documents of
+def _label_sample(labels: DataFrame, bound: int) -> dict[int, tuple[bool, bool, bool]]:
+    """doc_id -> (good, for the model, toxic): at most ``bound`` labelled documents of
     either kind, those with the smallest hash. Rows that disagree count as not
     good; half of the sample is for the model, half for the cut."""
     each = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
             .agg((F.min("quality") == 1) .alias("q"), (F.max(F.coalesce("toxic", F.lit(0))) == 1).alias("t"))
-            .select("doc_id", (F.col("q") & ~F.col("t")).alias("good"), F.xxhash64("doc_id").alias("h")))
+            .select("doc_id", (F.col("q") & ~F.col("t")).alias("good"), F.col("t").alias("toxic"), F.xxhash64("doc_id").alias("h")))
     rows = []
     for kind in (True, False):
         rows += each.where(F.col("good") == kind).orderBy("h", "doc_id").limit(bound).collect()
-    return {r.doc_id: (r.good, r.h & 1 == 0) for r in rows}
+    return {r.doc_id: (r.good, r.h & 1 == 0, r.toxic) for r in rows}
 
 
 def _strata(docs: DataFrame, bound: int) -> dict:
@@ -77,7 +89,7 @@ def _ratios(docs: DataFrame, sample: dict, strata: dict, bits: int) -> np.ndarra
         hasher = RollingHash()
         total = np.zeros((2, len(strata) + 1, FAMILIES, size), np.int64)
         for batch in batches:
-            target = np.array([sample.get(i, (False, False)) == (True, True)
+            target = np.array([sample.get(i, (False, False))[:2] == (True, True)
                                for i in batch.column(0).to_pylist()], bool)
             part = np.array([strata.get(x, len(strata)) for x in batch.column(2).to_pylist()], np.int64)
             for lo, hi, data, offsets in text_slices(batch.column(1)):
@@ -108,27 +120,80 @@ def _ratios(docs: DataFrame, sample: dict, strata: dict, bits: int) -> np.ndarra
     return (ratio - (p * ratio).sum(axis=2, keepdims=True)).astype(np.float32)
 
 
-def _weigh(ratios: np.ndarray, sample: dict, strata: dict):
+def _plain_words(data: np.ndarray, offsets: np.ndarray, hasher: RollingHash) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of the distinct words of each text, without case and
+    punctuation (both of ASCII)."""
+    data = PLAIN[data]
+    starts, ends, row = word_bounds(data, offsets)
+    words = hasher(data, starts, ends).view(np.int64) if len(starts) else np.zeros(0, np.int64)
+    order = np.lexsort((words, row))
+    row, words = row[order], words[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (words[1:] != words[:-1])
+    return row[new], words[new]
+
+
+def _toxic_words(docs: DataFrame, sample: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, of the words that tell toxic documents, and their log
+    ratios. A word counts once a document."""
+    learn = {i: toxic for i, (_, model, toxic) in sample.items() if model}
+    some = sum(learn.values())
+    none = np.zeros(0, np.int64), np.zeros(0)
+    if not 0 < some < len(learn):
+        return none
+
+    def count(batches):
+        hasher = RollingHash()
+        for batch in batches:
+            known = [learn.get(i) for i in batch.column(0).to_pylist()]
+            own = np.array([x is not None for x in known], bool)
+            toxic = np.array([x for x in known if x is not None], bool)
+            for lo, hi, data, offsets in text_slices(batch.column(1).filter(pa.array(own))):
+                row, words = _plain_words(data, offsets, hasher)
+                each, which = np.unique(words, return_inverse=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(each), pa.array(np.bincount(which, minlength=len(each)).astype(np.int64)),
+                     pa.array(np.bincount(which[toxic[lo:hi][row]], minlength=len(each)).astype(np.int64))],
+                    names=["word", "documents", "toxic"])
+
+    sums = (docs.mapInArrow(count, "word long, documents long, toxic long").groupBy("word")
+            .agg(F.sum("documents").alias("n"), F.sum("toxic").alias("t")))
+    # a word has e toxic documents by chance; TOLD is how far above that its count must be
+    share = some / len(learn)
+    sums = (sums.withColumn("e", F.col("n") * share).withColumn("ratio", F.log((F.col("t") + 1) / (F.col("e") + 1)))
+            .where(f"t > 0 and t * ln(t / e) - t + e > {TOLD} and ratio > 0.5"))
+    rows = sums.select("word", "ratio").toPandas().sort_values("word")  # few: words of the bounded label sample
+    return rows.word.to_numpy(np.int64), rows.ratio.to_numpy(float)
+
+
+def _weigh(ratios: np.ndarray, toxic_words: tuple[np.ndarray, np.ndarray], sample: dict, strata: dict):
     size = ratios.shape[2]
     bits = int(size).bit_length() - 1
     flat = [ratios[:, k].ravel() for k in range(FAMILIES)]
+    told, ratio = toxic_words
 
     def weigh(batches):
         hasher = RollingHash()
         for batch in batches:
             n = batch.num_rows
-            weight = np.zeros(n)
+            weight, toxic = np.zeros(n), np.zeros(n)
             part = np.array([strata.get(x, len(strata)) for x in batch.column(2).to_pylist()], np.int64)
             for lo, hi, data, offsets in text_slices(batch.column(1)):
                 for k, (bucket, row) in enumerate(_features(data, offsets, hasher, bits)):
                     grams = np.bincount(row, minlength=hi - lo)
                     weight[lo:hi] += (np.bincount(row, flat[k][part[lo:hi][row] * size + bucket], hi - lo)
                                       / (grams + SHRINK))
+                if len(told):
+                    row, words = _plain_words(data, offsets, hasher)
+                    at = np.minimum(np.searchsorted(told, words), len(told) - 1)
+                    hit = told[at] == words
+                    toxic[lo:hi] += np.bincount(row[hit], ratio[at[hit]], hi - lo)
             known = [sample.get(i) for i in batch.column(0).to_pylist()]
             good = [None if s is None or s[1] else s[0] for s in known]
+            is_toxic = [None if s is None or s[1] else s[2] for s in known]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(weight), pa.array(good, pa.bool_())],
-                names=["doc_id", "log_weight", "held_out_good"])
+                [batch.column(0), pa.array(weight), pa.array(toxic), pa.array(good, pa.bool_()), pa.array(is_toxic, pa.bool_())],
+                names=["doc_id", "base_weight", "toxic_weight", "held_out_good", "held_out_toxic"])
 
     return weigh
 
@@ -160,9 +225,10 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
     ``stratum``: a column such as the language, whose ``strata_bound`` most
     frequent values have models of their own; all others and null share one.
     ``bits``: buckets of a family as a power of two. ``good_loss``: the share
-    of held-out good documents that the cut may drop. ``label_bound``: labelled
+    of held-out good documents that either cut may drop. ``label_bound``: labelled
     documents of either kind that are used, at most; raw counts, weights and
-    the choice cover every document. ``temperature`` scales the Gumbel noise.
+    the choice cover every document. Toxic documents are told by the words of the
+    same labelled ones. ``temperature`` scales the Gumbel noise.
 
     A null or empty text has no n-grams and log weight 0. Equal keys go to the
     smaller doc_id; a null doc_id is unlabelled and comes first. Without good
@@ -173,20 +239,27 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
     docs = docs.select("doc_id", "text", named.cast("string").alias("stratum"))
     strata = _strata(docs, strata_bound) if stratum else {}
     sample = _label_sample(labels, label_bound)
-    kinds = {g for g, _ in sample.values()}
+    kinds = {g for g, _, _ in sample.values()}
     ratios = (_ratios(docs, sample, strata, bits) if len(kinds) == 2
               else np.zeros((len(strata) + 1, FAMILIES, 1 << bits), np.float32))
+    toxic_words = _toxic_words(docs, sample)
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     weighed = cut_lineage(
-        docs.mapInArrow(_weigh(ratios, sample, strata),
-                        "doc_id long, log_weight double, held_out_good boolean")
-        .withColumn("sample_key", F.col("log_weight") / temperature - F.log(-F.log(uniform))),
-        "quality-weights")
-    held = weighed.where("held_out_good is not null").select("log_weight", "held_out_good").toPandas()
-    both = held.held_out_good.nunique() == 2  # at most 2 * label_bound rows
-    weights, good = held.log_weight.to_numpy(), held.held_out_good.to_numpy(bool)
-    cut = min(best_cut(weights, good), np.quantile(weights[good], good_loss, method="lower")) if both else float("-inf")
-    k = weighed.where(F.col("log_weight") >= cut).count()
+        docs.mapInArrow(_weigh(ratios, toxic_words, sample, strata), "doc_id long, base_weight double, "
+                        "toxic_weight double, held_out_good boolean, held_out_toxic boolean"), "quality-weights")
+    held = weighed.where("held_out_good is not null").drop("doc_id").toPandas()  # at most 2 * label_bound documents
+    good, toxic = held.held_out_good.to_numpy(bool), held.held_out_toxic.to_numpy(bool)
+    # what a good document's toxic words may add up to
+    told = held.toxic_weight.to_numpy()
+    upto = (-min(best_cut(-told[good | toxic], good[good | toxic]),
+                 np.quantile(-told[good], good_loss, method="lower")) if good.any() and toxic.any() else float("inf"))
+    weights, good = held.base_weight.to_numpy()[told <= upto], good[told <= upto]
+    cut = (min(best_cut(weights, good), np.quantile(weights[good], good_loss, method="lower"))
+           if 0 < good.sum() < len(good) else float("-inf"))
+    drop = F.when(F.col("toxic_weight") > float(upto), F.col("toxic_weight") + BELOW).otherwise(F.lit(0.0))
+    weighed = (weighed.withColumn("log_weight", F.col("base_weight") - drop)
+               .withColumn("sample_key", F.col("log_weight") / temperature - F.log(-F.log(uniform))))
+    k = weighed.where((F.col("log_weight") >= cut) & (F.col("toxic_weight") <= float(upto))).count()
     ranked = running(weighed.withColumn("_down", -F.col("sample_key")), ["_down", "doc_id"],
                      F.lit(1), "rank", "quality-ranks")
     return ranked.select("doc_id", "log_weight", "sample_key", (F.col("rank") <= k).alias("selected"))

@@ -55,6 +55,23 @@ def test_quality_parts_labelled_documents(spark, small_dir):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.05 * len(bad)
 
 
+def test_toxic_documents_go_whatever_their_length(spark, small_dir, stored):
+    sf = small_dir.replace("sf0.001", "sf0.1")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    clean = docs.join(labels.where("quality = 1 and toxic = 0"), "doc_id", "left_semi").orderBy(F.desc("n_chars"), "doc_id").limit(40)
+    planted = clean.select((F.col("doc_id") + 10 ** 9).alias("doc_id"), F.concat("text", F.lit(
+        " You IDIOT, what trash! A stupid loser and a moron, pathetic and worthless.")).alias("text"), "lang")
+    both = docs.select("doc_id", "text", "lang").unionByName(planted)
+    rows = both.select("doc_id", "text", "lang").collect()
+    got = quality.importance_resample(stored([tuple(r) for r in rows], "doc_id long, text string, lang string"),
+                                      labels, stratum="lang").join(labels, "doc_id", "left").collect()
+    added = [r.selected for r in got if r.doc_id >= 10 ** 9]
+    toxic = [r.selected for r in got if r.quality == 1 and r.toxic]
+    good = [r.selected for r in got if r.quality == 1 and not r.toxic]
+    assert len(added) == 40 and sum(added) <= 2
+    assert sum(toxic) <= 0.3 * len(toxic) and sum(good) >= 0.985 * len(good)
+
+
 def test_kept_are_the_top_keys(spark, small_dir):
     rows = op10_quality(spark, small_dir).collect()
     keys = sorted((-r.sample_key, r.doc_id, r.selected) for r in rows)
