@@ -6,7 +6,10 @@ vocabulary; random strings take many. A run of 16 or more key characters with
 letters and digits is reported as ``random`` when it has fewer than
 ``max_ratio`` characters per token, unless it is a known digest (hex of a
 digest's length), a UUID or an identifier (words and short numbers joined by
-separators), or lies over a base match.
+separators). What a base match, digest or UUID covers is left out of a run. Of a run
+that is not random as a whole the pieces between its separators are tested, and
+neighbouring pieces of few characters a token together, so that a path or a
+name around a random string does not hide it.
 """
 
 from __future__ import annotations
@@ -37,6 +40,9 @@ DIGIT = re.compile(r"[0-9]")
 LETTER = re.compile(r"[A-Za-z]")
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+INNER = re.compile(rf"(?<![0-9A-Za-z])({UUID.pattern}|[0-9A-Fa-f]{{32,128}})(?![0-9A-Za-z])")
+PIECE = re.compile(r"[A-Za-z0-9]+")
+LEAST = 16
 IDENTIFIER = re.compile(r"[+/_=-]*([A-Za-z]+[0-9]{0,4}|[0-9]{1,8})([+/_=-]+([A-Za-z]+[0-9]{0,4}|[0-9]{1,8}))*[+/_=-]*")
 HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 
@@ -47,9 +53,44 @@ def known_value(run: str) -> bool:
                 or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run))
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of start to end outside ``spans``."""
+    out = []
+    for s, e in sorted(spans):
+        if s < end and start < e:
+            out.append((start, s))
+            start = max(start, e)
+    return [(s, e) for s, e in [*out, (start, end)] if e > s]
+
+
 def scanner(blob: bytes, pattern: str, max_ratio: float) -> Callable[[str], list[tuple]]:
     encode = token_encoding(blob, pattern).encode_ordinary
 
+    def dense(part: str) -> bool:
+        return len(part) < max_ratio * len(encode(part))
+
+    def is_random(part: str) -> bool:
+        return bool(len(part) >= LEAST and DIGIT.search(part) and LETTER.search(part)
+                    and not known_value(part) and dense(part))
+
+    def random_parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+        part = text[start:end]
+        if len(part) < LEAST or not DIGIT.search(part) or not LETTER.search(part) or known_value(part):
+            return []
+        if dense(part):
+            return [(start, end)]
+        out, group = [], []
+        for m in [*PIECE.finditer(text, start, end), None]:
+            if m and dense(m[0]):
+                group.append(m.span())
+                continue
+            if group and is_random(text[group[0][0]:group[-1][1]]):
+                out.append((group[0][0], group[-1][1]))
+            else:
+                out += [(a, b) for a, b in group if is_random(text[a:b])]
+            group = []
+        return out
+
     def scan(text: str) -> list[tuple]:
         """(kind, start, end, secret) by start, then kind."""
         found = []
@@ -64,13 +105,10 @@ def scanner(blob: bytes, pattern: str, max_ratio: float) -> Callable[[str], list
                    and LETTER.search(m[0]) is not None and DIGIT.search(m[0]) is not None)
                   for m in HEX.finditer(text)]
         if DIGIT.search(text):
-            base = list(found)
+            taken = [(s, e) for _, s, e, _ in found] + [m.span() for m in INNER.finditer(text) if known_value(m[0])]
             for m in RUN.finditer(text):
-                run = m[0]
-                if (DIGIT.search(run) and LETTER.search(run) and not known_value(run)
-                        and not any(s < m.end() and m.start() < e for _, s, e, _ in base)
-                        and len(run) < max_ratio * len(encode(run))):
-                    found.append(("random", m.start(), m.end(), True))
+                found += [("random", a, b, True) for s, e in uncovered(m.start(), m.end(), taken)
+                          for a, b in random_parts(text, s, e)]
         return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
     return scan

@@ -87,6 +87,27 @@ def test_kinds_and_exclusions(stored):
     assert [s.secret for s in found[3].spans] == [False, True]
 
 
+def test_random_parts_of_runs_are_found(stored):
+    rng, prefixes = random.Random(5), ["", "/home/administrator/application/configuration/", "/documentation/reference/configuration/",
+                                       "session_identifier=", "0123456789abcdef0123/", "d41d8cd98f00b204e9800998ecf8427e-"]
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n)) for n in (20, 24) for _ in range(50)]
+    keys = [k for k in keys if re.search("[0-9]", k)]
+    texts = [f"see {p}{k} and more" for p in prefixes for k in keys]
+    rows = stored(list(enumerate(texts)), "doc_id long, text string")
+    cut = {r.doc_id: r.text for r in scan_redacted(rows)}
+    for j, p in enumerate(prefixes):
+        gone = sum(k not in cut[j * len(keys) + n] for n, k in enumerate(keys))
+        assert gone >= 0.97 * len(keys), p
+    plain = ["/api/v2/123e4567-e89b-12d3-a456-426614174000/configuration/index", "/home/user/2024-05-12/report_final_v2/page-17",
+             "sha256-configuration/9F86D081884C7D659A2FEAA0C55AD015/index"]
+    kept = scan_redacted(stored(list(enumerate(plain)), "doc_id long, text string"))
+    assert sorted(r.text for r in kept) == sorted(plain)
+
+
+def scan_redacted(rows):
+    return secret_scan.scan_secrets(rows, PATH, public_tokenizers.PATTERN, redact="[secret]").collect()
+
+
 def test_redaction_leaves_the_rest(odd_docs, no_docs, stored):
     cut = secret_scan.scan_secrets(odd_docs, PATH, public_tokenizers.PATTERN, redact="[secret]")
     assert cut.columns == odd_docs.columns
