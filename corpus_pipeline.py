@@ -2,9 +2,10 @@
 leaks, secrets, and byte-level BPE of what is left.
 
 Every stage is ``function(spark, docs, sf_dir) -> DataFrame``; :func:`run`
-writes what a stage returns as a table, which the next one reads. Stages find
-rows again by doc_id. A null doc_id is an id like any other; rows that repeat
-an id are judged together, and stay if one of them does.
+writes what a stage returns as a table, which the next one reads. Stages that
+drop rows number them first, in a stored copy, and find them again by that
+number: every row is judged for itself, whether its doc_id is null, repeated
+or its own.
 """
 
 from __future__ import annotations
@@ -12,48 +13,57 @@ from __future__ import annotations
 import os
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwise.llm import bpe, decontam, quality, secret_scan, simhash
 from haulwise.llm.queries import RANKS
-from haulwise.session import scratch_path
+from haulwise.session import cut_lineage, scratch_path
 from haulwise.sources.tables import read_input
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not in ``ids`` (doc_id)."""
-    ids = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_gone"]), "left_anti")
+KEY = "_row_key"
 
 
-def _ids_without(rows: DataFrame, stays: Column) -> DataFrame:
-    """doc_ids of which no row stays."""
-    return rows.groupBy("doc_id").agg(F.bool_or(stays).alias("stays")).where("not stays").select("doc_id")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A stored copy of ``docs`` with a number for each row in KEY."""
+    return cut_lineage(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """Row numbers in place of the doc_ids."""
+    return keyed.withColumn("doc_id", F.col(KEY)).drop(KEY)
+
+
+def _only(keyed: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The rows whose number is (left_semi) or is not (left_anti) in ``keys``."""
+    return keyed.join(keys, KEY, how).drop(KEY)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the importance resampling leaves out. Without usable labels
     every document stays."""
-    judged = quality.importance_resample(docs, read_input(spark, sf_dir, "labels"), stratum="lang")
-    return _without(docs, _ids_without(judged, F.col("selected")))
+    keyed = _keyed(docs)
+    judged = quality.importance_resample(keyed, read_input(spark, sf_dir, "labels"), stratum="lang", row_key=KEY)
+    return _only(keyed, judged.where("not selected").select(KEY), "left_anti").select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near-duplicates the document of least doc_id.
-    Of rows that are equal in every column one stays."""
-    groups = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    kept = _without(docs, _ids_without(groups, F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    repeated = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
-    if repeated.isEmpty():
-        return kept
-    again = kept["doc_id"].eqNullSafe(repeated["_again"])
-    return kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").distinct())
+    """Keeps of each group of near-duplicates one row, of the least doc_id; a
+    null one comes last."""
+    keyed = _keyed(docs)
+    groups = simhash.near_duplicates(_by_key(keyed), shingle=3, max_bits=2)
+    groups = groups.select(F.col("doc_id").alias(KEY), "component_id").join(keyed.select(KEY, "doc_id"), KEY)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY)).alias("first")
+    kept = groups.groupBy("component_id").agg(first).select(F.col(f"first.{KEY}").alias(KEY))
+    return _only(keyed, kept, "left_semi").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with a copy, exact or edited, of a benchmark item."""
-    return _without(docs, decontam.find_leaks(docs, read_input(spark, sf_dir, "benchmark")).select("doc_id"))
+    keyed = _keyed(docs)
+    leaks = decontam.find_leaks(_by_key(keyed), read_input(spark, sf_dir, "benchmark"))
+    return _only(keyed, leaks.select(F.col("doc_id").alias(KEY)), "left_anti").select(docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

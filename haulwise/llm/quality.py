@@ -192,8 +192,8 @@ def _weigh(ratios: np.ndarray, toxic_words: tuple[np.ndarray, np.ndarray], sampl
             good = [None if s is None or s[1] else s[0] for s in known]
             is_toxic = [None if s is None or s[1] else s[2] for s in known]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(weight), pa.array(toxic), pa.array(good, pa.bool_()), pa.array(is_toxic, pa.bool_())],
-                names=["doc_id", "base_weight", "toxic_weight", "held_out_good", "held_out_toxic"])
+                [batch.column(0), batch.column(3), pa.array(weight), pa.array(toxic), pa.array(good, pa.bool_()), pa.array(is_toxic, pa.bool_())],
+                names=["doc_id", "row_key", "base_weight", "toxic_weight", "held_out_good", "held_out_toxic"])
 
     return weigh
 
@@ -215,7 +215,8 @@ def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
     return float(w[at - 1] + w[at]) / 2
 
 
-def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | None = None, bits: int = 15,
+def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | None = None,
+                        row_key: str | None = None, bits: int = 15,
                         label_bound: int = 20_000, strata_bound: int = 15, good_loss: float = 0.01,
                         temperature: float = 0.004, seed: int = 7) -> DataFrame:
     """``(doc_id, log_weight, sample_key, selected)``, one row per row of
@@ -224,6 +225,7 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
 
     ``stratum``: a column such as the language, whose ``strata_bound`` most
     frequent values have models of their own; all others and null share one.
+    ``row_key``: a long column that is returned too, to find rows again.
     ``bits``: buckets of a family as a power of two. ``good_loss``: the share
     of held-out good documents that either cut may drop. ``label_bound``: labelled
     documents of either kind that are used, at most; raw counts, weights and
@@ -236,7 +238,8 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
     rows are weighed and drawn each for itself, with equal noise.
     """
     named = F.col(stratum) if stratum else F.lit(None)
-    docs = docs.select("doc_id", "text", named.cast("string").alias("stratum"))
+    key = F.col(row_key) if row_key else F.lit(None)
+    docs = docs.select("doc_id", "text", named.cast("string").alias("stratum"), key.cast("long").alias("row_key"))
     strata = _strata(docs, strata_bound) if stratum else {}
     sample = _label_sample(labels, label_bound)
     kinds = {g for g, _, _ in sample.values()}
@@ -245,9 +248,9 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
     toxic_words = _toxic_words(docs, sample)
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     weighed = cut_lineage(
-        docs.mapInArrow(_weigh(ratios, toxic_words, sample, strata), "doc_id long, base_weight double, "
+        docs.mapInArrow(_weigh(ratios, toxic_words, sample, strata), "doc_id long, row_key long, base_weight double, "
                         "toxic_weight double, held_out_good boolean, held_out_toxic boolean"), "quality-weights")
-    held = weighed.where("held_out_good is not null").drop("doc_id").toPandas()  # at most 2 * label_bound documents
+    held = weighed.where("held_out_good is not null").drop("doc_id", "row_key").toPandas()  # at most 2 * label_bound documents
     good, toxic = held.held_out_good.to_numpy(bool), held.held_out_toxic.to_numpy(bool)
     # what a good document's toxic words may add up to
     told = held.toxic_weight.to_numpy()
@@ -262,4 +265,4 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
     k = weighed.where((F.col("log_weight") >= cut) & (F.col("toxic_weight") <= float(upto))).count()
     ranked = running(weighed.withColumn("_down", -F.col("sample_key")), ["_down", "doc_id"],
                      F.lit(1), "rank", "quality-ranks")
-    return ranked.select("doc_id", "log_weight", "sample_key", (F.col("rank") <= k).alias("selected"))
+    return ranked.select("doc_id", *([F.col("row_key").alias(row_key)] if row_key else []), "log_weight", "sample_key", (F.col("rank") <= k).alias("selected"))

@@ -96,3 +96,22 @@ def test_repeated_rows_leave_one(spark, small_dir, stored):
     kept = pipeline.near_duplicate_stage(spark, docs, small_dir)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
     assert kept.agg(F.count("*")).first()[0] == 2
+
+
+def test_rows_of_one_id_are_judged_each_for_itself(spark, small_dir, stored, docs, stages):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    item = spark.read.parquet(f"{small_dir}/benchmark.parquet").first().text
+    clean = [(None, f"clean text number {k} about rivers, hills and {k * k} old towns", "en", "s", 1) for k in range(5)]
+    got = pipeline.decontamination_stage(spark, stored([*clean, (None, item, "en", "s", 1), (7, item, "en", "s", 1)], schema), small_dir)
+    assert sorted(r.text for r in got.collect()) == sorted(c[1] for c in clean)
+    text = "alpha beta gamma delta epsilon zeta"
+    copies = [(5, text, "en", "s", 1), (None, text, "en", "s", 1), (None, "other words altogether here", "en", "s", 1),
+              (5, text, "en", "another source", 1)]
+    got = pipeline.near_duplicate_stage(spark, stored(copies, schema), small_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("5", text), ("None", "other words altogether here")]
+    before, after = map(by_id, stages[0])
+    bad = [r for i, r in before.items() if i not in after]
+    assert bad
+    rows = [tuple(r) for r in before.values()] + [(None, *r[1:]) for r in [*map(tuple, bad), *map(tuple, after.values())]]
+    got = pipeline.quality_stage(spark, stored(rows, schema), small_dir).where("doc_id is null").collect()
+    assert 0 < len(got) < len(before) and sum(r.text in {b.text for b in bad} for r in got) <= 0.5 * len(bad)
