@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,6 +121,36 @@ def token_encoding(blob: bytes, pattern: str):
     return registry.ENCODINGS[name]
 
 
+def whole_groups(batches, keys: int = 1) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """From batches sorted by their first ``keys`` columns (not null): tables
+    that end where a group does, and the edges of the groups in each. A task
+    holds a batch and one group at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(table: pa.Table) -> np.ndarray:
+        new = np.ones(table.num_rows, bool)
+        if table.num_rows:
+            new[1:] = np.any([pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+                              for c in (table.column(k).combine_chunks() for k in range(keys))], axis=0)
+        return np.concatenate([np.flatnonzero(new), [table.num_rows]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = held[-1] if held else None
+        if last is not None and all(last.column(k)[-1] == batch.column(k)[-1] for k in range(keys)):
+            held.append(batch)  # one group as yet
+            continue
+        table = pa.Table.from_batches([*held, batch]).combine_chunks()
+        edges = cut(table)
+        if len(edges) > 2:
+            yield table.slice(0, int(edges[-2])), edges[:-1]
+        held = table.slice(int(edges[-2])).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, cut(table)
+
+
 def running(df: DataFrame, order: list[str], value: Column, out: str, name: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` up to and with each row in the order
     of ``order``. The rows are dealt by range, summed in each range, and the

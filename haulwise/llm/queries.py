@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwise.llm import attention_lm, bitslice, bpe, decontam, langid, merkle, quality, secret_scan, sharding, simhash, url_filter
+from haulwise.llm import attention_lm, bitslice, bpe, decontam, langid, merkle, neighbours, quality, secret_scan, sharding, simhash, spelling, url_filter
 from haulwise.llm.common import in_hash_class
 from haulwise.sources.tables import read_input
 
@@ -72,10 +72,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        stratum="lang")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read_input(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_input(spark, sf_dir, "documents"), modulus=97, least_letters=5, least_count=3, ratio=2)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(read_input(spark, sf_dir, "documents"), in_hash_class("doc_id", 3, 0))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_langid, op3_sharding, op4_url_filter, op5_secrets, op6_decontam,
-                                    op7_topk, op8_lm_score, op9_bpe, op10_quality, op13_merkle)}
+                                    op7_topk, op8_lm_score, op9_bpe, op10_quality, op11_neighbours, op12_spelling, op13_merkle)}

@@ -101,6 +101,43 @@ FROM d{over}, o{over} t"""
 
 OP13 = _merkle()
 
+OP12 = f"""
+WITH {CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+spoken AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS c
+  FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT w, c, {crc32("flatten(list_transform(string_split(doc_id::VARCHAR || ':' || w, ''), lambda x: "
+                      "CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [192 + (ord(x) >> 6), 128 + (ord(x) & 63)] END))")} AS h
+  FROM spoken, crc_table),
+words AS MATERIALIZED (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word,
+         sum(c)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(c) >= 3),
+holes AS MATERIALIZED (
+  SELECT word, substr(word, 1, p - 1) || '*' || substr(word, p + 1) AS hole, substr(word, 1, p - 1) || substr(word, p + 1) AS less
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT h.word, w.word FROM holes h JOIN words w ON h.less = w.word
+  UNION SELECT w.word, h.word FROM holes h JOIN words w ON h.less = w.word),
+ranked AS (
+  SELECT p.word, p.near, f.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY f.n DESC, p.near) AS k
+  FROM pairs p JOIN words f ON f.word = p.near),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.k = 1),
+steps AS (
+  WITH RECURSIVE s(word, ahead, form) AS (
+    SELECT word, word, form FROM formed
+    UNION ALL SELECT s.word, f.word, f.form FROM s JOIN formed f ON s.form = f.word)
+  SELECT word, ahead AS root FROM s WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN steps USING (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": OP4, "op7_topk": OP7, "op13_merkle": OP13}
+    return {"op4_url_filter": OP4, "op7_topk": OP7, "op12_spelling": OP12, "op13_merkle": OP13}
