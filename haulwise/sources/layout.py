@@ -160,7 +160,7 @@ def _row_hash(df: DataFrame) -> Column:
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       zorder_cols: Sequence[str] = (), num_files: int | None = None,
-                      max_records_per_file: int | None = None) -> None:
+                      max_records_per_file: int | None = None, in_place: bool = False) -> None:
     """Full rebuild of a partitioned table (schema replaced).
 
     Without clustering columns the rows are shuffled with a ``rebalance``
@@ -171,7 +171,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     pass over the input that range partitioning needs. With clustering
     columns, z-order clustering is applied (range partitioning on
     (partition columns, z), whose sample is worth it for a maintenance
-    rewrite)."""
+    rewrite).
+
+    ``in_place``: ``df`` reads ``path`` itself. Every partition it has rows
+    for is replaced when all new files are there, in one write."""
     if zorder_cols:
         out = clustered(df, partition_cols, zorder_cols, num_files)
     elif partition_cols and num_files:
@@ -185,6 +188,8 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     else:
         out = df.repartition(num_files) if num_files else df
     w = out.write.mode("overwrite")
+    if in_place:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.partitionBy(*partition_cols).parquet(path)
@@ -201,8 +206,8 @@ def compact(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 
 def file_count(spark, path: str) -> int:
-    """Data files with rows under ``path``."""
-    return spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    """Data files under ``path``, from the scan's own file list (no job)."""
+    return len(spark.read.parquet(path).inputFiles())
 
 
 def file_stats(spark, path: str, cols: Sequence[str] = ()) -> DataFrame:
