@@ -56,7 +56,11 @@ def gold_sums(silver: DataFrame) -> DataFrame:
 def build_gold(silver: DataFrame, threshold: float) -> DataFrame:
     """The 46-column route-month fact. The month flag compares the
     revenue-weighted monthly margin with the *day-level* threshold."""
-    sums = gold_sums(silver)
+    return gold_from_sums(gold_sums(silver), threshold)
+
+
+def gold_from_sums(sums: DataFrame, threshold: float) -> DataFrame:
+    """D2-D3 on top of the month sums."""
     ratios = [(safe_div("gross_profit", "total_revenue") * 100)
               .alias("weighted_gross_margin_pct")]
     ratios += [safe_div(F.expr(n), d).alias(name) for name, n, d in MONTH_RATIOS]

@@ -133,6 +133,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "route_drilldown": _q(lambda L: analysis.route_drilldown(L.silver)),
         # A: sources, sinks, table maintenance (real writes in scratch folders)
         "contract_roundtrip": _q(lambda L: scenarios.contract_roundtrip(L.spark, L.feed)),
+        "gold_incremental": _q(lambda L: scenarios.gold_incremental(L.spark, L.feed)),
         "csv_load_readback": _q(lambda L: scenarios.csv_load_readback(L.spark, L.feed)),
         "contract_schema_check": _q(lambda L: scenarios.contract_schema_check(L.spark, L.gold)),
         "upsert_result": _q(lambda L: scenarios.upsert_result(L.spark, L.feed)),

@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from haulwise.functions.metrics import safe_div
 from haulwise.operators import gold as gold_ops, quality
 from haulwise.operators.silver import ROUTE_COLUMNS
-from haulwise.plans.medallion import ingest_bronze, load_csv, read_bronze
+from haulwise.operators.gold_state import gold_of_state
+from haulwise.plans.medallion import (
+    build_gold_state, ingest_bronze, load_csv, read_bronze, read_gold, read_gold_state, restate,
+)
 from haulwise.session import cut_lineage, scratch_path
 from haulwise.sources import layout, snapshots
 from haulwise.sources.contract import (
     BRONZE_SCHEMA, KEY, SOURCE_COLUMNS, read_source, schema_check, struct_of, with_ingestion_metadata,
 )
+from haulwise.sources.tables import layer_path
 from haulwise.sources.upsert import audit_path_for, read_audit
 
 # Fixed values of the restatement scenario: re-issued days have their disposal
@@ -123,6 +127,17 @@ def snapshot_diff(spark, feed: DataFrame) -> DataFrame:
     return snapshots.diff(snapshots.as_of(history, BASE_TS, [KEY]), snapshots.as_of(history, RESTATE_TS, [KEY]), [KEY])
 
 
+def gold_incremental(spark, feed: DataFrame) -> DataFrame:
+    """The fact after a restatement that only changed days went into."""
+    scenario = Restatement(spark, feed)
+    ingest_bronze(spark, scenario.root, scenario.base(), "base", land=False)
+    thr = build_gold_state(spark, scenario.root)
+    layout.write_partitioned(gold_of_state(read_gold_state(spark, scenario.root)[0], thr),
+                             layer_path(scenario.root, "gold", "route_months"), gold_ops.GOLD_PARTITIONS)
+    restate(spark, scenario.root, scenario.batch(), "restatement")
+    return read_gold(spark, scenario.root)
+
+
 def csv_load_readback(spark, feed: DataFrame) -> DataFrame:
     """The feed as CSV files, batch-loaded into Bronze; rows, keys
     and partitions of the written table."""
