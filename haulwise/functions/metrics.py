@@ -36,10 +36,17 @@ def exact_sum(c) -> Column:
     past the sixth place, values too large for the type, NaN, infinity) is
     summed as double. For six-place values that rest is 0, and the sum does
     not depend on the order of the rows."""
+    part, rest = exact_parts(c)
+    return F.sum(part).cast("double") + F.sum(rest)
+
+
+def exact_parts(c) -> tuple[Column, Column]:
+    """A double as its six-place decimal and what that leaves over; null for
+    null. Either can be summed in several steps."""
     v = _col(c).cast("double")
     part = F.coalesce(v.try_cast(EXACT_SUM_TYPE), F.lit(0).cast(EXACT_SUM_TYPE))
     part = F.when(v.isNotNull(), part)
-    return F.sum(part).cast("double") + F.sum(v - part.cast("double"))
+    return part, v - part.cast("double")
 
 
 def weighted_pct(num, den) -> Column:

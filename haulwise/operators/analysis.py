@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwise.functions.metrics import exact_sum, safe_div, weighted_pct
+from haulwise.functions.metrics import exact_parts, exact_sum, safe_div, weighted_pct
 
 # Minimum days for an area x segment pocket to count, and the
 # size of the worst-k lists.
@@ -39,6 +39,31 @@ def hier(silver: DataFrame, col: str, limit: int | None = None) -> DataFrame:
     return out.limit(limit) if limit else out
 
 
+# The slices of the hierarchy read-outs.
+LEVELS = ["region", "bu", "area", "route_id"]
+
+
+def hier_all_levels(silver: DataFrame) -> DataFrame:
+    """E1-E3 at once: the read-out of :func:`hier` for every slice column and
+    the whole fleet, (level, key, days, under_pct, weighted_margin).
+
+    Silver is read once and cut down to a row for each combination of the
+    slices (routes) before ``GROUPING SETS`` repeat those for each level."""
+    money = {f"{c}_{k}": x for c in ("gross_profit", "total_revenue")
+             for k, x in zip(("exact", "rest"), exact_parts(c), strict=True)}
+    routes = silver.groupBy(*LEVELS).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("underperforming_flag").alias("under"), F.count("underperforming_flag").alias("told"),
+        *[F.sum(x).alias(c) for c, x in money.items()])
+    total = lambda c: F.sum(f"{c}_exact").cast("double") + F.sum(f"{c}_rest")
+    days = F.sum("n").cast("bigint")
+    grouped = routes.groupingSets([*[[c] for c in LEVELS], []], *LEVELS).agg(
+        *[F.grouping(c).alias(f"_not_{c}") for c in LEVELS], days.alias("days"),
+        F.round(safe_div(F.when(F.sum("told") > 0, F.sum("under")), days) * 100, 1).alias("under_pct"),
+        F.round(safe_div(total("gross_profit"), total("total_revenue")) * 100, 2).alias("weighted_margin"))
+    level = F.coalesce(*[F.when(F.col(f"_not_{c}") == 0, F.lit(c)) for c in LEVELS], F.lit("fleet"))
+    return grouped.select(level.alias("level"), F.coalesce(*LEVELS).alias("key"), "days", "under_pct", "weighted_margin")
+
+
 # Driver averages (output name, measure, decimal places), and
 # those whose difference between flagged and healthy days is reported.
 DRIVERS = [

@@ -122,6 +122,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hier_area_worst10": _q(lambda L: analysis.hier(L.silver, "area", 10)),
         "hier_region": _q(lambda L: analysis.hier(L.silver, "region")),
         "hier_route": _q(lambda L: analysis.hier(L.silver, "route_id")),
+        "hier_all_levels": _q(lambda L: analysis.hier_all_levels(L.silver)),
         "cost_drivers": _q(lambda L: analysis.cost_drivers(L.silver)),
         "driver_deltas": _q(lambda L: analysis.driver_deltas(L.silver)),
         "waste_stream_margin": _q(lambda L: analysis.waste_stream_margin(L.silver)),
@@ -133,6 +134,10 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "route_drilldown": _q(lambda L: analysis.route_drilldown(L.silver)),
         # A: sources, sinks, table maintenance (real writes in scratch folders)
         "contract_roundtrip": _q(lambda L: scenarios.contract_roundtrip(L.spark, L.feed)),
+        "history_intervals": _q(lambda L: scenarios.history_intervals(L.spark, L.feed)),
+        "snapshot_as_of_range": _q(lambda L: scenarios.snapshot_as_of_range(L.spark, L.feed)),
+        "evolved_rows": _q(lambda L: scenarios.evolved_rows(L.spark, L.feed)),
+        "schema_changes": _q(lambda L: scenarios.schema_changes(L.spark, L.feed)),
         "gold_incremental": _q(lambda L: scenarios.gold_incremental(L.spark, L.feed)),
         "csv_load_readback": _q(lambda L: scenarios.csv_load_readback(L.spark, L.feed)),
         "contract_schema_check": _q(lambda L: scenarios.contract_schema_check(L.spark, L.gold)),

@@ -18,7 +18,7 @@ from haulwise.plans.medallion import (
     build_gold_state, ingest_bronze, load_csv, read_bronze, read_gold, read_gold_state, restate,
 )
 from haulwise.session import cut_lineage, scratch_path
-from haulwise.sources import layout, snapshots
+from haulwise.sources import evolution, layout, snapshots
 from haulwise.sources.contract import (
     BRONZE_SCHEMA, KEY, SOURCE_COLUMNS, read_source, schema_check, struct_of, with_ingestion_metadata,
 )
@@ -92,9 +92,9 @@ class Restatement:
             ingest_bronze(self.spark, self.root, batch, name, land=False)
         return self
 
-    def history(self) -> DataFrame:
+    def history(self, rerun: bool = False) -> DataFrame:
         path = f"{self.root}/bronze/history"
-        for batch in (self.base(), self.batch()):
+        for batch in (self.base(), self.batch(), *([self.batch(RERUN_TS)] if rerun else [])):
             snapshots.append_history(batch, path)
         return self.spark.read.schema(BRONZE_SCHEMA).parquet(path)
 
@@ -127,6 +127,52 @@ def snapshot_diff(spark, feed: DataFrame) -> DataFrame:
     return snapshots.diff(snapshots.as_of(history, BASE_TS, [KEY]), snapshots.as_of(history, RESTATE_TS, [KEY]), [KEY])
 
 
+def _interval_text(df: DataFrame) -> DataFrame:
+    """The interval's ends as wall-clock text, as in :func:`_with_load_text`."""
+    return df.select(*SOURCE_COLUMNS, *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("valid_from", "valid_to")])
+
+
+def history_intervals(spark, feed: DataFrame) -> DataFrame:
+    """A10: the states of all keys over three loads, the last of which repeats
+    the second. The base load's states are stored and each later load is
+    worked into them."""
+    scenario = Restatement(spark, feed)
+    states = snapshots.intervals(scenario.base(), [KEY])
+    for batch in (scenario.batch(), scenario.batch(RERUN_TS)):
+        states = snapshots.extend_intervals(cut_lineage(states, "history-intervals"), batch, KEY)
+    return _interval_text(states)
+
+
+def snapshot_as_of_range(spark, feed: DataFrame) -> DataFrame:
+    """A10: the table as of the restatement, a filter on the intervals that
+    the history of all three loads makes."""
+    states = cut_lineage(snapshots.intervals(Restatement(spark, feed).history(rerun=True), [KEY]), "history-intervals")
+    return _interval_text(snapshots.as_of_intervals(states, RESTATE_TS))
+
+
+def _evolving_loads(spark, feed: DataFrame) -> str:
+    """Two loads of different schema: the second has a column more, one less,
+    and two of wider types."""
+    root = scratch_path(spark, "evolving")
+    base_end, _ = load_dates(feed)
+    first, second = feed.where(F.col("date") < F.lit(base_end)), feed.where(F.col("date") >= F.lit(base_end))
+    evolution.write_load(first, root, "first", BASE_TS)
+    evolution.write_load(second.drop("day_of_week").withColumns({
+        "delay_minutes": F.col("delay_minutes").cast("bigint"), "total_stops": F.col("total_stops").cast("double"),
+        "recycled_tonnes": F.col("total_tonnes") * 0.25}), root, "second", RESTATE_TS)
+    return root
+
+
+def evolved_rows(spark, feed: DataFrame) -> DataFrame:
+    """One read over loads of different schema."""
+    return evolution.read_merged(spark, _evolving_loads(spark, cut_lineage(feed, "feed")))
+
+
+def schema_changes(spark, feed: DataFrame) -> DataFrame:
+    """What changed in the schema from load to load."""
+    return evolution.schema_changes(spark, _evolving_loads(spark, cut_lineage(feed, "feed")))
+
+
 def gold_incremental(spark, feed: DataFrame) -> DataFrame:
     """The fact after a restatement that only changed days went into."""
     scenario = Restatement(spark, feed)

@@ -417,6 +417,13 @@ ORDER BY weighted_margin NULLS FIRST, {col}{lim}""")
     q["hier_area_worst10"] = hier_sql("area", 10)
     q["hier_region"] = hier_sql("region")
     q["hier_route"] = hier_sql("route_id")
+    q["hier_all_levels"] = with_ctes(S, f"""
+SELECT CASE WHEN grouping(region) = 0 THEN 'region' WHEN grouping(bu) = 0 THEN 'bu' WHEN grouping(area) = 0 THEN 'area'
+            WHEN grouping(route_id) = 0 THEN 'route_id' ELSE 'fleet' END AS level,
+       coalesce(region, bu, area, route_id) AS "key", count(*) AS days,
+       round({sdiv('sum(CAST(underperforming_flag AS INTEGER))', 'count(*)')} * 100, 1) AS under_pct,
+       round({wpct('gross_profit', 'total_revenue')}, 2) AS weighted_margin
+FROM silver GROUP BY GROUPING SETS ((region), (bu), (area), (route_id), ())""")
     q["cost_drivers"] = with_ctes(S, """
 SELECT underperforming_flag,
        round(avg(disposal_cost_share), 3) AS disposal_share,
@@ -527,6 +534,37 @@ SELECT {cols}, '{rerun_ts}' AS load_ts FROM batch
 UNION ALL
 SELECT {cols}, '{base_ts}' AS load_ts FROM base
 WHERE route_date_key NOT IN (SELECT route_date_key FROM batch)""")
+    values = ", ".join(c for c in SOURCE if c != "route_date_key")
+    states = scen + f""",
+loads AS (
+  SELECT {cols}, '{base_ts}' AS ts FROM base
+  UNION ALL SELECT {cols}, '{restate_ts}' FROM batch
+  UNION ALL SELECT {cols}, '{rerun_ts}' FROM batch),
+news AS (
+  SELECT * FROM (
+    SELECT *, lag(ts) OVER k AS ts_before, lag(row({values})) OVER k AS before, row({values}) AS now
+    FROM loads WINDOW k AS (PARTITION BY route_date_key ORDER BY ts))
+  WHERE ts_before IS NULL OR before IS DISTINCT FROM now),
+states AS (
+  SELECT {cols}, ts AS valid_from, lead(ts) OVER (PARTITION BY route_date_key ORDER BY ts) AS valid_to FROM news)"""
+    q["history_intervals"] = with_ctes(states, "\nSELECT * FROM states")
+    q["snapshot_as_of_range"] = with_ctes(states, f"""
+SELECT * FROM states WHERE valid_from <= '{restate_ts}' AND (valid_to IS NULL OR valid_to > '{restate_ts}')""")
+    q["evolved_rows"] = with_ctes(scen, f"""
+SELECT 'first' AS load_id, * REPLACE (CAST(delay_minutes AS BIGINT) AS delay_minutes, CAST(total_stops AS DOUBLE) AS total_stops),
+       CAST(NULL AS DOUBLE) AS recycled_tonnes
+FROM route_days WHERE date < {end}
+UNION ALL BY NAME
+SELECT 'second' AS load_id, * EXCLUDE (day_of_week) REPLACE (CAST(delay_minutes AS BIGINT) AS delay_minutes,
+       CAST(total_stops AS DOUBLE) AS total_stops), total_tonnes * CAST(0.25 AS DOUBLE) AS recycled_tonnes
+FROM route_days WHERE date >= {end}""")
+    q["schema_changes"] = with_ctes(scen, f"""
+SELECT 'first' AS load_id, 'delay_minutes' AS "column", 'int' AS load_type, 'bigint' AS merged_type, 'widened' AS change,
+       count(delay_minutes) AS non_null FROM route_days WHERE date < {end}
+UNION ALL SELECT 'first', 'total_stops', 'int', 'double', 'widened', count(total_stops) FROM route_days WHERE date < {end}
+UNION ALL SELECT 'first', 'recycled_tonnes', NULL, 'double', 'missing', 0
+UNION ALL SELECT 'second', 'day_of_week', NULL, 'string', 'missing', 0
+UNION ALL SELECT 'second', 'recycled_tonnes', 'double', 'double', 'added', count(total_tonnes) FROM route_days WHERE date >= {end}""")
     # the textbook form: Gold rebuilt whole from the table after the restatement
     after = scen + f""",
 restated_days AS (
