@@ -10,11 +10,15 @@ row, and those alone are scored exactly.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulwise.session import cut_lineage
+
 # Bitmaps are Python integers: bit i belongs to row i of the block.
 
 
@@ -124,24 +128,31 @@ def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
     return out
 
 
+LONG = 2 ** 63 - 1
+WIDE = Decimal(10) ** 38 - 1
+
+
 def _search(k: int):
     def search(index: pa.Table, queries: pa.Table) -> pa.Table:
-        got: list[list] = [[], [], []]
+        got: list[list] = [[], [], [], [], [], []]
         if index.num_rows and queries.num_rows:
             dims = max(len(x) for t in (index, queries) for x in t.column("v"))
-            block = SlicedBlock(_matrix(index.column("v"), dims))
-            exact = block.values.astype(object) if np.abs(block.values).max(initial=0) >= 1 << 20 else block.values
-            ids = index.column("vec_id").to_numpy()
-            for q, vector in zip(queries.column("vec_id").to_pylist(), _matrix(queries.column("v"), dims), strict=True):
-                own = int((ids == q).sum())
-                at = block.candidates(vector, k + own)
-                at = at[ids[at] != q]
-                score = exact[at] @ vector
-                best = sorted(zip((-score).tolist(), ids[at].tolist(), strict=True))[:k]
-                got[0] += [q] * len(best)
-                got[1] += [i for _, i in best]
-                got[2] += [-s for s, _ in best]
-        return pa.table([pa.array(x, pa.int64()) for x in got], names=["query_id", "vec_id", "score"])
+            values = _matrix(index.column("v"), dims)
+            block = SlicedBlock(values) if dims else None
+            exact = values.astype(object) if np.abs(values).max(initial=0) >= 1 << 20 else values
+            ids, rows = index.column("vec_id").to_numpy(), index.column("row").to_numpy()
+            asked = zip(*(queries.column(c).to_pylist() for c in ("vec_id", "row")), _matrix(queries.column("v"), dims), strict=True)
+            for q, row, vector in asked:
+                at = block.candidates(vector, k + int((rows == row).sum())) if dims else np.arange(len(ids))
+                at = at[rows[at] != row]
+                score = (exact[at] @ (vector if exact is values else vector.astype(object))).tolist() if dims else [0] * len(at)
+                best = sorted(zip([-s for s in score], ids[at].tolist(), rows[at].tolist(), strict=True))[:k]
+                for out, value in zip(got, zip(*((q, row, i, j, max(-LONG - 1, min(LONG, -s)), max(-WIDE, min(WIDE, Decimal(-s))))
+                                                 for s, i, j in best), strict=True), strict=False):
+                    out += value
+        kinds = [pa.int64()] * 5 + [pa.decimal128(38, 0)]
+        return pa.table([pa.array(x, t) for x, t in zip(got, kinds, strict=True)],
+                        names=["query_id", "query_row", "vec_id", "row", "score", "wide"])
 
     return search
 
@@ -165,22 +176,24 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, scale: int = 256,
 
     Rows with a null vec_id and vectors that are null, or hold a null or
     non-finite component, take no part. Vectors of different length are filled
-    up with zeros; an empty one scores 0 with all. Rows that repeat (the same
-    vec_id and vector) count once; rows of the query's vec_id are its own.
+    up with zeros; an empty one scores 0 with all. Rows that repeat are rows of
+    their own: each is an answer, and each asks for itself. A score that no
+    long can hold is given as the nearest long, its rank by the score itself
+    (up to 38 digits); so is floor(scale * component).
     Blocks of about ``block_rows`` rows meet blocks of about ``query_rows``
     queries, so no task holds more than that of either.
     """
-    rows = (vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-            .select("vec_id", quantised(F.col("embedding"), scale).alias("v")).distinct())
+    rows = cut_lineage(vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
+        "vec_id", quantised(F.col("embedding"), scale).alias("v"), F.monotonically_increasing_id().alias("row")), "topk-rows")
     asked = rows.where(is_query)
-    counts = vectors.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
+    counts = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     blocks, query_blocks = -(-counts.n // block_rows) or 1, -(-counts.q // query_rows) or 1
-    of = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
+    of = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.select(of(blocks, 1).alias("block"), every(query_blocks).alias("part"), "vec_id", "v")
-    right = asked.select(of(query_blocks, 2).alias("part"), every(blocks).alias("block"), "vec_id", "v")
+    left = rows.select(of(blocks, 1).alias("block"), every(query_blocks).alias("part"), "vec_id", "row", "v")
+    right = asked.select(of(query_blocks, 2).alias("part"), every(blocks).alias("block"), "vec_id", "row", "v")
     near = (left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
-            .applyInArrow(_search(k), "query_id long, vec_id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            .applyInArrow(_search(k), "query_id long, query_row long, vec_id long, row long, score long, wide decimal(38,0)"))
+    order = Window.partitionBy("query_row").orderBy(F.desc("wide"), "vec_id", "row")
     return (near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -151,6 +151,20 @@ def whole_groups(batches, keys: int = 1) -> Iterator[tuple[pa.Table, np.ndarray]
         yield table, cut(table)
 
 
+def join_unique(rows: DataFrame, table: DataFrame, key: str, count: str, most: int = 4096) -> DataFrame:
+    """``rows`` joined with the one row of ``table`` for their ``key`` (never
+    null), without its column ``count``, which says how many rows have the key.
+
+    A frequent key's rows would all go to one task. The keys that have more
+    than their ``most``-th part of all rows are fewer than ``most``: those are
+    broadcast, and only rows of the others are shuffled. Both are read stored."""
+    total = table.agg(F.sum(count)).first()[0] or 0
+    frequent = F.col(count) > max(1, total // most)
+    hot, cold = table.where(frequent).drop(count), table.where(~frequent).drop(count)
+    return (rows.join(F.broadcast(hot), key)
+            .unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)))
+
+
 def running(df: DataFrame, order: list[str], value: Column, out: str, name: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` up to and with each row in the order
     of ``order``. The rows are dealt by range, summed in each range, and the

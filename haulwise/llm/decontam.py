@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulwise.llm.common import RollingHash, mix, text_slices, word_bounds
+from haulwise.session import cut_lineage
 
 # Upper case to lower, ASCII punctuation and control characters to a space.
 _PLAIN = np.array([c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256)], np.uint8)
@@ -130,7 +131,7 @@ def _rare(seeds: Seeds, documents: np.ndarray, rare: float) -> Seeds:
 
 
 def _passages(seeds: Seeds):
-    """(doc_id, item_id, first word, words): the surroundings of rare seeds,
+    """(doc_id, item, first word, words): the surroundings of rare seeds,
     one row for seeds of one item that lie within reach of each other."""
 
     def passages(batches):
@@ -157,7 +158,7 @@ def _passages(seeds: Seeds):
                             x.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                 pa.array(out[3], pa.string())], names=["doc_id", "item_id", "first_word", "passage"])
+                 pa.array(out[3], pa.string())], names=["doc_id", "item", "first_word", "passage"])
 
     return passages
 
@@ -169,44 +170,51 @@ def _words(text: str) -> list[str]:
 def _score(batches):
     for batch in batches:
         scores, ends = [], []
+        found = []
         for item, passage in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
             words = [w for w in _words(item) if w]
             score, end = align(words, [w for w in passage.split(" ") if w])
             scores.append(score / (MATCH * len(words)))
+            found.append(score / MATCH)
             ends.append(end)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.array(scores, pa.float64()), pa.array(ends, pa.int64())],
-            names=["doc_id", "item_id", "first_word", "score", "end"])
+            [*batch.columns[:3], pa.array(scores, pa.float64()), pa.array(found, pa.float64()), pa.array(ends, pa.int64())],
+            names=["doc_id", "item", "first_word", "score", "words", "end"])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, least_score: float = 0.45, rare: float = 3.0,
-               most_words: int = 4_000_000) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, least_score: float = 0.45, least_words: int = 50,
+               rare: float = 3.0, most_words: int = 4_000_000) -> DataFrame:
     """``(doc_id, item_id, score, last_word)``: the documents (doc_id, text)
     that hold a copy of an item (item_id, text), one row for each pair.
 
     ``score`` is the best alignment score over that of an exact copy, 1 at
-    most; pairs under ``least_score`` are left out. ``last_word`` is where the
-    best alignment ends in the document, in words. Null and empty texts, and
-    items of fewer than ``n`` words, match nothing. Repeated rows give one
-    row for a doc_id and item. Items of equal text are all reported. The items
+    most; pairs under ``least_score`` are left out, unless the alignment is
+    worth ``least_words`` copied words (so a long part of a much longer item
+    counts). ``last_word`` is where the best alignment ends in the document, in
+    words. Null and empty texts, and items of fewer than ``n`` words, match
+    nothing. Repeated rows give one row for a doc_id and item. Items of equal
+    text are all reported; the texts of a repeated item_id are one item, whose
+    best alignment counts, and so are items with a null one. The items
     that documents are held against at a time have ``most_words`` words at
     most (and one item more); a longer benchmark is dealt by item into several
     such passes.
     """
     docs = docs.select("doc_id", "text").where("text is not null")
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+    # one entry for each id and text, told apart by number
+    items = cut_lineage(benchmark.where("text is not null").select("item_id", "text").distinct()
+                        .withColumn("item", F.monotonically_increasing_id()), "leak-items")
     total = items.agg(F.sum(F.length("text") / 2)).first()[0] or 0
     parts = max(1, int(-(-total // most_words)))
     out = None
     for part in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
-        seeds = Seeds([tuple(r) for r in own.collect()], n)  # about most_words words
+        own = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
+        seeds = Seeds([tuple(r) for r in own.select("item", "text").collect()], n)  # about most_words words
         kept = _rare(seeds, _seed_documents(docs, seeds), rare)
-        passages = docs.mapInArrow(_passages(kept), "doc_id long, item_id long, first_word long, passage string")
-        scored = (passages.join(own.withColumnRenamed("text", "item"), "item_id")
-                  .select("doc_id", "item_id", "first_word", "item", "passage")
-                  .mapInArrow(_score, "doc_id long, item_id long, first_word long, score double, end long")
-                  .where(F.col("score") >= least_score))
+        passages = docs.mapInArrow(_passages(kept), "doc_id long, item long, first_word long, passage string")
+        scored = (passages.join(own, "item").select("doc_id", "item", "first_word", "text", "passage")
+                  .mapInArrow(_score, "doc_id long, item long, first_word long, score double, words double, end long")
+                  .where((F.col("score") >= least_score) | (F.col("words") >= least_words))
+                  .join(own.select("item", "item_id"), "item"))
         out = scored if out is None else out.unionByName(scored)
     return (out.groupBy("doc_id", "item_id")
             .agg(F.max(F.struct("score", (-F.col("first_word") - F.col("end")).alias("last"))).alias("best"))

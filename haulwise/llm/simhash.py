@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwise.llm.common import mix, text_slices, word_bounds
+from haulwise.llm.common import join_unique, mix, text_slices, word_bounds
 from haulwise.session import cut_lineage
 
 BITS = 64
@@ -218,7 +218,10 @@ def _finest(reach: int):
 def link_fingerprints(fps: DataFrame, *, max_bits: int = 2, segment_bits: int = 2, crowd: int = 64) -> DataFrame:
     """``(a, b)``: links between distinct values of ``fps`` (fp) that join just
     those within ``max_bits`` bits, directly or by way of others within
-    ``max_bits`` of both."""
+    ``max_bits`` of both. ``max_bits`` is even: two points within it then meet
+    halfway in the finest grid, and all that meet there are within it."""
+    if max_bits < 0 or max_bits % 2:
+        raise ValueError("max_bits must be even")
     spread = fps.select("fp").mapInArrow(_cells(max_bits, segment_bits), "cell long, fp long, guest boolean")
     met = cut_lineage(
         spread.repartition("cell").sortWithinPartitions("cell")
@@ -240,7 +243,7 @@ def _state(edges: DataFrame):
     return edges.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)"))).first()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(node, root)``: the least node that every node of ``edges`` (a, b)
     reaches. Rounds of linking every node to the least neighbour, first among
     larger, then among smaller ones, until nothing changes; every round is
@@ -250,7 +253,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     state = _state(edges)
     if not state[0]:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    for _ in range(max_rounds):
+    while True:
         # larger neighbours of a node go to its least neighbour or itself
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -265,7 +268,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         before, state = state, _state(edges)
         if state == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    raise RuntimeError("components did not settle")
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2) -> DataFrame:
@@ -276,11 +278,11 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2) ->
     any other and is never a component_id unless no other id is there.
     """
     rows = cut_lineage(fingerprints(docs, shingle=shingle), "fingerprints")
-    firsts = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-firsts")
+    firsts = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "fingerprint-firsts")
     roots = components(link_fingerprints(firsts, max_bits=max_bits))
     linked = roots.select(F.col("node").alias("fp"), "root").unionByName(
         roots.select(F.col("root").alias("fp"), "root").distinct())
     least = (linked.join(firsts, "fp").groupBy("root").agg(F.min("first").alias("least")))
     label = linked.join(least, "root").select("fp", "least")
-    named = firsts.join(label, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = firsts.join(label, "fp", "left").select("fp", "n", F.coalesce("least", "first").alias("component_id"))
+    return join_unique(rows, cut_lineage(named, "fingerprint-names"), "fp", "n").select("doc_id", "fp", "component_id")

@@ -24,16 +24,16 @@ FROM ruled
 """
 
 OP7 = """
-WITH rows AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+WITH rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS line, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND NOT coalesce(list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x))), FALSE)),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+  SELECT q.line, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND c.line <> q.line)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
 

@@ -75,3 +75,16 @@ def test_odd_rows(odd_docs, no_docs, stored):
     assert got == {(d, i) for d in (0, 7, 10) for i in (1, 5)}
     assert decontam.find_leaks(no_docs, items).count() == 0
     assert decontam.find_leaks(odd_docs, items.limit(0)).count() == 0
+
+
+def test_items_without_an_id_and_parts_of_long_items(stored):
+    rng = random.Random(9)
+    say = lambda n: [f"{rng.choice('bcdfg')}{rng.randint(0, 4000)}" for _ in range(n)]
+    long, short, lost = say(400), say(20), say(30)
+    docs = [(1, " ".join(say(30) + long[50:150] + say(30))), (2, " ".join(say(200))), (3, " ".join(say(9) + lost)),
+            (4, " ".join(say(30) + long[200:230] + say(30))), (5, " ".join(short + say(50)))]
+    items = [(10, " ".join(long)), (None, " ".join(lost)), (11, " ".join(short)), (11, " ".join(say(25)))]
+    rows = decontam.find_leaks(stored(docs, "doc_id long, text string"), stored(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 10), (3, None), (5, 11)}
+    scores = {r.doc_id: r.score for r in rows}
+    assert scores[1] == pytest.approx(0.25) and scores[3] == scores[5] == 1.0

@@ -154,8 +154,9 @@ def test_top_k_matches_brute_force(spark):
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     ints = {k: np.floor(256 * v.astype(np.float64)).astype(np.int64) for k, v in vectors.items()}
     ints[1004] = np.zeros(8, np.int64)
+    every = [*ints.items(), (3, ints[3])]  # a repeated row is a row of its own
     for q in [k for k in ints if k % 50 == 0]:
-        best = sorted((-int(ints[q] @ v), k) for k, v in ints.items() if k != q)[:5]
+        best = sorted((-int(ints[q] @ v), k) for k, v in every if k != q)[:5]
         assert sorted(got[q]) == [(n + 1, k, -s) for n, (s, k) in enumerate(best)]
     assert set(got) == {k for k in ints if k % 50 == 0}
 
@@ -165,3 +166,21 @@ def test_top_k_of_few(spark):
     rows = bitslice.top_k(df, F.col("vec_id") == 0).collect()
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(rows, key=lambda r: r["rank"])] == [(1, 1, 131072), (2, 2, -65536)]
     assert bitslice.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_top_k_of_repeated_rows(stored):
+    """Every row but the query's own is a candidate, whatever its id."""
+    df = stored([(0, [1.0]), (0, [1.0]), (1, [3.0]), (1, [3.0]), (2, [2.0])], "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in bitslice.top_k(df, F.col("vec_id") == 0, k=3, scale=1).collect())
+    assert got == sorted([(0, 1, 1, 3), (0, 2, 1, 3), (0, 3, 2, 2)] * 2)
+
+
+def test_top_k_of_empty_and_huge_vectors(stored):
+    empty = stored([(0, []), (1, []), (2, [])], "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in bitslice.top_k(empty, F.col("vec_id") == 0).collect())
+    assert got == [(0, 1, 1, 0), (0, 2, 2, 0)]
+    huge = stored([(0, [1e9, 1e9]), (1, [1e9, 2.0]), (2, [3e9, 1.0]), (3, [-3e9, 0.0]), (4, [1e30, 0.0]), (5, [1.0, 1.0])],
+                  "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.vec_id, r.score) for r in bitslice.top_k(huge, F.col("vec_id") == 0).collect())
+    most = 2 ** 63 - 1
+    assert got == [(1, 4, most), (2, 2, most), (3, 1, most), (4, 5, 2 * 256 * 256 * 10 ** 9), (5, 3, -most - 1)]

@@ -115,3 +115,14 @@ def test_rows_of_one_id_are_judged_each_for_itself(spark, small_dir, stored, doc
     rows = [tuple(r) for r in before.values()] + [(None, *r[1:]) for r in [*map(tuple, bad), *map(tuple, after.values())]]
     got = pipeline.quality_stage(spark, stored(rows, schema), small_dir).where("doc_id is null").collect()
     assert 0 < len(got) < len(before) and sum(r.text in {b.text for b in bad} for r in got) <= 0.5 * len(bad)
+
+
+def test_columns_of_the_stages_own_names(spark, small_dir, stored):
+    """A column like the one that a stage numbers rows with stays as it is."""
+    rows = [(k, f"clean words of text number {k} about rivers and towns", "en", "s", 1, -k, k, "x") for k in range(6)]
+    docs = stored(rows, "doc_id long, text string, lang string, source string, n_chars long, _row_key long, _ROW_KEY_ long, at string")
+    for stage in (pipeline.quality_stage, pipeline.near_duplicate_stage, pipeline.decontamination_stage, pipeline.secret_stage):
+        got = stage(spark, docs, small_dir)
+        assert got.columns == docs.columns
+        assert {tuple(r) for r in got.collect()} <= set(rows)
+    assert got.count() == 6
