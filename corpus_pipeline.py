@@ -22,48 +22,49 @@ from haulwise.session import cut_lineage, scratch_path
 from haulwise.sources.tables import read_input
 
 
-KEY = "_row_key"
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """A stored copy of ``docs`` with a number for each row, in a column whose
+    name none of theirs has (case does not tell names apart)."""
+    key = "_row_key"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    return cut_lineage(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows"), key
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """A stored copy of ``docs`` with a number for each row in KEY."""
-    return cut_lineage(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
-
-
-def _by_key(keyed: DataFrame) -> DataFrame:
+def _by_key(keyed: DataFrame, key: str) -> DataFrame:
     """Row numbers in place of the doc_ids."""
-    return keyed.withColumn("doc_id", F.col(KEY)).drop(KEY)
+    return keyed.select(F.col(key).alias("doc_id"), "text")
 
 
-def _only(keyed: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+def _only(keyed: DataFrame, key: str, keys: DataFrame, how: str) -> DataFrame:
     """The rows whose number is (left_semi) or is not (left_anti) in ``keys``."""
-    return keyed.join(keys, KEY, how).drop(KEY)
+    return keyed.join(keys, key, how).drop(key)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the importance resampling leaves out. Without usable labels
     every document stays."""
-    keyed = _keyed(docs)
-    judged = quality.importance_resample(keyed, read_input(spark, sf_dir, "labels"), stratum="lang", row_key=KEY)
-    return _only(keyed, judged.where("not selected").select(KEY), "left_anti").select(docs.columns)
+    keyed, key = _keyed(docs)
+    judged = quality.importance_resample(keyed, read_input(spark, sf_dir, "labels"), stratum="lang", row_key=key)
+    return _only(keyed, key, judged.where("not selected").select(key), "left_anti").select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near-duplicates one row, of the least doc_id; a
     null one comes last."""
-    keyed = _keyed(docs)
-    groups = simhash.near_duplicates(_by_key(keyed), shingle=3, max_bits=2)
-    groups = groups.select(F.col("doc_id").alias(KEY), "component_id").join(keyed.select(KEY, "doc_id"), KEY)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY)).alias("first")
-    kept = groups.groupBy("component_id").agg(first).select(F.col(f"first.{KEY}").alias(KEY))
-    return _only(keyed, kept, "left_semi").select(docs.columns)
+    keyed, key = _keyed(docs)
+    groups = simhash.near_duplicates(_by_key(keyed, key), shingle=3, max_bits=2)
+    groups = groups.select(F.col("doc_id").alias(key), "component_id").join(keyed.select(key, "doc_id"), key)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(key).alias("at"))).alias("first")
+    kept = groups.groupBy("component_id").agg(first).select(F.col("first.at").alias(key))
+    return _only(keyed, key, kept, "left_semi").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with a copy, exact or edited, of a benchmark item."""
-    keyed = _keyed(docs)
-    leaks = decontam.find_leaks(_by_key(keyed), read_input(spark, sf_dir, "benchmark"))
-    return _only(keyed, leaks.select(F.col("doc_id").alias(KEY)), "left_anti").select(docs.columns)
+    keyed, key = _keyed(docs)
+    leaks = decontam.find_leaks(_by_key(keyed, key), read_input(spark, sf_dir, "benchmark"))
+    return _only(keyed, key, leaks.select(F.col("doc_id").alias(key)), "left_anti").select(docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
