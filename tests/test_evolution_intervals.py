@@ -87,5 +87,5 @@ def test_all_levels_read_silver_once_and_equal_each_level(spark, sf_small):
         one = {(c, r[c]): tuple(r)[1:] for r in analysis.hier(silver, c).collect()}
         assert {k: v for k, v in rows.items() if k[0] == c} == one
     assert rows[("fleet", None)][0] == silver.count()
-    assert every._jdf.queryExecution().executedPlan().toString().count("InMemoryTableScan") == 1
+    assert every._jdf.queryExecution().sparkPlan().toString().count("InMemoryTableScan") == 1
     silver.unpersist()
