@@ -1,18 +1,23 @@
 """Quality classifier by importance resampling.
 
-Two generative models over hashed n-grams (words, word pairs, byte triples)
-are counted: one of the target text (documents labelled good and not toxic)
-and one of the raw text (every document), each in strata such as languages.
-A document's log weight is the mean log ratio of its n-grams, summed over the
-three families. Ratios are taken from their mean over the target text, so that
-a typical good document of any stratum has weight 0, and the mean of a short
-document is drawn toward that. Gumbel noise is added to the scaled weight and
-the top k documents are kept, which samples without replacement in proportion
-to the weights.
-
-k is the number of documents whose log weight reaches the cut that best parts
-the held-out labelled documents (good against not good, equal weight), or a
-lower one if that would drop more than a small share of the good.
+Two generative models over hashed n-grams (words, word pairs, byte triples,
+and whether a word and the one after it repeat the word before) are counted:
+one of the target text (documents labelled good and not toxic) and one of the
+raw text (every document), each in strata such as languages. A document's log
+weight is the mean log ratio of its n-grams, summed over the families. Ratios
+are taken from their mean over the target text, so that a typical good document
+of any stratum has weight 0, and the mean of a short document is drawn toward
+that.
+
+The sample is a Gumbel top-k: standard Gumbel noise is added to the log
+weights and the k greatest sums are selected, which draws k documents without
+replacement in proportion to their weights. k is a share of the documents, a
+parameter.
+
+Apart from the draw, every document is classified: it is kept unless its log
+weight is under the cut that best parts the held-out labelled documents (good
+against not good, equal weight), or a lower one if that would drop more than a
+small share of the good.
 
 A mean hides the few words that make a document toxic. A second pair of models
 therefore counts in how many toxic and how many other labelled documents a
@@ -32,10 +37,10 @@ from pyspark.sql import functions as F
 from haulwise.llm.common import RollingHash, mix, running, text_slices, word_bounds
 from haulwise.session import cut_lineage
 
-FAMILIES = 3
+FAMILIES = 4
 SHRINK = 20  # n-grams of weight 0 that every document has besides its own
 BELOW = 100.0  # more than other log weights differ by
-TOLD = 7.0  # log likelihood ratio from which on a word tells toxic documents
+TOLD = 5.0  # log likelihood ratio from which on a word tells toxic documents
 
 # Bytes with ASCII letters in lower case and ASCII punctuation as spaces
 PLAIN = np.array([k + 32 if 65 <= k <= 90 else k if k >= 128 or chr(k).isalnum() or k < 33 else 32 for k in range(256)], np.uint8)
@@ -50,6 +55,9 @@ def _features(data: np.ndarray, offsets: np.ndarray, hasher: RollingHash, bits:
     both = row[1:] == row[:-1]
     pairs = mix(words[:-1] * np.uint64(3) + words[1:])[both]
     yield (pairs >> shift).astype(np.int64), row[1:][both]
+    again = np.zeros(len(words), np.uint64)
+    again[1:] = (words[1:] == words[:-1]) & both
+    yield (mix(again[1:] * np.uint64(2) + again[:-1] + np.uint64(1))[both] >> shift).astype(np.int64), row[1:][both]
     b = data.astype(np.uint64)
     triples = mix((b[:-2] | b[1:-1] << np.uint64(8) | b[2:] << np.uint64(16)) + np.uint64(1))
     at = np.arange(len(triples))
@@ -71,18 +79,19 @@ def _label_sample(labels: DataFrame, bound: int) -> dict[int, tuple[bool, bool,
     return {r.doc_id: (r.good, r.h & 1 == 0, r.toxic) for r in rows}
 
 
-def _strata(docs: DataFrame, bound: int) -> dict:
-    """Value to number: the ``bound`` most frequent values of ``stratum``;
-    all others, and null, share the last number."""
-    rows = (docs.where("stratum is not null").groupBy("stratum").count()
-            .orderBy(F.desc("count"), "stratum").limit(bound).collect())
-    return {r[0]: k for k, r in enumerate(rows)}
+def _strata(docs: DataFrame, sample: dict) -> dict:
+    """Value to number, for the strata that good documents of the sample are
+    in: no others have target text."""
+    ids = docs.sparkSession.createDataFrame([(i,) for i, s in sample.items() if s[0]], "doc_id long")  # label_bound rows at most
+    rows = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("stratum").distinct().collect()
+    return {x: k for k, x in enumerate(sorted((r[0] for r in rows), key=lambda x: (x is not None, x)))}
 
 
 def _ratios(docs: DataFrame, sample: dict, strata: dict, bits: int) -> np.ndarray:
     """Log ratio of target to raw probability of each stratum's and family's
-    buckets, less its mean over the target text. Buckets have half a count more in the raw text, and the stratum's
-    share of that in the target; a stratum without target text has ratio 0."""
+    buckets, less its mean over the target text. Buckets have half a count more
+    in the raw text, and the stratum's share of that in the target; a stratum
+    without target text has ratio 0, as have all that are not in ``strata``."""
     size = 1 << bits
 
     def count(batches):
@@ -216,32 +225,38 @@ def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
 
 
 def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | None = None,
-                        row_key: str | None = None, bits: int = 15,
-                        label_bound: int = 20_000, strata_bound: int = 15, good_loss: float = 0.01,
-                        temperature: float = 0.004, seed: int = 7) -> DataFrame:
-    """``(doc_id, log_weight, sample_key, selected)``, one row per row of
-    ``docs`` (doc_id, text and the ``stratum`` column, if one is named;
-    further columns are ignored).
-
-    ``stratum``: a column such as the language, whose ``strata_bound`` most
-    frequent values have models of their own; all others and null share one.
+                        row_key: str | None = None, bits: int = 15, share: float = 0.5,
+                        label_bound: int = 20_000, good_loss: float = 0.01, seed: int = 7) -> DataFrame:
+    """``(doc_id, log_weight, sample_key, selected, keep)``, one row per row of
+    ``docs`` (doc_id, text and the ``stratum`` column, if one is named; further
+    columns are ignored).
+
+    ``selected``: the row is in the sample of k = round(``share`` * rows) rows,
+    those of the greatest ``sample_key``, the log weight plus Gumbel noise (a
+    hash of doc_id and ``seed``). ``keep``: the row is not rejected by the cuts
+    chosen on labels.
+
+    ``stratum``: a column such as the language; every value that good labelled
+    documents have gets models of its own, and documents of other strata, for
+    which nothing is known, have no n-gram ratios.
     ``row_key``: a long column that is returned too, to find rows again.
     ``bits``: buckets of a family as a power of two. ``good_loss``: the share
     of held-out good documents that either cut may drop. ``label_bound``: labelled
-    documents of either kind that are used, at most; raw counts, weights and
-    the choice cover every document. Toxic documents are told by the words of the
-    same labelled ones. ``temperature`` scales the Gumbel noise.
+    documents of either kind that are used, at most; raw counts, weights, the
+    draw and the classification cover every document. Toxic documents are told
+    by the words of the same labelled ones.
 
     A null or empty text has no n-grams and log weight 0. Equal keys go to the
     smaller doc_id; a null doc_id is unlabelled and comes first. Without good
     labels, without others, or without documents nothing is rejected. Repeated
-    rows are weighed and drawn each for itself, with equal noise.
+    rows are weighed and drawn each for itself, with equal noise; a labelled
+    doc_id of several rows counts once for the cuts, with its least weight.
     """
     named = F.col(stratum) if stratum else F.lit(None)
     key = F.col(row_key) if row_key else F.lit(None)
     docs = docs.select("doc_id", "text", named.cast("string").alias("stratum"), key.cast("long").alias("row_key"))
-    strata = _strata(docs, strata_bound) if stratum else {}
     sample = _label_sample(labels, label_bound)
+    strata = _strata(docs, sample)
     kinds = {g for g, _, _ in sample.values()}
     ratios = (_ratios(docs, sample, strata, bits) if len(kinds) == 2
               else np.zeros((len(strata) + 1, FAMILIES, 1 << bits), np.float32))
@@ -250,8 +265,11 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
     weighed = cut_lineage(
         docs.mapInArrow(_weigh(ratios, toxic_words, sample, strata), "doc_id long, row_key long, base_weight double, "
                         "toxic_weight double, held_out_good boolean, held_out_toxic boolean"), "quality-weights")
-    held = weighed.where("held_out_good is not null").drop("doc_id", "row_key").toPandas()  # at most 2 * label_bound documents
-    good, toxic = held.held_out_good.to_numpy(bool), held.held_out_toxic.to_numpy(bool)
+    held = (weighed.where("held_out_good is not null").groupBy("doc_id")
+            .agg(F.min("base_weight").alias("base_weight"), F.max("toxic_weight").alias("toxic_weight"),
+                 F.first("held_out_good").alias("good"), F.first("held_out_toxic").alias("toxic")))
+    held = held.orderBy("doc_id").toPandas()  # at most 2 * label_bound rows, one for each labelled doc_id
+    good, toxic = held.good.to_numpy(bool), held.toxic.to_numpy(bool)
     # what a good document's toxic words may add up to
     told = held.toxic_weight.to_numpy()
     upto = (-min(best_cut(-told[good | toxic], good[good | toxic]),
@@ -259,10 +277,13 @@ def importance_resample(docs: DataFrame, labels: DataFrame, *, stratum: str | No
     weights, good = held.base_weight.to_numpy()[told <= upto], good[told <= upto]
     cut = (min(best_cut(weights, good), np.quantile(weights[good], good_loss, method="lower"))
            if 0 < good.sum() < len(good) else float("-inf"))
-    drop = F.when(F.col("toxic_weight") > float(upto), F.col("toxic_weight") + BELOW).otherwise(F.lit(0.0))
+    clean = F.col("toxic_weight") <= float(upto)
+    drop = F.when(clean, F.lit(0.0)).otherwise(F.col("toxic_weight") + BELOW)
     weighed = (weighed.withColumn("log_weight", F.col("base_weight") - drop)
-               .withColumn("sample_key", F.col("log_weight") / temperature - F.log(-F.log(uniform))))
-    k = weighed.where((F.col("log_weight") >= cut) & (F.col("toxic_weight") <= float(upto))).count()
+               .withColumn("keep", clean & (F.col("log_weight") >= cut))
+               .withColumn("sample_key", F.col("log_weight") - F.log(-F.log(uniform))))
+    k = round(share * weighed.count())
     ranked = running(weighed.withColumn("_down", -F.col("sample_key")), ["_down", "doc_id"],
                      F.lit(1), "rank", "quality-ranks")
-    return ranked.select("doc_id", *([F.col("row_key").alias(row_key)] if row_key else []), "log_weight", "sample_key", (F.col("rank") <= k).alias("selected"))
+    return ranked.select("doc_id", *([F.col("row_key").alias(row_key)] if row_key else []), "log_weight", "sample_key",
+                         (F.col("rank") <= k).alias("selected"), "keep")

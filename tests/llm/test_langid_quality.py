@@ -50,8 +50,8 @@ def test_one_language(stored):
 def test_quality_parts_labelled_documents(spark, small_dir):
     sf = small_dir.replace("sf0.001", "sf0.01")
     got = op10_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
-    good = [r.selected for r in got if r.quality == 1 and not r.toxic]
-    bad = [r.selected for r in got if r.quality == 0]
+    good = [r.keep for r in got if r.quality == 1 and not r.toxic]
+    bad = [r.keep for r in got if r.quality == 0]
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.05 * len(bad)
 
 
@@ -65,9 +65,9 @@ def test_toxic_documents_go_whatever_their_length(spark, small_dir, stored):
     rows = both.select("doc_id", "text", "lang").collect()
     got = quality.importance_resample(stored([tuple(r) for r in rows], "doc_id long, text string, lang string"),
                                       labels, stratum="lang").join(labels, "doc_id", "left").collect()
-    added = [r.selected for r in got if r.doc_id >= 10 ** 9]
-    toxic = [r.selected for r in got if r.quality == 1 and r.toxic]
-    good = [r.selected for r in got if r.quality == 1 and not r.toxic]
+    added = [r.keep for r in got if r.doc_id >= 10 ** 9]
+    toxic = [r.keep for r in got if r.quality == 1 and r.toxic]
+    good = [r.keep for r in got if r.quality == 1 and not r.toxic]
     assert len(added) == 40 and sum(added) <= 2
     assert sum(toxic) <= 0.3 * len(toxic) and sum(good) >= 0.985 * len(good)
 
@@ -79,6 +79,40 @@ def test_kept_are_the_top_keys(spark, small_dir):
     assert [x[2] for x in keys] == [True] * k + [False] * (len(rows) - k)
 
 
+def test_the_draw_follows_the_weights(spark, small_dir, docs):
+    """Over many seeds a document is in the sample as often as in a brute-force
+    draw without replacement in proportion to the weights."""
+    labels = spark.read.parquet(f"{small_dir}/labels.parquet")
+    some = docs.where("doc_id < 40")
+    times, weights, rounds = {}, {}, 12
+    for seed in range(rounds):
+        rows = quality.importance_resample(some, labels, stratum="lang", share=0.3, seed=seed).collect()
+        assert sum(r.selected for r in rows) == round(0.3 * len(rows))
+        for r in rows:
+            times[r.doc_id] = times.get(r.doc_id, 0) + r.selected
+            weights[r.doc_id] = r.log_weight
+    rng = np.random.default_rng(0)
+    ids, w = list(weights), np.array(list(weights.values()))
+    w = np.maximum(w, w.max() - 60)
+    p = np.exp(w - w.max()) / np.exp(w - w.max()).sum()
+    want = np.zeros(len(ids))
+    for _ in range(2000):
+        want[rng.choice(len(ids), round(0.3 * len(ids)), replace=False, p=p)] += 1 / 2000
+    got = np.array([times[i] for i in ids]) / rounds
+    assert np.corrcoef(got, want)[0, 1] > 0.7 and abs(got - want).mean() < 0.2
+    assert (got > 0).sum() > round(0.3 * len(ids))  # not the same top k each time
+
+
+def test_a_labelled_id_of_many_rows_counts_once(stored, docs, spark, small_dir):
+    labels = spark.read.parquet(f"{small_dir}/labels.parquet")
+    one = labels.where("quality = 1 and toxic = 0").first().doc_id
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
+    many = rows + [r for r in rows if r[0] == one] * 300
+    schema = "doc_id long, text string, lang string"
+    kept = [{r.doc_id: r.keep for r in quality.importance_resample(stored(x, schema), labels, stratum="lang").collect()} for x in (rows, many)]
+    assert sum(kept[0][i] != kept[1][i] for i in kept[0]) <= 0.05 * len(kept[0])
+
+
 def test_best_cut():
     assert quality.best_cut(np.array([1.0, 2.0, 8.0, 9.0]), np.array([0, 0, 1, 1])) == 5.0
     assert quality.best_cut(np.array([1.0, 1.0]), np.array([1, 1])) == float("-inf")
@@ -91,5 +125,5 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     got = quality.importance_resample(odd_docs, labels)
     assert got.count() == odd_docs.count() and got.where("doc_id in (1, 2, 13) and log_weight <> 0").count() == 0
     none = labels.limit(0)
-    assert quality.importance_resample(odd_docs, none).where("not selected").count() == 0
+    assert quality.importance_resample(odd_docs, none).where("not keep").count() == 0
     assert quality.importance_resample(no_docs, labels).count() == 0
