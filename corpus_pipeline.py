@@ -42,11 +42,12 @@ def _only(keyed: DataFrame, key: str, keys: DataFrame, how: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the importance resampling leaves out. Without usable labels
-    every document stays."""
+    """Drops what the classifier rejects by the cuts that labels gave it (the
+    draw of the resampling plays no part). Without usable labels every document
+    stays."""
     keyed, key = _keyed(docs)
     judged = quality.importance_resample(keyed, read_input(spark, sf_dir, "labels"), stratum="lang", row_key=key)
-    return _only(keyed, key, judged.where("not selected").select(key), "left_anti").select(docs.columns)
+    return _only(keyed, key, judged.where("not keep").select(key), "left_anti").select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
