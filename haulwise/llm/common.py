@@ -151,18 +151,22 @@ def whole_groups(batches, keys: int = 1) -> Iterator[tuple[pa.Table, np.ndarray]
         yield table, cut(table)
 
 
-def join_unique(rows: DataFrame, table: DataFrame, key: str, count: str, most: int = 4096) -> DataFrame:
+def join_unique(rows: DataFrame, table: DataFrame, key: str, count: str, *, most: int = 1024) -> DataFrame:
     """``rows`` joined with the one row of ``table`` for their ``key`` (never
     null), without its column ``count``, which says how many rows have the key.
 
-    A frequent key's rows would all go to one task. The keys that have more
-    than their ``most``-th part of all rows are fewer than ``most``: those are
-    broadcast, and only rows of the others are shuffled. Both are read stored."""
+    A key with more than a ``most``-th part of all rows is dealt out, by row
+    number, to as many parts as it takes, and its row of ``table`` goes to each.
+    There are fewer than ``most`` such keys; what each takes is broadcast. Both
+    sides are read stored."""
     total = table.agg(F.sum(count)).first()[0] or 0
-    frequent = F.col(count) > max(1, total // most)
-    hot, cold = table.where(frequent).drop(count), table.where(~frequent).drop(count)
-    return (rows.join(F.broadcast(hot), key)
-            .unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)))
+    each = max(1, total // most)
+    parts = F.ceil(F.col(count) / each).cast("int")
+    frequent = table.where(F.col(count) > each).select(key, parts.alias("_parts"))
+    dealt = rows.join(F.broadcast(frequent), key, "left").withColumn(
+        "_part", F.coalesce(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")), F.lit(0)).cast("int")).drop("_parts")
+    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop(count)
+    return dealt.join(copies, [key, "_part"]).drop("_part")
 
 
 def running(df: DataFrame, order: list[str], value: Column, out: str, name: str) -> DataFrame:
