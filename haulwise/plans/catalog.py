@@ -138,6 +138,10 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_as_of_range": _q(lambda L: scenarios.snapshot_as_of_range(L.spark, L.feed)),
         "evolved_rows": _q(lambda L: scenarios.evolved_rows(L.spark, L.feed)),
         "schema_changes": _q(lambda L: scenarios.schema_changes(L.spark, L.feed)),
+        "threshold_from_sketches": _q(lambda L: scenarios.threshold_from_sketches(L.spark, L.feed)),
+        "distinct_from_sketches": _q(lambda L: scenarios.distinct_from_sketches(L.feed)),
+        "route_file_skipping": _q(lambda L: scenarios.route_file_skipping(L.spark, L.silver)),
+        "null_offenders": _q(lambda L: quality.null_counts(L.feed, offenders_only=True)),
         "gold_incremental": _q(lambda L: scenarios.gold_incremental(L.spark, L.feed)),
         "csv_load_readback": _q(lambda L: scenarios.csv_load_readback(L.spark, L.feed)),
         "contract_schema_check": _q(lambda L: scenarios.contract_schema_check(L.spark, L.gold)),

@@ -10,12 +10,13 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwise.functions.metrics import safe_div
+from haulwise.functions import sketches
+from haulwise.functions.metrics import THRESHOLD_QUANTILE, safe_div
 from haulwise.operators import gold as gold_ops, quality
 from haulwise.operators.silver import ROUTE_COLUMNS
 from haulwise.operators.gold_state import gold_of_state
 from haulwise.plans.medallion import (
-    build_gold_state, ingest_bronze, load_csv, read_bronze, read_gold, read_gold_state, restate,
+    BRONZE_PARTITIONS, build_gold_state, ingest_bronze, load_csv, read_bronze, read_gold, read_gold_state, restate,
 )
 from haulwise.session import cut_lineage, scratch_path
 from haulwise.sources import evolution, layout, snapshots
@@ -173,6 +174,59 @@ def schema_changes(spark, feed: DataFrame) -> DataFrame:
     return evolution.schema_changes(spark, _evolving_loads(spark, cut_lineage(feed, "feed")))
 
 
+def threshold_from_sketches(spark, feed: DataFrame) -> DataFrame:
+    """C25 from stored quantile sketches: made for every month of the base
+    load, and anew for the months that the restatement touches; the threshold
+    of the table after it, and how many values it has."""
+    scenario = Restatement(spark, feed)
+    ingest_bronze(spark, scenario.root, scenario.base(), "base", land=False)
+    m, by = "gross_margin_pct", list(BRONZE_PARTITIONS)
+    held = cut_lineage(sketches.quantile_sketches(read_bronze(spark, scenario.root), m, by), "quantile-sketches")
+    ingest_bronze(spark, scenario.root, scenario.batch(), "restatement", land=False)
+    bronze = read_bronze(spark, scenario.root)
+    months = scenario.batch().select(*by).distinct()
+    new = sketches.quantile_sketches(bronze.join(months, by, "left_semi"), m, by)
+    held = cut_lineage(sketches.replace_partitions(held, new, by), "quantile-sketches")
+    thr = sketches.threshold_from_sketches(bronze, m, THRESHOLD_QUANTILE, held)
+    return held.agg(F.sum("n").alias("n_values")).select(F.lit(thr).alias("threshold"), "n_values")
+
+
+def distinct_from_sketches(feed: DataFrame) -> DataFrame:
+    """B2, B9, B10 from sketches by month: distinct keys and distinct
+    route-months, counted exactly and estimated, and whether the estimate's
+    bounds hold the exact count."""
+    by, parts = list(BRONZE_PARTITIONS), []
+    for name, key in (("route_date_key", F.col(KEY)), ("route_month", F.concat_ws("|", "route_id", "year", "month"))):
+        rows = feed.select(*by, key.alias("v"))
+        told = sketches.distinct_estimate(sketches.distinct_sketches(rows, "v", by))
+        exact = rows.select("v").distinct().agg(F.count(F.lit(1)).alias("distinct_exact"))
+        # one row each: bounded
+        parts.append(told.join(F.broadcast(exact), F.lit(True)).select(
+            F.lit(name).alias("key"), "partitions", "row_count", "distinct_exact",
+            F.col("distinct_exact").between(F.col("low"), F.col("high")).alias("within_bounds")))
+    return parts[0].unionByName(parts[1])
+
+
+def route_file_skipping(spark, silver: DataFrame, files_per_partition: int = 8) -> DataFrame:
+    """For every route, the Silver files whose statistics do not rule
+    out its drill-down (bu, area, route), before and after clustering. Either
+    layout has about ``files_per_partition`` files a partition."""
+    cols, root = ["bu", "area", "route_id"], scratch_path(spark, "file-skipping")
+    silver = cut_lineage(silver, "silver")
+    rows, parts = silver.count(), silver.select("year", "region").distinct().count()
+    rows_per_file = max(1, rows // max(1, parts * files_per_partition))
+    layout.write_partitioned(silver, f"{root}/plain", ["year", "region"], max_records_per_file=rows_per_file)
+    files = layout.file_count(spark, f"{root}/plain")
+    layout.write_partitioned(silver, f"{root}/clustered", ["year", "region"], cols, num_files=files)
+    routes = cut_lineage(silver.select(*cols).distinct(), "routes")
+    out = routes
+    for state in ("plain", "clustered"):
+        stats = cut_lineage(layout.file_stats(spark, f"{root}/{state}", cols), "file-stats")
+        touched = layout.files_touched(routes, stats, cols, "route_id").withColumnRenamed("files", f"files_{state}")
+        out = out.join(touched, cols, "left")
+    return out.select(*cols, *[F.coalesce(f"files_{s}", F.lit(0)).alias(f"files_{s}") for s in ("plain", "clustered")])
+
+
 def gold_incremental(spark, feed: DataFrame) -> DataFrame:
     """The fact after a restatement that only changed days went into."""
     scenario = Restatement(spark, feed)

@@ -573,6 +573,9 @@ restated_days AS (
   SELECT {cols} FROM base WHERE route_date_key NOT IN (SELECT route_date_key FROM batch))"""
     q["gold_incremental"] = with_ctes(after + lossless(GOLD[len(ROUTE_DAYS):]).replace("FROM route_days", "FROM restated_days"),
                                       "\nSELECT * FROM gold")
+    q["threshold_from_sketches"] = with_ctes(after, f"""
+SELECT CAST(coalesce(round_even({kth_sql('restated_days', 'gross_margin_pct', 0.1)}, 0), 10.0) AS DOUBLE) AS threshold,
+       count(gross_margin_pct) AS n_values FROM restated_days""")
     q["load_audit"] = with_ctes(scen, f"""
 SELECT 'base' AS batch_id, 'CREATE' AS operation, '{base_ts}' AS load_ts, count(*) AS rows_in, count(*) AS inserted,
        CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged,
@@ -582,6 +585,14 @@ SELECT 'restatement', 'MERGE', '{restate_ts}', count(*), count(*) FILTER (WHERE
        count(*) FILTER (WHERE date < {end}), 0, count(DISTINCT (year, month)) FROM batch
 UNION ALL
 SELECT 'rerun', 'MERGE', '{rerun_ts}', count(*), 0, 0, count(*), count(DISTINCT (year, month)) FROM batch""")
+    q["distinct_from_sketches"] = with_ctes(ROUTE_DAYS, """
+SELECT 'route_date_key' AS "key", count(DISTINCT (year, month)) AS partitions, count(*) AS row_count,
+       count(DISTINCT route_date_key) AS distinct_exact, true AS within_bounds FROM route_days
+UNION ALL
+SELECT 'route_month', count(DISTINCT (year, month)), count(*), count(DISTINCT (route_id, year, month)), true FROM route_days""")
+    q["null_offenders"] = with_ctes(ROUTE_DAYS, "SELECT * FROM (" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM route_days"
+        for c in SOURCE if c != "incident_type") + ") WHERE null_count > 0")
     q["csv_load_readback"] = with_ctes(ROUTE_DAYS, """
 SELECT count(*) AS row_count, count(DISTINCT route_date_key) AS distinct_keys,
        count(*) - count(DISTINCT route_date_key) AS duplicate_keys,

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulwise.operators.interval_join import containing
 from haulwise.session import cut_lineage
 
 Z_BITS = 63
@@ -219,3 +220,23 @@ def file_stats(spark, path: str, cols: Sequence[str] = ()) -> DataFrame:
     for c in cols:
         aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
     return df.groupBy("_file").agg(*aggs)
+
+
+def files_touched(wanted: DataFrame, stats: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
+    """``(cols, files)``: for every row of ``wanted``, an equality predicate on
+    ``cols``, the files of ``stats`` (see :func:`file_stats`) that it cannot
+    skip: all ranges hold its values. The ranges of ``by`` are joined as
+    intervals, over the ranks of the values that occur; the others are compared
+    for the pairs that this leaves. Null predicates and empty ranges match
+    nothing."""
+    values = (wanted.select(F.col(by).alias("v")).unionByName(stats.select(F.col(f"{by}_min").alias("v")))
+              .unionByName(stats.select(F.col(f"{by}_max").alias("v"))).where("v is not null").distinct())
+    ranks = cut_lineage(ordinals(values, ["v"]).select(F.col("c0").alias("v"), F.col("ord")), "file-ranks")
+    rank = lambda c, out: ranks.select(F.col("v").alias(c), F.col("ord").alias(out))
+    points = wanted.select(*cols).join(rank(by, "_point"), by)
+    spans = stats.join(rank(f"{by}_min", "_low"), f"{by}_min").join(rank(f"{by}_max", "_high"), f"{by}_max")
+    met = containing(points, "_point", spans, "_low", "_high")
+    for c in cols:
+        if c != by:
+            met = met.where(F.col(c).between(F.col(f"{c}_min"), F.col(f"{c}_max")))
+    return met.groupBy(*cols).agg(F.count(F.lit(1)).alias("files"))

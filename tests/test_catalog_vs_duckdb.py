@@ -8,7 +8,10 @@ from haulwise.plans.catalog import catalog
 from haulwise.plans.sql_twins import twins
 from tools.compare import TABLES, norm, rows_of
 
-NAMES = sorted(catalog())
+# how many files a layout has, and what is in them, is up to the tasks that
+# write it; test_sketches_intervals holds it against the written files
+UNTWINNED = {"route_file_skipping"}
+NAMES = sorted(set(catalog()) - UNTWINNED)
 
 # Queries that promise an order, which their twins state as well
 SORTED = {"partition_inventory", "persistent_routes", "dim_route", "dim_date", "star_slice_region_quarter", "hier_bu",

