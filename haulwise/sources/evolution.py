@@ -24,6 +24,8 @@ from pyspark.sql.types import (
     StringType, StructField, StructType, TimestampNTZType,
 )
 
+from haulwise.sources.layout import TABLE_CODEC
+
 LOADS = "load_id string, load_ts string, schema string"
 _DIGITS = {ByteType(): 3, ShortType(): 5, IntegerType(): 10, LongType(): 20}
 _INTEGERS = list(_DIGITS)
@@ -71,7 +73,7 @@ def _path(root: str, load_id: str) -> str:
 def write_load(df: DataFrame, root: str, load_id: str, load_ts: str) -> None:
     """Adds a load under its own schema. The list is written last: a load that
     failed on the way is not read."""
-    df.write.mode("overwrite").parquet(_path(root, load_id))
+    df.write.mode("overwrite").option("compression", TABLE_CODEC).parquet(_path(root, load_id))
     df.sparkSession.createDataFrame([(load_id, load_ts, df.schema.json())], LOADS).write.mode("append").parquet(
         os.path.join(root, "_loads"))
 

@@ -59,3 +59,22 @@ def test_late_write_equals_a_plain_one(spark, scratch):
         layout.write_partitioned(narrow, f"{scratch}/{i}", ["p"], late=late, **args)
         back = spark.read.parquet(f"{scratch}/{i}").select("id", "twice", "p")
         assert sorted(tuple(r) for r in back.collect()) == want
+
+
+def test_history_in_buckets_moves_no_wide_row(spark, sf_small):
+    """The keys' rows are compared where they are stored."""
+    from haulwise.plans import scenarios
+    from haulwise.sources import snapshots
+    L = Layers(spark, sf_small)
+    scenario = scenarios.Restatement(spark, L.sums, L.to_feed)
+    history = scenario.history(rerun=True)
+    plain = scenarios.Restatement(spark, L.landed)
+    loads = plain.base().unionByName(plain.batch()).unionByName(plain.batch(scenarios.RERUN_TS))
+    assert history.exceptAll(loads).count() == 0 and history.count() == loads.count()
+    states = snapshots.intervals(history, ["route_date_key"])
+    old, new = (snapshots.as_of(history, t, ["route_date_key"]) for t in (scenarios.BASE_TS, scenarios.RESTATE_TS))
+    for df in (states, old, snapshots.diff(old, new, ["route_date_key"])):
+        df.count()
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    want = snapshots.intervals(cut_lineage(loads, "loads"), ["route_date_key"])
+    assert states.exceptAll(want).count() == 0 and states.count() == want.count()
