@@ -42,6 +42,7 @@ QTY = "decimal(6,2)"
 PRICE = "decimal(12,2)"
 DISC = "decimal(4,2)"
 RETAIL = "decimal(8,2)"
+WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 # What :func:`route_day_sums` returns.
 SUM_COLUMNS = ("k", "date", "n_lines", "n_completed", "n_missed", "sum_size", "sum_qty", "sum_rev",
                "sum_qty_retail", "incident", "status", "p_type", "c_mktsegment", "n_name", "r_name")
@@ -72,9 +73,10 @@ def dictionary(values: DataFrame, col: str, code: str) -> DataFrame:
     return ordinals(distinct, [col]).select(F.col("c0").alias(col), F.col("ord").alias(code))
 
 
-# A line's two status letters as one number, (line status) * 3 +
-# (return flag); 0 stands for null in either.
-RETURNED, OTHER_RETURN = 1, 2
+# A line's two status letters and whether its discount is 0.10 as
+# one number, (discount) * 18 + (line status) * 3 + (return flag); 0 stands for
+# null in any.
+RETURNED, OTHER_RETURN, TENTH_OFF = 1, 2, 18
 BELOW_F, IS_F, BETWEEN, IS_O, ABOVE_O = 1, 2, 3, 4, 5
 
 
@@ -84,7 +86,8 @@ def _marks() -> Column:
     s = F.col("l_linestatus")
     status = (F.when(s < "F", BELOW_F).when(s == "F", IS_F).when(s < "O", BETWEEN)
               .when(s == "O", IS_O).when(s.isNotNull(), ABOVE_O).otherwise(0))
-    return (status * 3 + flag).cast("int")
+    tenth = F.when(F.col("l_discount").cast(DISC) == _d("0.10"), TENTH_OFF).otherwise(0)
+    return (tenth + status * 3 + flag).cast("int")
 
 
 def line_items(spark: SparkSession, sf_dir: str, part_dict: DataFrame,
@@ -92,13 +95,13 @@ def line_items(spark: SparkSession, sf_dir: str, part_dict: DataFrame,
     """Line grain with the part and customer attributes the mapping needs.
 
     Everything the aggregate asks of a line is brought to its fixed-width form
-    at the scan (measures as decimals, the status letters as one number, string
+    at the scan (measures as decimals, revenue as one, the marks as a number, string
     attributes as dictionary codes attached to the ``part`` and ``customer``
     rows), so each of the three shuffles of lines carries few bytes a row."""
     li = read_input(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", F.col("l_suppkey").alias("k"),
         F.to_date("l_shipdate").alias("date"), F.col("l_quantity").cast(QTY).alias("q"),
-        F.col("l_extendedprice").cast(PRICE).alias("ext"), F.col("l_discount").cast(DISC).alias("disc"),
+        (F.col("l_extendedprice").cast(PRICE) * (F.lit(1) - F.col("l_discount").cast(DISC))).alias("rev"),
         _marks().alias("marks"))
     part = read_input(spark, sf_dir, "part").select(
         "p_partkey", "p_type", "p_size", F.col("p_retailprice").cast(RETAIL).alias("rp"))
@@ -108,9 +111,11 @@ def line_items(spark: SparkSession, sf_dir: str, part_dict: DataFrame,
     cust = cust.join(seg_dict, "c_mktsegment", "left")
     order_seg = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "c_segment_code")
+    # a shuffled part or order is much smaller than its lines: hashed, the lines
+    # need not be sorted for either join
     return (
-        li.join(part, li.l_partkey == part.p_partkey).drop("l_partkey", "p_partkey")
-        .join(order_seg, F.col("l_orderkey") == order_seg.o_orderkey).drop("l_orderkey", "o_orderkey")
+        li.join(part.hint("shuffle_hash"), li.l_partkey == part.p_partkey).drop("l_partkey", "p_partkey")
+        .join(order_seg.hint("shuffle_hash"), F.col("l_orderkey") == order_seg.o_orderkey).drop("l_orderkey", "o_orderkey")
     )
 
 
@@ -126,20 +131,20 @@ def route_day_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg_dict = dictionary(read_input(spark, sf_dir, "customer"), "c_mktsegment",
                           "c_segment_code")
     lines = line_items(spark, sf_dir, part_dict, seg_dict)
-    lines = lines.withColumn("ym", F.year("date") * 12 + F.month("date")).repartition("k", "ym")
-    q, disc = F.col("q"), F.col("disc")
-    flag, status = F.col("marks") % 3, F.floor(F.col("marks") / 3).cast("int")
+    ym = F.year("date") * 12 + F.month("date")
+    q = F.col("q")
+    flag, status = F.col("marks") % 3, F.floor(F.col("marks") % TENTH_OFF / 3).cast("int")
     agg = (
-        lines.groupBy("k", "ym", "date")
+        lines.repartition("k", ym).groupBy("k", ym.alias("ym"), "date")
         .agg(
             F.count(F.lit(1)).cast("int").alias("n_lines"),
             F.count_if(flag == OTHER_RETURN).cast("int").alias("n_completed"),
             F.count_if(flag == RETURNED).cast("int").alias("n_missed"),
             F.sum("p_size").alias("sum_size"),
             F.sum(q).alias("sum_qty"),
-            F.sum(F.col("ext") * (F.lit(1) - disc)).alias("sum_rev"),
+            F.sum("rev").alias("sum_rev"),
             F.sum(q * F.col("rp")).alias("sum_qty_retail"),
-            F.max(F.when((flag == RETURNED) & (disc == _d("0.10")), 1).otherwise(0))
+            F.max(F.when((flag == RETURNED) & (F.col("marks") >= TENTH_OFF), 1).otherwise(0))
             .alias("incident"),
             F.min("p_type_code").alias("p_type_code"),
             F.min("c_segment_code").alias("c_segment_code"),
@@ -163,7 +168,10 @@ def route_day_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_id(k: Column) -> Column:
-    return F.concat(F.lit("RTE-"), F.format_string("%04d", k))
+    """``RTE-%04d``; the formatter itself is slow and only used below zero."""
+    digits = k.cast("string")
+    return F.concat(F.lit("RTE-"), F.when((k >= 0) & (k < 10_000), F.lpad(digits, 4, "0")).when(k >= 10_000, digits)
+                    .otherwise(F.format_string("%04d", k)))
 
 
 def area(bu: Column, k: Column) -> Column:
@@ -171,7 +179,19 @@ def area(bu: Column, k: Column) -> Column:
 
 
 def day_key(k: Column, date: Column) -> Column:
-    return F.concat(route_id(k), F.lit("_"), F.date_format(date, "yyyy-MM-dd"))
+    return F.concat(route_id(k), F.lit("_"), day_text(date))
+
+
+def day_text(date: Column) -> Column:
+    """``yyyy-MM-dd``: the cast where it writes the same (years of four digits),
+    the slower formatter elsewhere."""
+    plain = date.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))
+    return F.when(plain, date.cast("string")).otherwise(F.date_format(date, "yyyy-MM-dd"))
+
+
+def weekday(date: Column) -> Column:
+    """The day's English name."""
+    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(date))
 
 
 def feed_of(sums: DataFrame) -> DataFrame:
@@ -198,7 +218,7 @@ def feed_of(sums: DataFrame) -> DataFrame:
         F.year("date").alias("year"),
         F.month("date").alias("month"),
         F.concat(F.lit("Q"), F.quarter("date")).alias("quarter"),
-        F.date_format("date", "EEEE").alias("day_of_week"),
+        weekday(F.col("date")).alias("day_of_week"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("bu"),
         area(F.col("n_name"), k).alias("area"),
