@@ -190,8 +190,10 @@ def day_text(date: Column) -> Column:
 
 
 def weekday(date: Column) -> Column:
-    """The day's English name."""
-    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(date))
+    """The day's English name; a null date has none (``element_at`` alone would
+    give one)."""
+    name = F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(date))
+    return F.when(date.isNotNull(), name)
 
 
 def feed_of(sums: DataFrame) -> DataFrame:

@@ -17,6 +17,12 @@ def test_key_texts_are_the_formatters(spark):
     assert len(got) == 17 and all(r["a"] == r["b"] and r["c"] == r["e"] for r in got)
 
 
+def test_a_null_date_has_no_weekday(spark, scratch):
+    spark.sql("select date'2001-01-06' d union all select null").write.parquet(f"{scratch}/d")
+    rows = spark.read.parquet(f"{scratch}/d").select("d", weekday(F.col("d")).alias("w")).collect()
+    assert {r["w"] for r in rows if r["d"] is None} == {None} and len(rows) == 2
+
+
 def test_lines_are_not_sorted_for_their_joins(spark, sf_small):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
