@@ -93,3 +93,41 @@ def test_many_copies_stay_one_point(spark, stored):
     got = simhash.near_duplicates(many)
     assert got.where("doc_id < 3000").agg(F.max("component_id")).first()[0] == 0
     assert got.where("doc_id = 5000").first().component_id == 5000
+
+
+def test_stars_join_what_the_links_join():
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 60, 400):
+        a, b = rng.integers(-90, 90, (2, n))
+        node, root = simhash._stars(a, b)
+        want = {x: x for x in (*a.tolist(), *b.tolist())}
+        for _ in want:
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                want[x] = want[y] = min(want[x], want[y])
+        assert dict(zip(node.tolist(), root.tolist(), strict=True)) == {x: r for x, r in want.items() if x != r}
+        assert (root < node).all()
+
+
+def test_long_chains_take_few_rounds_and_files(spark, monkeypatch):
+    written = []
+    cut = simhash.cut_lineage
+
+    def counted(df, name="cut"):
+        out = cut(df, name)
+        written.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(simhash, "cut_lineage", counted)
+    order = np.random.default_rng(3).permutation(500).tolist()  # neighbours on the chain bear no near numbers
+    links = spark.createDataFrame([(x, y) for x, y in zip(order, order[1:], strict=False)], "a long, b long")
+    roots = {r.node: r.root for r in simhash.components(links).collect()}
+    assert roots == {x: 0 for x in range(1, 500)}
+    assert len(written) <= 3 and all(files == 1 for _, files in written[1:])
+
+
+def test_stars_of_many_tasks_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TASK_ROWS", 16)
+    order = np.random.default_rng(4).permutation(300).tolist()
+    links = spark.createDataFrame([(x, y) for x, y in zip(order, order[1:], strict=False)], "a long, b long").repartition(7)
+    roots = {r.node: r.root for r in simhash.components(links).collect()}
+    assert roots == {x: 0 for x in range(1, 300)}
