@@ -213,3 +213,38 @@ def test_lm_of_odd_rows(odd_docs, no_docs):
     assert by[1].n_tokens == by[2].n_tokens == by[3].n_tokens == 1 and by[1].score == pytest.approx(by[2].score)
     assert by[4].n_tokens == 40_001 and by[None].held_out is False
     assert lm.score_documents(no_docs, PATH, PATTERN).count() == 0
+
+
+def test_a_class_is_one_product_and_every_position_keeps_its_place(model, monkeypatch):
+    """Log probabilities and gradients by the plain formula, position by
+    position; nothing but the products of a class is done class by class."""
+    vector, pairs, _ = model
+    rng = np.random.default_rng(9)
+    w = lm.split(vector.astype(np.float64))
+    hidden, before, targets = rng.normal(size=(500, lm.DEPTH)), *rng.integers(0, lm.UNITS, (2, 500))
+    targets[:100] = 7  # one class holds many, some hold none
+    targets[targets // lm.MEMBERS == 3] = 0
+    settled = []
+    settle = lm._settle
+    monkeypatch.setattr(lm, "_settle", lambda x: settled.append(len(x)) or settle(x))
+    g = {}
+    logs, back = lm.unit_log_probs(w, hidden, before, targets, pairs, g)
+    assert settled == [500, 500]
+    _, opening = lm.unit_log_probs(w, hidden, before, targets, pairs)
+    want = {"cls": np.zeros(lm.SHAPES["cls"]), "cls_bias": np.zeros(lm.CLASSES),
+            "member": np.zeros(lm.SHAPES["member"]), "member_bias": np.zeros(lm.SHAPES["member_bias"])}
+    for i, (h, b, t) in enumerate(zip(hidden, before, targets)):
+        c, m = divmod(t, lm.MEMBERS)
+        p = np.exp(h @ w["cls"] + w["cls_bias"] + pairs[0][b])
+        r = np.exp(h @ w["member"][c] + w["member_bias"][c] + pairs[1][b, c])
+        p, r = p / p.sum(), r / r.sum()
+        assert logs[i] == pytest.approx(np.log(p[c]) + np.log(r[m]), abs=1e-5)
+        assert opening[i] == pytest.approx(np.log(p[:lm.OPENING].sum()), abs=1e-5)
+        p[c] -= 1
+        r[m] -= 1
+        assert np.allclose(back[i], w["cls"] @ p + w["member"][c] @ r, atol=1e-5)
+        want["cls"] += np.outer(h, p)
+        want["cls_bias"] += p
+        want["member"][c] += np.outer(h, r)
+        want["member_bias"][c] += r
+    assert all(np.allclose(g[k], want[k], atol=1e-4) for k in want)
