@@ -59,6 +59,28 @@ def test_only_scratch_tables_are_dropped(spark, scratch):
     assert not os.path.exists(path.removeprefix("file:"))
 
 
+def test_landed_rows_and_text_go(spark, sf_small):
+    before = scratch_tables(spark)
+    out = catalog_plans.catalog()["csv_load_readback"](spark, sf_small)
+    new = scratch_tables(spark) - before
+    assert not any("/landing-" in t for t in new)
+    csv = next(t for t in new if "/csv-load-" in t)
+    assert sorted(os.listdir(csv)) == ["_audit", "bronze"] and out.first()["row_count"] > 0
+
+
+def test_landed_rows_are_dealt_without_a_shuffle(spark, scratch):
+    df = spark.range(600).select("id", (F.col("id") % 5).cast("int").alias("a"),
+                                 F.when(F.col("id") % 3 > 0, F.col("id") % 3).cast("int").alias("b"), F.col("id").cast("string").alias("s"))
+    landed = layout.Landed(df, f"{scratch}/landed", ["a", "b"])
+    out = landed.deal(landed.rows, ["a", "b"], layout.AS_IS)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and out.columns == df.columns
+    assert out.exceptAll(df).count() == 0 and out.count() == 600
+    tasks = out.withColumn("t", F.spark_partition_id()).groupBy("t").agg(F.count_distinct(F.struct("a", "b")).alias("n"))
+    assert {r["n"] for r in tasks.collect()} == {1}
+    assert layout.Landed(df.limit(0), f"{scratch}/none", ["a", "b"]).rows.count() == 0
+
+
 def test_places_are_exact_and_move_no_row(spark, scratch):
     spark.range(9000).repartition(3).write.parquet(f"{scratch}/t")
     rows = place(spark.read.parquet(f"{scratch}/t"))
