@@ -106,3 +106,24 @@ def test_a_batch_without_a_filter_joins_no_whole_rows(spark, scratch, monkeypatc
     assert (row["inserted"], row["updated"], row["unchanged"]) == (150, 300, 0)
     got = {(r["key"], r["a"], r["month"]) for r in spark.read.schema(schema).parquet(f"{scratch}/t").collect()}
     assert got == {(f"k{i}", 2 if i % 2 == 0 else 1, i % 3) for i in range(900) if i % 2 == 0 or i < 600}
+
+
+def test_restatement_without_a_filter_joins_no_days_by_key(spark, sf_small, scratch, monkeypatch, no_filter):
+    days = catalog_plans.Layers(spark, sf_small).landed.where(F.col("date").between("2001-05-01", "2001-08-15")).cache()
+    M.ingest_bronze(spark, scratch, with_ingestion_metadata(days.where("month < 8"), "2024-01-01 00:00:00"), "base")
+    thr = M.build_gold_state(spark, scratch)
+    layout.write_partitioned(gold_state.gold_of_state(M.read_gold_state(spark, scratch)[0], thr),
+                             layer_path(scratch, "gold", "route_months"), gold.GOLD_PARTITIONS)
+    plans, real = [], gold_state.contributions
+    monkeypatch.setattr(gold_state, "contributions", lambda d, *a: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or real(d, *a))
+    batch = days.where("month > 6 and day_of_week <> 'Monday'").withColumns({
+        "gross_margin_pct": F.col("gross_margin_pct") - 60, "total_cost": F.col("total_cost") * 1.1})
+    out = M.restate(spark, scratch, with_ingestion_metadata(batch, "2024-02-01 00:00:00"), "restated")
+    joins = [line for p in plans for line in p.splitlines() if "Join" in line]
+    assert joins and not any("route_date_key" in line for line in joins)
+    now = M.read_bronze(spark, scratch)
+    assert out["threshold"] != thr and out["audit"]["updated"] > 0 and out["audit"]["inserted"] > 0
+    want = gold_state.gold_of_state(gold_state.gold_state(now, out["threshold"]), out["threshold"])
+    got = M.read_gold(spark, scratch)
+    told = lambda df: sorted(tuple(f"{v:.9g}" if isinstance(v, float) else v for v in r) for r in df.select(*sorted(want.columns)).collect())
+    assert told(got) == told(want)
