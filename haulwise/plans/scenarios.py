@@ -188,7 +188,9 @@ def history_intervals(spark, feed: DataFrame, late: layout.Late = layout.AS_IS)
 def snapshot_as_of_range(spark, feed: DataFrame, late: layout.Late = layout.AS_IS) -> DataFrame:
     """A10: the table as of the restatement, a filter on the intervals that
     the history of all three loads makes."""
-    states = cut_lineage(snapshots.intervals(Restatement(spark, feed, late).history(rerun=True), [KEY]), "history-intervals")
+    history = Restatement(spark, feed, late).history_table(rerun=True)
+    states = cut_lineage(snapshots.intervals(history.rows(), [KEY]), "history-intervals")
+    history.drop()
     return _interval_text(snapshots.as_of_intervals(states, RESTATE_TS))
 
 

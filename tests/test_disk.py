@@ -59,6 +59,16 @@ def test_only_scratch_tables_are_dropped(spark, scratch):
     assert not os.path.exists(path.removeprefix("file:"))
 
 
+@pytest.mark.parametrize("name,left", [("history_intervals", 2), ("snapshot_as_of_range", 0)])
+def test_tables_that_states_were_made_of_go(spark, sf_small, name, left):
+    L = catalog_plans.Layers(spark, sf_small)
+    L.sums.count()
+    before = scratch_tables(spark)
+    out = getattr(scenarios, name)(spark, L.sums, late=L.to_feed)
+    assert sum("/keyed-" in t for t in scratch_tables(spark) - before) == left
+    assert out.count() > 0
+
+
 def test_landed_rows_and_text_go(spark, sf_small):
     before = scratch_tables(spark)
     out = catalog_plans.catalog()["csv_load_readback"](spark, sf_small)
@@ -127,13 +137,3 @@ def test_restatement_without_a_filter_joins_no_days_by_key(spark, sf_small, scra
     got = M.read_gold(spark, scratch)
     told = lambda df: sorted(tuple(f"{v:.9g}" if isinstance(v, float) else v for v in r) for r in df.select(*sorted(want.columns)).collect())
     assert told(got) == told(want)
-
-
-@pytest.mark.parametrize("name,left", [("history_intervals", 2)])
-def test_tables_that_states_were_made_of_go(spark, sf_small, name, left):
-    L = catalog_plans.Layers(spark, sf_small)
-    L.sums.count()
-    before = scratch_tables(spark)
-    out = getattr(scenarios, name)(spark, L.sums, late=L.to_feed)
-    assert sum("/keyed-" in t for t in scratch_tables(spark) - before) == left
-    assert out.count() > 0
