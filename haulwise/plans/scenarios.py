@@ -260,13 +260,16 @@ def route_file_skipping(spark, silver: DataFrame, files_per_partition: int = 8,
     parts = ["year", "region"]
     rows, values = silver.count(), silver.select(*[late.column(c).alias(c) for c in parts]).distinct().count()
     rows_per_file = max(1, rows // max(1, values * files_per_partition))
-    layout.write_partitioned(silver, f"{root}/plain", parts, max_records_per_file=rows_per_file, late=late)
-    files = layout.file_count(spark, f"{root}/plain")
-    layout.write_partitioned(silver, f"{root}/clustered", parts, cols, num_files=files, late=late)
     routes = cut_lineage(silver.select(*[late.column(c).alias(c) for c in cols]).distinct(), "routes")
-    out = routes
+    out, files = routes, None
     for state in ("plain", "clustered"):
+        if state == "plain":
+            layout.write_partitioned(silver, f"{root}/plain", parts, max_records_per_file=rows_per_file, late=late)
+            files = layout.file_count(spark, f"{root}/plain")
+        else:
+            layout.write_partitioned(silver, f"{root}/clustered", parts, cols, num_files=files, late=late)
         stats = cut_lineage(layout.file_stats(spark, f"{root}/{state}", cols), "file-stats")
+        drop_scratch(spark, f"{root}/{state}")  # from here on its statistics are read
         touched = layout.files_touched(routes, stats, cols, "route_id").withColumnRenamed("files", f"files_{state}")
         out = out.join(touched, cols, "left")
     return out.select(*cols, *[F.coalesce(f"files_{s}", F.lit(0)).alias(f"files_{s}") for s in ("plain", "clustered")])

@@ -69,6 +69,13 @@ def test_tables_that_states_were_made_of_go(spark, sf_small, name, left):
     assert out.count() > 0
 
 
+def test_layouts_go_when_their_statistics_are_read(spark, sf_small):
+    before = scratch_tables(spark)
+    out = catalog_plans.catalog()["route_file_skipping"](spark, sf_small)
+    assert not any("/file-skipping-" in t for t in scratch_tables(spark) - before)
+    assert out.where("files_plain > 0 and files_clustered > 0").count() == out.count() > 0
+
+
 def test_landed_rows_and_text_go(spark, sf_small):
     before = scratch_tables(spark)
     out = catalog_plans.catalog()["csv_load_readback"](spark, sf_small)
